@@ -78,3 +78,101 @@ QUERIES: dict[str, Query] = {
     "daily_performance": q_daily_performance,
     "fct_campaigns": q_fct_campaigns,
 }
+
+
+# --- quality --------------------------------------------------------------
+from ..operators import quality  # noqa: E402
+from ..schema import RAW_TYPES  # noqa: E402
+
+RAW21 = list(RAW_TYPES)
+
+
+def _raw21(spark, sf_dir):
+    return raw_contacts(spark, sf_dir).select(*[F.col(f"`{c}`") for c in RAW21])
+
+
+def duplicate_fixture(raw: DataFrame) -> DataFrame:
+    """Raw contacts without lineage, with the rows whose duration ends in 07
+    appended a second time (a known number of exact duplicates)."""
+    base = raw.select(*[F.col(f"`{c}`") for c in RAW21])
+    return base.unionByName(base.where(F.col("duration") % 100 == 7))
+
+
+def q_dq_suite(spark, sf_dir):
+    raw = _raw21(spark, sf_dir)
+    return quality.run_suite(raw, quality.runtime_checks(raw.columns))
+
+
+def q_dq_schema_tests(spark, sf_dir):
+    raw = _raw21(spark, sf_dir)
+    return quality.run_suite(raw, quality.schema_checks(raw.columns))
+
+
+def q_dq_duplicates(spark, sf_dir):
+    return quality.duplicates(duplicate_fixture(raw_contacts(spark, sf_dir)))
+
+
+def q_dq_invalid_values(spark, sf_dir):
+    return quality.invalid_values(_raw21(spark, sf_dir))
+
+
+def q_dq_failing_rows(spark, sf_dir):
+    raw = raw_contacts(spark, sf_dir)
+    return quality.failing_rows(raw, quality.schema_checks(RAW21), ["contact_id"])
+
+
+def q_dq_ingest_gate(spark, sf_dir):
+    return quality.ingest_gate(_raw21(spark, sf_dir))
+
+
+def q_dq_report(spark, sf_dir):
+    return quality.test_report(duplicate_fixture(raw_contacts(spark, sf_dir)))
+
+
+def q_dq_score(spark, sf_dir):
+    return quality.quality_score(quality.test_report(duplicate_fixture(raw_contacts(spark, sf_dir))))
+
+
+def dq_history(raw: DataFrame) -> DataFrame:
+    """Test-result history: the six tests per contact day, as rows
+    ``(test_name, status, failures, execution_time, test_date)``.
+    ``execution_time`` is not measured per group and stays NULL."""
+    dated = raw.withColumn("test_date", F.to_date("processed_at").cast("timestamp_ntz"))
+    rep = quality.test_report(dated, group_by=["test_date"], columns=RAW21)
+    return rep.select("test_name", "status", "failures",
+                      F.lit(None).cast("double").alias("execution_time"), "test_date")
+
+
+def q_dq_history_yesterday(spark, sf_dir):
+    day = dt.datetime.combine(AS_OF - dt.timedelta(days=1), dt.time())
+    raw = raw_contacts(spark, sf_dir)
+    # Half-open range on the raw timestamp: reaches the source scan.
+    raw = raw.where((F.col("processed_at") >= F.lit(day).cast("timestamp_ntz"))
+                    & (F.col("processed_at") < F.lit(day + dt.timedelta(days=1)).cast("timestamp_ntz")))
+    return dq_history(raw).orderBy(F.desc("test_date"), "test_name")
+
+
+def q_dq_relationships(spark, sf_dir):
+    from ..sources.star import read_table
+    return quality.relationships(raw_contacts(spark, sf_dir), "client_key",
+                                 read_table(spark, sf_dir, "customer"), "c_custkey",
+                                 "relationships_client_key_customer")
+
+
+def q_dq_unique_key(spark, sf_dir):
+    return quality.unique_key(stage(raw_contacts(spark, sf_dir), AS_OF), "customer_id")
+
+
+QUERIES.update({
+    "dq_suite": q_dq_suite,
+    "dq_schema_tests": q_dq_schema_tests,
+    "dq_duplicates": q_dq_duplicates,
+    "dq_invalid_values": q_dq_invalid_values,
+    "dq_failing_rows": q_dq_failing_rows,
+    "dq_ingest_gate": q_dq_ingest_gate,
+    "dq_report": q_dq_report,
+    "dq_score": q_dq_score,
+    "dq_history_yesterday": q_dq_history_yesterday,
+    "dq_relationships": q_dq_relationships,
+    "dq_unique_key": q_dq_unique_key,
+})
