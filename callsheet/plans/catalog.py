@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.metrics import pct
 from ..operators.segments import segment
 from ..operators.staging import stage
 from ..sources.star import raw_contacts
@@ -41,10 +40,8 @@ def q_int_segments(spark, sf_dir):
 
 
 def q_kpi_age_job(spark, sf_dir):
-    seg = _int(spark, sf_dir)
-    return seg.groupBy("age_group", "job_category").agg(
-        F.count(F.lit(1)).alias("customer_count"),
-        pct(F.count_if(F.col("subscribed") == "yes"), F.count(F.lit(1))).alias("segment_conversion_rate"))
+    from .kpis import age_job
+    return age_job(_int(spark, sf_dir))
 
 
 def q_segment_metrics(spark, sf_dir):
@@ -176,3 +173,75 @@ QUERIES.update({
     "dq_relationships": q_dq_relationships,
     "dq_unique_key": q_dq_unique_key,
 })
+
+
+# --- KPI report, alerts -----------------------------------------------------
+from . import kpis, tiles  # noqa: E402
+
+
+def q_kpi_daily(spark, sf_dir):
+    return kpis.kpi_daily(stage(raw_contacts(spark, sf_dir), AS_OF, with_key=False), AS_OF)
+
+
+def q_top_segments(spark, sf_dir):
+    return kpis.top_segments(_int(spark, sf_dir), AS_OF)
+
+
+def q_campaign_report(spark, sf_dir):
+    return kpis.campaign_report(_int(spark, sf_dir), AS_OF)
+
+
+def q_kpi_conversion_by_campaign(spark, sf_dir):
+    return kpis.conversion_by_campaign(_int(spark, sf_dir))
+
+
+def q_kpi_successes(spark, sf_dir):
+    return kpis.successes(_int(spark, sf_dir))
+
+
+def q_unique_clients(spark, sf_dir):
+    return kpis.unique_clients(_int(spark, sf_dir))
+
+
+def q_alerts(spark, sf_dir):
+    raw = raw_contacts(spark, sf_dir)
+    daily = kpis.kpi_daily(stage(raw, AS_OF, with_key=False), AS_OF)
+    score = quality.quality_score(quality.test_report(raw.select(*[F.col(f"`{c}`") for c in RAW21])))
+    return kpis.alerts(daily, score, AS_OF)
+
+
+# --- semantic layer and tiles ----------------------------------------------
+def q_measure_query(spark, sf_dir):
+    return tiles.measure_query(_int(spark, sf_dir), ["age_group", "call_duration_category"],
+                               list(tiles.measures()),
+                               sorts=[F.desc("total_contacts"), "age_group", "call_duration_category"])
+
+
+def q_kpi_by_timeframe(spark, sf_dir):
+    return tiles.by_timeframe(_int(spark, sf_dir))
+
+
+def _tile(fn):
+    return lambda spark, sf_dir: fn(_int(spark, sf_dir), AS_OF)
+
+
+QUERIES.update({
+    "kpi_daily": q_kpi_daily,
+    "top_segments": q_top_segments,
+    "campaign_report": q_campaign_report,
+    "kpi_conversion_by_campaign": q_kpi_conversion_by_campaign,
+    "kpi_successes": q_kpi_successes,
+    "unique_clients": q_unique_clients,
+    "alerts": q_alerts,
+    "measure_query": q_measure_query,
+    "kpi_by_timeframe": q_kpi_by_timeframe,
+    "tile_conversion": _tile(tiles.tile_conversion),
+    "tile_segmentation": _tile(tiles.tile_segmentation),
+    "tile_by_age": _tile(tiles.tile_by_age),
+    "tile_by_job": _tile(tiles.tile_by_job),
+    "tile_by_risk": _tile(tiles.tile_by_risk),
+    "tile_call_duration": _tile(tiles.tile_call_duration),
+    "tile_daily_trend": _tile(tiles.tile_daily_trend),
+    "tile_summary": _tile(tiles.tile_summary),
+    "tile_filtered": _tile(tiles.tile_filtered),
+})
