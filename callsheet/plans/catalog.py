@@ -245,3 +245,85 @@ QUERIES.update({
     "tile_summary": _tile(tiles.tile_summary),
     "tile_filtered": _tile(tiles.tile_filtered),
 })
+
+
+# --- sources and sinks ------------------------------------------------------
+from ..sources import files  # noqa: E402
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Write raw contacts as ``;``-separated text with a header and read
+    them back with the explicit schema (lossless)."""
+    path = files.scratch_path(spark, "csv_roundtrip")
+    files.write_contacts_csv(raw_contacts(spark, sf_dir), path)
+    from ..schema import RAW_SCHEMA_WITH_LINEAGE
+    return files.read_contacts(spark, path, schema=RAW_SCHEMA_WITH_LINEAGE)
+
+
+def q_coerce_schema(spark, sf_dir):
+    """Raw contacts as untyped text, coerced by the loader's type-by-name rule."""
+    text = raw_contacts(spark, sf_dir).select(*[F.col(f"`{c}`").cast("string").alias(c) for c in RAW21])
+    return files.coerce_schema(text)
+
+
+def q_mart_roundtrip(spark, sf_dir):
+    """Truncate-and-load of the campaign fact (rows clustered by day), read back."""
+    path = files.scratch_path(spark, "fct_campaigns")
+    fct = marts.fct_campaigns(_int(spark, sf_dir), AS_OF, sort=False)
+    files.write_table(fct, path, sort_within=["campaign_date"])
+    return spark.read.parquet(path)
+
+
+# --- streaming ---------------------------------------------------------------
+from ..functions.metrics import yes as _yes  # noqa: E402
+from ..streaming import kpis as skpis  # noqa: E402
+
+
+def q_stream_kpi_daily(spark, sf_dir):
+    """Daily KPIs of staged contacts computed by a stream: orders arrive as a
+    file stream, are joined to the static customer table, staged, and
+    aggregated per one-day event-time window (complete mode)."""
+    from ..sources.star import contacts_from_star, read_table
+    orders_static = read_table(spark, sf_dir, "orders")
+    orders = skpis.file_stream(spark, sf_dir, "orders.parquet", orders_static.schema)
+    staged = stage(contacts_from_star(orders, read_table(spark, sf_dir, "customer")), AS_OF, with_key=False)
+    out = skpis.daily_kpis_stream(staged, "processed_at", _yes(), F.col("call_duration_seconds"))
+    sink = files.scratch_path(spark, "stream_kpi_daily")
+    skpis.run_to_parquet(out, sink, sink + "_ckpt", output_mode="complete")
+    return spark.read.parquet(sink)
+
+
+def q_stream_event_kpis(spark, sf_dir):
+    """The same windowed KPIs over the event stream (purchase = success)."""
+    schema = read_table_schema(spark, sf_dir, "events")
+    events = skpis.file_stream(spark, sf_dir, "events.parquet", schema)
+    out = skpis.daily_kpis_stream(events, "ts", F.col("event_type") == "purchase", F.col("value"))
+    sink = files.scratch_path(spark, "stream_event_kpis")
+    skpis.run_to_parquet(out, sink, sink + "_ckpt", output_mode="complete")
+    return spark.read.parquet(sink)
+
+
+def q_stream_dq(spark, sf_dir):
+    """Runtime quality checks per micro-batch of the contact stream."""
+    from ..sources.star import contacts_from_star, read_table
+    orders_static = read_table(spark, sf_dir, "orders")
+    orders = skpis.file_stream(spark, sf_dir, "orders.parquet", orders_static.schema)
+    contacts = contacts_from_star(orders, read_table(spark, sf_dir, "customer"))
+    sink = files.scratch_path(spark, "stream_dq")
+    skpis.quality_stream(contacts.select(*[F.col(f"`{c}`") for c in RAW21]), sink, sink + "_ckpt")
+    return spark.read.parquet(sink)
+
+
+def read_table_schema(spark, sf_dir, name):
+    from ..sources.star import read_table
+    return read_table(spark, sf_dir, name).schema
+
+
+QUERIES.update({
+    "csv_roundtrip": q_csv_roundtrip,
+    "coerce_schema": q_coerce_schema,
+    "mart_roundtrip": q_mart_roundtrip,
+    "stream_kpi_daily": q_stream_kpi_daily,
+    "stream_event_kpis": q_stream_event_kpis,
+    "stream_dq": q_stream_dq,
+})
