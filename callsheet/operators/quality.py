@@ -125,18 +125,24 @@ def test_report(df: DataFrame, group_by: Sequence[str] = (), columns: Sequence[s
     """The six runtime tests as rows ``(*groups, test_name, status, failures)``.
 
     ``failures`` is the number of violations summed over a test's checks
-    (for the type test: the number of mismatching columns). One suite pass
-    plus one duplicate pass.
+    (for the type test: the number of mismatching columns, from the schema).
+    Exactly two passes: one aggregate holding every check, one duplicate
+    count (group by all columns, combined map-side).
     """
     cols = list(columns or [c for c, _ in fixed.RAW_COLUMN_TYPES if c in df.columns])
-    suite = run_suite(df, runtime_checks(cols), group_by)
-    per_test = suite.groupBy(*group_by, "test_name").agg(F.sum("violations").alias("failures"))
+    checks = runtime_checks(cols)
+    agg = df.groupBy(*group_by).agg(*[F.count_if(c.violation).alias(f"_v{i}") for i, c in enumerate(checks)])
+    n_type = len(type_mismatches(df.select(*[_c(c) for c in cols])))
+    tests = [fixed.TEST_NULLS, fixed.TEST_RANGES, fixed.TEST_ACCEPTED, fixed.TEST_CONSISTENCY]
+    entries = [F.struct(F.lit(fixed.TEST_DATA_TYPES).alias("test_name"), F.lit(n_type).cast("bigint").alias("failures"))]
+    for t in tests:
+        parts = [F.col(f"_v{i}") for i, c in enumerate(checks) if c.test == t]
+        total = sum(parts[1:], parts[0]) if parts else F.lit(0).cast("bigint")
+        entries.append(F.struct(F.lit(t).alias("test_name"), total.alias("failures")))
+    per_test = agg.select(*group_by, F.inline(F.array(*entries)))
     dup = duplicates(df.select(*group_by, *[_c(c) for c in cols]), cols, group_by).select(
         *group_by, F.lit(fixed.TEST_DUPLICATES).alias("test_name"), F.col("duplicate_rows").alias("failures"))
-    n_type = len(type_mismatches(df.select(*[_c(c) for c in cols])))
-    types = per_test.groupBy(*group_by).agg(F.max(F.lit(n_type)).cast("bigint").alias("failures")).select(
-        *group_by, F.lit(fixed.TEST_DATA_TYPES).alias("test_name"), "failures")
-    report = types.unionByName(per_test).unionByName(dup)
+    report = per_test.unionByName(dup)
     return report.withColumn("status", _status(F.col("failures")))
 
 

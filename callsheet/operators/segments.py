@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from .. import fixed
 from ..functions.rules import RuleTable, above, apply_rules, bands, equals, members
@@ -24,21 +23,23 @@ INT_COLUMNS = [
 ]
 
 
+_D, _H, _L = (f"{c} = 'yes'" for c in ("has_default", "has_housing_loan", "has_personal_loan"))
+
+
 def risk_rules() -> RuleTable:
-    d, h, l = (F.col(c) == "yes" for c in ("has_default", "has_housing_loan", "has_personal_loan"))
-    return RuleTable([(fixed.RISK_HIGH, d | h | l), (fixed.RISK_MEDIUM, h | l)], fixed.RISK_LOW)
+    return RuleTable([(fixed.RISK_HIGH, f"{_D} OR {_H} OR {_L}"), (fixed.RISK_MEDIUM, f"{_H} OR {_L}")],
+                     fixed.RISK_LOW)
 
 
 def risk_rules_v2() -> RuleTable:
     """Alternative risk table (data, not code): default alone is High, a
     housing or personal loan is Medium, so every label is reachable."""
-    d, h, l = (F.col(c) == "yes" for c in ("has_default", "has_housing_loan", "has_personal_loan"))
-    return RuleTable([(fixed.RISK_HIGH, d), (fixed.RISK_MEDIUM, h | l)], fixed.RISK_LOW)
+    return RuleTable([(fixed.RISK_HIGH, _D), (fixed.RISK_MEDIUM, f"{_H} OR {_L}")], fixed.RISK_LOW)
 
 
 def segment_rules(risk: RuleTable | None = None) -> dict[str, RuleTable]:
-    age, job = F.col("age"), F.col("job")
-    prev, outcome = F.col("previous_campaign_contacts"), F.col("previous_campaign_outcome")
+    age, job = "age", "job"
+    prev, outcome = "previous_campaign_contacts", "previous_campaign_outcome"
     return {
         "age_group": bands(age, fixed.AGE_GROUPS, fixed.AGE_GROUP_ELSE),
         "age_category": bands(age, fixed.AGE_CATEGORIES, fixed.AGE_CATEGORY_ELSE),
@@ -47,20 +48,18 @@ def segment_rules(risk: RuleTable | None = None) -> dict[str, RuleTable]:
         "credit_risk_profile": risk or risk_rules(),
         "customer_engagement_level": bands(prev, fixed.ENGAGEMENT_LEVELS, fixed.ENGAGEMENT_ELSE),
         "previous_outcome_category": equals(outcome, fixed.PREVIOUS_OUTCOMES, fixed.PREVIOUS_OUTCOME_ELSE),
-        "call_duration_category": above(F.col("call_duration_seconds"), fixed.CALL_DURATIONS,
+        "call_duration_category": above("call_duration_seconds", fixed.CALL_DURATIONS,
                                         fixed.CALL_DURATION_ELSE),
     }
 
 
-def is_converted(subscribed: Column) -> Column:
-    return F.when(subscribed == "yes", F.lit(1)).otherwise(F.lit(0))
+IS_CONVERTED = "CASE WHEN subscribed = 'yes' THEN 1 ELSE 0 END"
 
 
 def segment(staged: DataFrame, rules: Mapping[str, RuleTable] | None = None) -> DataFrame:
     """Intermediate contacts: 18 columns (``customer_id`` only if staged with
     a key) plus carried lineage columns."""
-    seg = apply_rules(staged, rules or segment_rules())
-    seg = seg.withColumn("is_converted", is_converted(F.col("subscribed")))
+    seg = apply_rules(staged, rules or segment_rules()).selectExpr("*", f"{IS_CONVERTED} AS is_converted")
     cols = [c for c in INT_COLUMNS if c in seg.columns]
     carried = [c for c in ("contact_id", "client_key") if c in seg.columns]
     return seg.select(*cols, *carried)

@@ -52,6 +52,12 @@ def stage_filter(raw: DataFrame) -> DataFrame:
         & (F.col("campaign") >= fixed.STAGE_MIN_CAMPAIGN))
 
 
+def _normalise_sql(col: str, whitespace: bool) -> str:
+    if whitespace:
+        return f"lower(regexp_replace({col}, '^\\\\s+|\\\\s+$', ''))"
+    return f"lower(trim({col}))"
+
+
 def stage(raw: DataFrame, as_of: dt.date | None = None, with_key: bool = True,
           whitespace: bool = False) -> DataFrame:
     """Staged contacts (23 columns plus carried lineage columns).
@@ -66,27 +72,26 @@ def stage(raw: DataFrame, as_of: dt.date | None = None, with_key: bool = True,
     """
     kept = stage_filter(raw)
     renames = dict(fixed.STAGE_RENAMES)
-    cols: dict[str, Column] = {}
-    for c in ["age", "job", "marital", "education", "default", "housing", "loan", "contact",
-              "month", "day_of_week", "duration", "campaign", "pdays", "previous", "poutcome",
-              "emp_var_rate", "cons_price_idx", "cons_conf_idx", "euribor3m", "nr_employed", "y"]:
-        src = F.col(f"`{c}`")
+    exprs: list[str] = []
+    for c, _ in fixed.RAW_COLUMN_TYPES:
+        src = f"`{c}`"
         if c in TEXT_COLUMNS:
-            expr = normalise_text(src, whitespace)
+            e = _normalise_sql(src, whitespace)
         elif c in INT_COLUMNS:
-            expr = src.cast("bigint")
+            e = f"CAST({src} AS BIGINT)"
         else:
-            expr = src.cast("double")
-        cols[renames.get(c, c)] = expr
-    cols["processed_at"] = (F.col("processed_at").cast("timestamp_ntz") if "processed_at" in raw.columns
-                            else as_of_timestamp(as_of))
+            e = f"CAST({src} AS DOUBLE)"
+        exprs.append(f"{e} AS `{renames.get(c, c)}`")
     carried = [c for c in CARRY_COLUMNS if c in raw.columns]
 
     if with_key:
         tie = carried[:1] or [c for c in raw.columns if c not in fixed.STAGE_KEY_ORDER]
         order = [F.col(f"`{c}`").asc_nulls_first() for c in fixed.STAGE_KEY_ORDER + tie]
         kept = surrogate_key(kept, "customer_id", order)
-        head = [F.col("customer_id")]
+    head = ["customer_id"] if with_key else []
+    if "processed_at" in raw.columns:
+        out = kept.selectExpr(*head, *exprs, "CAST(processed_at AS TIMESTAMP_NTZ) AS processed_at", *carried)
     else:
-        head = []
-    return kept.select(*head, *[e.alias(n) for n, e in cols.items()], *[F.col(c) for c in carried])
+        out = kept.selectExpr(*head, *exprs, *carried).withColumn("processed_at", as_of_timestamp(as_of))
+        out = out.select(*head, *[renames.get(c, c) for c, _ in fixed.RAW_COLUMN_TYPES], "processed_at", *carried)
+    return out

@@ -18,6 +18,7 @@ from ..functions.metrics import conversion_aggs, pct, per_hour, rule_pivot
 from ..functions.rules import floors
 from ..operators.rollup import axis_rollups, share_of_total, trend
 from ..operators.staging import as_of_timestamp
+from ..session import materialize
 
 SEGMENT_KEYS = ["age_group", "age_category", "job_category", "income_level", "credit_risk_profile",
                 "customer_engagement_level", "call_duration_category"]
@@ -68,7 +69,8 @@ def segment_axes(metrics: DataFrame) -> dict[str, DataFrame]:
 
 
 def _dimension(contacts: DataFrame, as_of: dt.date | None, exact: bool) -> DataFrame:
-    sm = segment_metrics(contacts, as_of, keep_count=True)
+    # The only pass over the contacts; every later step reads this table.
+    sm = materialize(segment_metrics(contacts, as_of, keep_count=True))
     rolled = segment_axes(sm)
     out = sm
     for name, right_keys, join_keys, rate_name, avg_name in AXES:
@@ -78,7 +80,7 @@ def _dimension(contacts: DataFrame, as_of: dt.date | None, exact: bool) -> DataF
         # table (<= 18 rows), a size bound that holds at any data volume.
         out = out.join(F.broadcast(right), keys, "left")
     out = out.drop(_N_DUR).withColumns({
-        "segment_performance_category": floors(F.col("segment_conversion_rate"), fixed.SEGMENT_PERFORMANCE,
+        "segment_performance_category": floors("segment_conversion_rate", fixed.SEGMENT_PERFORMANCE,
                                                fixed.SEGMENT_PERFORMANCE_ELSE).column(),
         "segment_conversions_per_hour": per_hour(F.col("segment_conversions"),
                                                  F.col("total_call_duration_segment")),
@@ -146,7 +148,7 @@ FCT_COLUMNS = [
 
 def with_performance(summary: DataFrame) -> DataFrame:
     return summary.withColumns({
-        "performance_category": floors(F.col("overall_conversion_rate"), fixed.CAMPAIGN_PERFORMANCE,
+        "performance_category": floors("overall_conversion_rate", fixed.CAMPAIGN_PERFORMANCE,
                                        fixed.CAMPAIGN_PERFORMANCE_ELSE).column(),
         "conversions_per_hour": per_hour(F.col("total_conversions"), F.col("total_call_duration_hours")),
     })
@@ -161,6 +163,11 @@ def fct_campaigns(contacts: DataFrame, as_of: dt.date | None = None, with_trend:
     day).
     """
     out = with_performance(campaign_summary(contacts, as_of))
+    if with_trend or sort:
+        # One range exchange on the (small) campaign x day table serves both
+        # the LAG window (clustered by campaign) and the final order
+        # (campaign, day): a hot campaign only concentrates its day rows.
+        out = out.repartitionByRange("campaign_number")
     if with_trend:
         out = trend(out, ["campaign_number"], ["campaign_date"], "overall_conversion_rate",
                     "previous_conversion_rate", "conversion_rate_change")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the mart relies on: AQE re-plans joins and coalesces small
 # shuffles, skew-join splits a hot key's partition, UTC keeps date
@@ -16,6 +16,8 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no Python call-site capture per Column call (three JVM round trips each)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -53,3 +55,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a reused intermediate once and cut its lineage.
+
+    Used for small tables that several branches of a plan read (a segment
+    table bounded by the rule-label domain): without it each branch prunes
+    columns differently, exchange reuse does not apply, and every branch
+    would re-scan the source. A reliable checkpoint into the shared
+    ``spark.checkpoint.dir`` survives executor loss without recomputation.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -9,8 +9,7 @@ The mapping is the fixture contract shared with the SQL oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixed
 from ..schema import RAW_SCHEMA_WITH_LINEAGE
@@ -22,12 +21,45 @@ H_MOD = 1000003
 OUTCOMES4 = ["failure", "nonexistent", "success", "other"]
 
 
-def _pick(values: list[str], idx: Column) -> Column:
-    return F.array(*[F.lit(v) for v in values])[idx.cast("int")]
-
-
-def _frac(num: Column, den: float) -> Column:
-    return num.cast("double") / F.lit(den)
+def _sql_list(values: list[str]) -> str:
+    return "array(" + ", ".join("'" + v + "'" for v in values) + ")"
+
+
+def _contact_exprs() -> list[str]:
+    """The fixture mapping as SQL expressions (one JVM call for the whole
+    projection); ``h`` and ``nk`` come from the inner projection."""
+    jobs13 = _sql_list(fixed.JOBS + ["executive"])
+    yn = _sql_list(fixed.NO_UNKNOWN_YES)
+    job = f"{jobs13}[CAST(o_custkey % 13 AS INT)]"
+    return [
+        "CAST(CASE WHEN o_orderkey % 211 = 0 THEN NULL ELSE 16 + (o_custkey * 31 + nk) % 82 END AS BIGINT) AS age",
+        f"CASE WHEN o_orderkey % 10 = 0 THEN concat(' ', upper({job}), ' ') ELSE {job} END AS job",
+        f"{_sql_list(fixed.MARITAL)}[CAST(nk % 4 AS INT)] AS marital",
+        f"CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE {_sql_list(fixed.EDUCATION)}[CAST(o_custkey % 8 AS INT)] END"
+        " AS education",
+        f"{yn}[CAST(h % 3 AS INT)] AS `default`",
+        f"{yn}[CAST((h div 3) % 3 AS INT)] AS housing",
+        f"{yn}[CAST((h div 9) % 3 AS INT)] AS loan",
+        f"{_sql_list(fixed.CONTACT)}[CAST(h % 2 AS INT)] AS contact",
+        "lower(date_format(o_orderdate, 'MMM')) AS month",
+        "lower(date_format(o_orderdate, 'EEE')) AS day_of_week",
+        "CAST(floor(o_totalprice) AS BIGINT) % 1200 - 20 AS duration",
+        "CAST(substring(o_orderpriority, 1, 1) AS BIGINT) - CASE WHEN o_orderkey % 151 = 0 THEN 5 ELSE 0 END"
+        " AS campaign",
+        "CASE WHEN h % 5 < 3 THEN -1 ELSE (h div 5) % 1000 END AS pdays",
+        "CASE WHEN h % 5 < 3 THEN (CASE WHEN o_orderkey % 89 = 0 THEN 2 ELSE 0 END) ELSE (h div 7) % 12 END"
+        " AS previous",
+        f"{_sql_list(OUTCOMES4)}[CAST(h % 4 AS INT)] AS poutcome",
+        "CAST(h % 49 - 34 AS DOUBLE) / 1e1 AS emp_var_rate",
+        "CAST(92201 + h % 2567 AS DOUBLE) / 1e3 AS cons_price_idx",
+        "CAST(h % 240 - 508 AS DOUBLE) / 1e1 AS cons_conf_idx",
+        "CAST(634 + h % 4412 AS DOUBLE) / 1e3 AS euribor3m",
+        "CAST(49636 + h % 2646 AS DOUBLE) / 1e1 AS nr_employed",
+        "CASE WHEN h % 100 < 6 + o_custkey % 13 THEN 'yes' ELSE 'no' END AS y",
+        "o_orderkey AS contact_id",
+        "o_custkey AS client_key",
+        "o_orderdate AS processed_at",
+    ]
 
 
 def contacts_from_star(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -39,44 +71,12 @@ def contacts_from_star(orders: DataFrame, customer: DataFrame) -> DataFrame:
     the customer side is under the threshold, AQE skew split for hot keys).
     """
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    c = customer.select(F.col("c_custkey"), F.col("c_nationkey").cast("bigint").alias("c_nationkey"))
-    j = o.join(c, o.o_custkey == c.c_custkey, "inner")
-
-    ok, ck, nk = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
-    h = (ok * H_ORDER_MULT + ck * H_CUST_MULT) % H_MOD
-    jobs13 = fixed.JOBS + ["executive"]
-    job = _pick(jobs13, ck % 13)
-    cols = {
-        "age": F.when(ok % 211 == 0, F.lit(None).cast("bigint"))
-                .otherwise(F.lit(16) + (ck * 31 + nk) % 82),
-        "job": F.when(ok % 10 == 0, F.concat(F.lit(" "), F.upper(job), F.lit(" "))).otherwise(job),
-        "marital": _pick(fixed.MARITAL, nk % 4),
-        "education": F.when(ok % 97 == 0, F.lit(None).cast("string"))
-                      .otherwise(_pick(fixed.EDUCATION, ck % 8)),
-        "default": _pick(fixed.NO_UNKNOWN_YES, h % 3),
-        "housing": _pick(fixed.NO_UNKNOWN_YES, F.floor(h / 3) % 3),
-        "loan": _pick(fixed.NO_UNKNOWN_YES, F.floor(h / 9) % 3),
-        "contact": _pick(fixed.CONTACT, h % 2),
-        "month": F.lower(F.date_format("o_orderdate", "MMM")),
-        "day_of_week": F.lower(F.date_format("o_orderdate", "EEE")),
-        "duration": F.floor("o_totalprice").cast("bigint") % 1200 - 20,
-        "campaign": F.substring("o_orderpriority", 1, 1).cast("bigint")
-                     - F.when(ok % 151 == 0, F.lit(5)).otherwise(F.lit(0)),
-        "pdays": F.when(h % 5 < 3, F.lit(-1).cast("bigint")).otherwise(F.floor(h / 5) % 1000),
-        "previous": F.when(h % 5 < 3, F.when(ok % 89 == 0, F.lit(2)).otherwise(F.lit(0)).cast("bigint"))
-                     .otherwise(F.floor(h / 7) % 12),
-        "poutcome": _pick(OUTCOMES4, h % 4),
-        "emp_var_rate": _frac(h % 49 - 34, 1e1),
-        "cons_price_idx": _frac(F.lit(92201) + h % 2567, 1e3),
-        "cons_conf_idx": _frac(h % 240 - 508, 1e1),
-        "euribor3m": _frac(F.lit(634) + h % 4412, 1e3),
-        "nr_employed": _frac(F.lit(49636) + h % 2646, 1e1),
-        "y": F.when(h % 100 < F.lit(6) + ck % 13, F.lit("yes")).otherwise(F.lit("no")),
-        "contact_id": ok,
-        "client_key": ck,
-        "processed_at": F.col("o_orderdate"),
-    }
-    return j.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_SCHEMA_WITH_LINEAGE.fields])
+    c = customer.selectExpr("c_custkey", "CAST(c_nationkey AS BIGINT) AS nk")
+    j = o.join(c, o.o_custkey == c.c_custkey, "inner").selectExpr(
+        "*", f"(o_orderkey * {H_ORDER_MULT} + o_custkey * {H_CUST_MULT}) % {H_MOD} AS h")
+    out = j.selectExpr(*_contact_exprs())
+    assert out.columns == RAW_SCHEMA_WITH_LINEAGE.fieldNames()
+    return out
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
