@@ -327,3 +327,26 @@ QUERIES.update({
     "stream_event_kpis": q_stream_event_kpis,
     "stream_dq": q_stream_dq,
 })
+
+
+# --- more segment and roll-up queries -----------------------------------------
+def q_int_segments_risk_v2(spark, sf_dir):
+    from ..operators.segments import risk_rules_v2, segment_rules
+    return segment(stage(raw_contacts(spark, sf_dir), AS_OF, with_key=False), segment_rules(risk_rules_v2()))
+
+
+def q_axis_rollups(spark, sf_dir):
+    """The four single-axis roll-ups (age, job, risk, engagement), re-aggregated
+    from the segment table and stacked with an ``axis`` column."""
+    sm = marts.segment_metrics(_int(spark, sf_dir), AS_OF, keep_count=True)
+    out = None
+    for axis, frame in marts.segment_axes(sm).items():
+        frame = frame.withColumn("axis", F.lit(axis))
+        out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
+QUERIES.update({
+    "int_segments_risk_v2": q_int_segments_risk_v2,
+    "axis_rollups": q_axis_rollups,
+})

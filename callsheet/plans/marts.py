@@ -70,7 +70,12 @@ def segment_axes(metrics: DataFrame) -> dict[str, DataFrame]:
 
 def _dimension(contacts: DataFrame, as_of: dt.date | None, exact: bool) -> DataFrame:
     # The only pass over the contacts; every later step reads this table.
-    sm = materialize(segment_metrics(contacts, as_of, keep_count=True))
+    return dimension_from_metrics(materialize(segment_metrics(contacts, as_of, keep_count=True)), exact)
+
+
+def dimension_from_metrics(sm: DataFrame, exact: bool) -> DataFrame:
+    """The dimension from a (materialized) segment table that carries the
+    non-null duration count."""
     rolled = segment_axes(sm)
     out = sm
     for name, right_keys, join_keys, rate_name, avg_name in AXES:
@@ -114,7 +119,8 @@ def daily_performance(contacts: DataFrame, as_of: dt.date | None = None) -> Data
             .groupBy(*DAILY_KEYS).agg(*conversion_aggs(DAILY_METRICS, as_of=as_of_timestamp(as_of))))
 
 
-def campaign_summary(contacts: DataFrame, as_of: dt.date | None = None, mean_digits: int | None = 6) -> DataFrame:
+def campaign_summary(contacts: DataFrame, as_of: dt.date | None = None, mean_digits: int | None = 6,
+                     daily: DataFrame | None = None) -> DataFrame:
     """Campaign x day roll-up of the daily table, with the static pivots.
 
     ``avg_call_duration`` is the unweighted mean of the daily segment means,
@@ -122,7 +128,7 @@ def campaign_summary(contacts: DataFrame, as_of: dt.date | None = None, mean_dig
     does not depend on the order in which partial sums are combined.
     ``weighted_avg_call_duration`` is the per-contact mean.
     """
-    daily = daily_performance(contacts, as_of)
+    daily = daily if daily is not None else daily_performance(contacts, as_of)
     mean = F.avg("avg_call_duration")
     aggs: list[Column] = [
         F.sum("total_contacts").alias("total_contacts"),
@@ -154,15 +160,15 @@ def with_performance(summary: DataFrame) -> DataFrame:
     })
 
 
-def fct_campaigns(contacts: DataFrame, as_of: dt.date | None = None, with_trend: bool = True,
-                  sort: bool = True) -> DataFrame:
+def fct_campaigns(contacts: DataFrame | None, as_of: dt.date | None = None, with_trend: bool = True,
+                  sort: bool = True, daily: DataFrame | None = None) -> DataFrame:
     """Campaign-performance fact.
 
     ``with_trend=False`` leaves out the LAG columns; a day filter on that
     frame then reaches the source scan (it cannot pass a window ordered by
-    day).
+    day). ``daily`` may be given precomputed (see ``plans.pipeline``).
     """
-    out = with_performance(campaign_summary(contacts, as_of))
+    out = with_performance(campaign_summary(contacts, as_of, daily=daily))
     if with_trend or sort:
         # One range exchange on the (small) campaign x day table serves both
         # the LAG window (clustered by campaign) and the final order
