@@ -99,8 +99,16 @@ def tile_conversion(contacts: DataFrame, as_of: dt.date) -> DataFrame:
     return _window_fct(contacts, as_of).select(*fields).distinct().orderBy(*fields)
 
 
+def _segment_rows(contacts: DataFrame, as_of: dt.date) -> DataFrame:
+    """Segment rows as the dimension's tiles see them. The dimension repeats a
+    segment row 1, 2 or 4 times with every segment column unchanged, so the
+    distinct tuples (and any max) of segment columns equal those of the
+    segment table: no roll-ups or joins are needed for these tiles."""
+    return marts.segment_metrics(contacts, as_of)
+
+
 def tile_segmentation(contacts: DataFrame, as_of: dt.date, n: int = fixed.TILE_TOP_SEGMENTS) -> DataFrame:
-    dim = marts.dim_segments(contacts, as_of)
+    dim = _segment_rows(contacts, as_of)
     dim = dim.where(last_days("last_updated", as_of, fixed.TILE_WINDOW_DAYS))
     fields = ["age_group", "job_category", "segment_conversion_rate", "segment_size"]
     return (dim.select(*fields).distinct()
@@ -141,7 +149,7 @@ def tile_summary(contacts: DataFrame, as_of: dt.date) -> DataFrame:
     (highest rate; ties by age group, job category). The best segment is a
     scalar subquery over the bounded dimension table."""
     w = _window_contacts(contacts, as_of, fixed.TILE_WINDOW_DAYS)
-    dim = marts.dim_segments(contacts, as_of)
+    dim = _segment_rows(contacts, as_of)
     best = dim.agg(F.min_by(F.struct("age_group", "job_category", "segment_conversion_rate"),
                             F.struct(-F.col("segment_conversion_rate"), F.col("age_group"),
                                      F.col("job_category")))).scalar()

@@ -79,8 +79,21 @@ def contacts_from_star(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return out
 
 
+# Columns read from the star tables, declared so that no footer-inference job
+# runs and only these columns are requested from the files.
+STAR_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in STAR_SCHEMAS:
+        reader = reader.schema(STAR_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
