@@ -1,40 +1,60 @@
-"""Conversion measures as Column builders (all JVM-side aggregate functions).
-
-Every rate multiplies by a double literal (``F.lit(100.0)``) so no DECIMAL
-arithmetic appears, and every ratio divides by ``NULLIF(den, 0)`` so a zero
-denominator yields NULL under ANSI mode instead of an error.
+"""Conversion measures as SQL expression text (JVM-side aggregate functions).
+
+Measures are written as Spark SQL text and turned into Columns with one
+``F.expr`` call each: building the same expression from Column objects costs
+a JVM round trip per node. Every rate multiplies by a double literal
+(``100.0D``) so no DECIMAL arithmetic appears, and every ratio divides by
+``NULLIF(den, 0)`` so a zero denominator yields NULL under ANSI mode instead
+of an error.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HUNDRED = 100.0
-SECONDS_PER_HOUR = 3600.0
+HUNDRED = "100.0D"
+SECONDS_PER_HOUR = "3600.0D"
+YES = "subscribed = 'yes'"
+NO = "subscribed = 'no'"
 
 
-def yes(subscribed: str = "subscribed") -> Column:
-    return F.col(subscribed) == "yes"
+def q(name: str) -> str:
+    """A quoted column name."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def no(subscribed: str = "subscribed") -> Column:
-    return F.col(subscribed) == "no"
+def pct_sql(num: str, den: str, digits: int | None = 2) -> str:
+    """``ROUND(num * 100.0 / NULLIF(den, 0), digits)``; ``digits=None`` keeps it unrounded."""
+    value = f"({num}) * {HUNDRED} / NULLIF({den}, 0)"
+    return value if digits is None else f"ROUND({value}, {digits})"
+
+
+def per_hour_sql(num: str, seconds: str, digits: int = 2) -> str:
+    return f"ROUND(({num}) * {SECONDS_PER_HOUR} / NULLIF({seconds}, 0), {digits})"
 
 
 def pct(num: Column, den: Column, digits: int | None = 2) -> Column:
-    """``ROUND(num * 100.0 / NULLIF(den, 0), digits)``; ``digits=None`` keeps it unrounded."""
-    value = num * F.lit(HUNDRED) / F.nullif(den, F.lit(0))
+    """Column form of ``pct_sql`` for callers that hold Columns."""
+    value = num * F.lit(100.0) / F.nullif(den, F.lit(0))
     return value if digits is None else F.round(value, digits)
 
 
-def per_hour(num: Column, seconds: Column, digits: int = 2) -> Column:
-    return F.round(num * F.lit(SECONDS_PER_HOUR) / F.nullif(seconds, F.lit(0)), digits)
+def as_of_sql(as_of: dt.date | None) -> str:
+    if as_of is None:
+        return "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
+    return f"TIMESTAMP_NTZ '{as_of.isoformat()} 00:00:00'"
 
 
-def conversion_aggs(names: dict[str, str], subscribed: str = "subscribed",
-                    amount: str = "call_duration_seconds", as_of: Column | None = None) -> list[Column]:
-    """Aggregates of one conversion roll-up, named through ``names``.
+def exprs(named: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{sql} AS {q(name)}") for name, sql in named.items()]
+
+
+def conversion_sql(names: dict[str, str], subscribed: str = "subscribed",
+                   amount: str = "call_duration_seconds", as_of: dt.date | None = None) -> dict[str, str]:
+    """Aggregates of one conversion roll-up, as ``{output_name: sql}``.
 
     Roles: size, unique, yes, no, rate, avg, sum, per_minute, updated. A
     role missing from ``names`` is skipped. ``unique`` counts the surrogate
@@ -42,25 +62,43 @@ def conversion_aggs(names: dict[str, str], subscribed: str = "subscribed",
     distinct count equals the row count and no distinct aggregation is
     planned.
     """
-    size = F.count(F.lit(1))
-    conv = F.count_if(yes(subscribed))
-    total = F.sum(amount)
+    s, a = q(subscribed), q(amount)
+    conv = f"count_if({s} = 'yes')"
     built = {
-        "size": size,
-        "unique": size,
+        "size": "count(1)",
+        "unique": "count(1)",
         "yes": conv,
-        "no": F.count_if(no(subscribed)),
-        "rate": pct(conv, size),
-        "avg": F.avg(amount),
-        "sum": total,
-        "per_minute": pct(conv, total, 4),
-        "updated": as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz"),
+        "no": f"count_if({s} = 'no')",
+        "rate": pct_sql(conv, "count(1)"),
+        "avg": f"avg({a})",
+        "sum": f"sum({a})",
+        "per_minute": pct_sql(conv, f"sum({a})", 4),
+        "updated": f"max({as_of_sql(as_of)})",
     }
-    return [built[role].alias(out) if role != "updated" else F.max(built[role]).alias(out)
-            for role, out in names.items()]
+    return {out: built[role] for role, out in names.items()}
 
 
-def rule_pivot(axis: str, table: list[tuple[str, str]], value: str) -> list[Column]:
+def conversion_aggs(names: dict[str, str], subscribed: str = "subscribed",
+                    amount: str = "call_duration_seconds", as_of: dt.date | None = None) -> list[Column]:
+    return exprs(conversion_sql(names, subscribed, amount, as_of))
+
+
+def rule_pivot_sql(axis: str, table: list[tuple[str, str]], value: str) -> dict[str, str]:
     """Static pivot: ``SUM(CASE WHEN axis = label THEN value ELSE 0 END)`` per label."""
-    return [F.sum(F.when(F.col(axis) == label, F.col(value)).otherwise(F.lit(0))).alias(out)
-            for label, out in table]
+    out = {}
+    for label, name in table:
+        lit = "'" + label.replace("'", "\\'") + "'"
+        out[name] = f"sum(CASE WHEN {q(axis)} = {lit} THEN {q(value)} ELSE 0 END)"
+    return out
+
+
+def rule_pivot(axis: str, table: list[tuple[str, str]], value: str) -> list[Column]:
+    return exprs(rule_pivot_sql(axis, table, value))
+
+
+def yes(subscribed: str = "subscribed") -> Column:
+    return F.col(subscribed) == "yes"
+
+
+def no(subscribed: str = "subscribed") -> Column:
+    return F.col(subscribed) == "no"

@@ -1,7 +1,7 @@
 """Data-quality operators: declarative checks evaluated in one distributed pass.
 
 A check is ``(suite, test, column, violation)`` where ``violation`` is a
-boolean Column that is true on a violating row. ``run_suite`` turns any
+boolean SQL predicate that is true on a violating row. ``run_suite`` turns any
 number of checks into *one* aggregate (a ``count_if`` per check, partial
 aggregation on every task) and unpivots the single result row, so a suite
 costs one scan however many checks it holds. Only the duplicate check needs
@@ -33,13 +33,29 @@ class Check:
     suite: str
     test: str
     column: str
-    violation: Column
+    violation: str  # SQL predicate
 
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _n(name: str) -> str:
+    return "`" + name + "`"
+
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, float):
+        return f"{v!r}D"
+    return str(v)
+
+
+def _in(name: str, values) -> str:
+    return f"{_n(name)} IN ({', '.join(_lit(v) for v in values)})"
+
+
 RUNTIME_ACCEPTED = [
     ("job", fixed.JOBS), ("marital", fixed.MARITAL), ("education", fixed.EDUCATION),
     ("default", fixed.NO_UNKNOWN_YES), ("housing", fixed.NO_UNKNOWN_YES), ("loan", fixed.NO_UNKNOWN_YES),
@@ -54,19 +70,18 @@ CONSISTENCY_RULES = ["pdays=-1 implies previous=0", "previous=0 implies poutcome
 def runtime_checks(columns: Sequence[str]) -> list[Check]:
     """Nulls, ranges, accepted values and consistency rules, for the columns present."""
     have = set(columns)
-    out = [Check("runtime", fixed.TEST_NULLS, c, _c(c).isNull()) for c in fixed.RUNTIME_REQUIRED if c in have]
-    out += [Check("runtime", fixed.TEST_RANGES, c, (_c(c) < lo) | (_c(c) > hi))
+    out = [Check("runtime", fixed.TEST_NULLS, c, f"{_n(c)} IS NULL") for c in fixed.RUNTIME_REQUIRED if c in have]
+    out += [Check("runtime", fixed.TEST_RANGES, c, f"{_n(c)} < {_lit(lo)} OR {_n(c)} > {_lit(hi)}")
             for c, lo, hi in fixed.RUNTIME_RANGES if c in have]
-    out += [Check("runtime", fixed.TEST_ACCEPTED, c, ~F.coalesce(_c(c).isin(vals), F.lit(False)))
+    out += [Check("runtime", fixed.TEST_ACCEPTED, c, f"NOT coalesce({_in(c, vals)}, false)")
             for c, vals in RUNTIME_ACCEPTED if c in have]
     if {"pdays", "previous"} <= have:
-        out.append(Check("runtime", fixed.TEST_CONSISTENCY, CONSISTENCY_RULES[0],
-                         (_c("pdays") == -1) & (_c("previous") > 0)))
+        out.append(Check("runtime", fixed.TEST_CONSISTENCY, CONSISTENCY_RULES[0], "pdays = -1 AND previous > 0"))
     if {"previous", "poutcome"} <= have:
         out.append(Check("runtime", fixed.TEST_CONSISTENCY, CONSISTENCY_RULES[1],
-                         (_c("previous") == 0) & ~_c("poutcome").eqNullSafe("nonexistent")))
+                         "previous = 0 AND NOT (poutcome <=> 'nonexistent')"))
     if "duration" in have:
-        out.append(Check("runtime", fixed.TEST_CONSISTENCY, CONSISTENCY_RULES[2], _c("duration") <= 0))
+        out.append(Check("runtime", fixed.TEST_CONSISTENCY, CONSISTENCY_RULES[2], "duration <= 0"))
     return out
 
 
@@ -74,11 +89,11 @@ def schema_checks(columns: Sequence[str]) -> list[Check]:
     """not_null on every declared column, accepted_values (age as the list
     18..95), accepted_range; NULL passes the last two."""
     have = set(columns)
-    out = [Check("schema", "not_null", c, _c(c).isNull()) for c, _ in fixed.RAW_COLUMN_TYPES if c in have]
+    out = [Check("schema", "not_null", c, f"{_n(c)} IS NULL") for c, _ in fixed.RAW_COLUMN_TYPES if c in have]
     lo, hi = fixed.SCHEMA_AGE_VALUES
     accepted = [("age", list(range(lo, hi + 1)))] + RUNTIME_ACCEPTED
-    out += [Check("schema", "accepted_values", c, ~_c(c).isin(vals)) for c, vals in accepted if c in have]
-    out += [Check("schema", "accepted_range", c, ~((_c(c) >= lo) & (_c(c) <= hi)))
+    out += [Check("schema", "accepted_values", c, f"NOT ({_in(c, vals)})") for c, vals in accepted if c in have]
+    out += [Check("schema", "accepted_range", c, f"NOT ({_n(c)} >= {_lit(lo)} AND {_n(c)} <= {_lit(hi)})")
             for c, lo, hi in fixed.SCHEMA_RANGES if c in have]
     return out
 
@@ -87,17 +102,26 @@ def _status(violations: Column) -> Column:
     return F.when(violations == 0, F.lit(PASSED)).otherwise(F.lit(FAILED))
 
 
+STATUS_SQL = f"CASE WHEN {{v}} = 0 THEN '{PASSED}' ELSE '{FAILED}' END"
+
+
+def _check_counts(checks: Sequence[Check]) -> list[Column]:
+    return [F.expr(f"count_if({c.violation}) AS _v{i}") for i, c in enumerate(checks)]
+
+
+def _unpivot_checks(checks: Sequence[Check]) -> Column:
+    rows = ", ".join(f"named_struct('suite', {_lit(c.suite)}, 'test_name', {_lit(c.test)}, "
+                     f"'column_name', {_lit(c.column)}, 'violations', _v{i})" for i, c in enumerate(checks))
+    return F.expr(f"inline(array({rows}))")
+
+
 def run_suite(df: DataFrame, checks: Sequence[Check], group_by: Sequence[str | Column] = ()) -> DataFrame:
     """One row per check (and group): ``(*groups, suite, test_name,
     column_name, violations, status)`` from a single aggregate."""
-    aggs = [F.count_if(c.violation).alias(f"_v{i}") for i, c in enumerate(checks)]
-    agg = df.groupBy(*group_by).agg(*aggs)
+    agg = df.groupBy(*group_by).agg(*_check_counts(checks))
     groups = [c for c in agg.columns if not c.startswith("_v")]
-    rows = F.array(*[F.struct(F.lit(c.suite).alias("suite"), F.lit(c.test).alias("test_name"),
-                              F.lit(c.column).alias("column_name"), F.col(f"_v{i}").alias("violations"))
-                     for i, c in enumerate(checks)])
-    out = agg.select(*groups, F.inline(rows))
-    return out.withColumn("status", _status(F.col("violations")))
+    out = agg.select(*groups, _unpivot_checks(checks))
+    return out.select("*", F.expr(STATUS_SQL.format(v="violations") + " AS status"))
 
 
 def duplicates(df: DataFrame, columns: Sequence[str] | None = None,
@@ -131,40 +155,39 @@ def test_report(df: DataFrame, group_by: Sequence[str] = (), columns: Sequence[s
     """
     cols = list(columns or [c for c, _ in fixed.RAW_COLUMN_TYPES if c in df.columns])
     checks = runtime_checks(cols)
-    agg = df.groupBy(*group_by).agg(*[F.count_if(c.violation).alias(f"_v{i}") for i, c in enumerate(checks)])
+    agg = df.groupBy(*group_by).agg(*_check_counts(checks))
     n_type = len(type_mismatches(df.select(*[_c(c) for c in cols])))
-    tests = [fixed.TEST_NULLS, fixed.TEST_RANGES, fixed.TEST_ACCEPTED, fixed.TEST_CONSISTENCY]
-    entries = [F.struct(F.lit(fixed.TEST_DATA_TYPES).alias("test_name"), F.lit(n_type).cast("bigint").alias("failures"))]
-    for t in tests:
-        parts = [F.col(f"_v{i}") for i, c in enumerate(checks) if c.test == t]
-        total = sum(parts[1:], parts[0]) if parts else F.lit(0).cast("bigint")
-        entries.append(F.struct(F.lit(t).alias("test_name"), total.alias("failures")))
-    per_test = agg.select(*group_by, F.inline(F.array(*entries)))
+    entries = [f"named_struct('test_name', {_lit(fixed.TEST_DATA_TYPES)}, 'failures', CAST({n_type} AS BIGINT))"]
+    for t in [fixed.TEST_NULLS, fixed.TEST_RANGES, fixed.TEST_ACCEPTED, fixed.TEST_CONSISTENCY]:
+        parts = [f"_v{i}" for i, c in enumerate(checks) if c.test == t]
+        total = " + ".join(parts) if parts else "CAST(0 AS BIGINT)"
+        entries.append(f"named_struct('test_name', {_lit(t)}, 'failures', {total})")
+    per_test = agg.select(*group_by, F.expr(f"inline(array({', '.join(entries)}))"))
     dup = duplicates(df.select(*group_by, *[_c(c) for c in cols]), cols, group_by).select(
-        *group_by, F.lit(fixed.TEST_DUPLICATES).alias("test_name"), F.col("duplicate_rows").alias("failures"))
+        *group_by, F.expr(f"{_lit(fixed.TEST_DUPLICATES)} AS test_name"), F.expr("duplicate_rows AS failures"))
     report = per_test.unionByName(dup)
-    return report.withColumn("status", _status(F.col("failures")))
+    return report.select("*", F.expr(STATUS_SQL.format(v="failures") + " AS status"))
 
 
 def quality_score(report: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     """``total_tests``, ``passed_tests``, ``failed_tests``, ``quality_score`` (percent)."""
-    passed = F.count_if(F.col("status") == PASSED)
+    passed = f"count_if(status = '{PASSED}')"
     return report.groupBy(*group_by).agg(
-        F.count(F.lit(1)).alias("total_tests"), passed.alias("passed_tests"),
-        F.count_if(F.col("status") != PASSED).alias("failed_tests"),
-        (passed * F.lit(100.0) / F.count(F.lit(1))).alias("quality_score"))
+        F.expr("count(1) AS total_tests"), F.expr(f"{passed} AS passed_tests"),
+        F.expr(f"count_if(status != '{PASSED}') AS failed_tests"),
+        F.expr(f"{passed} * 100.0D / count(1) AS quality_score"))
 
 
 def failing_rows(df: DataFrame, checks: Sequence[Check], key: Sequence[str]) -> DataFrame:
     """Store-failures sink: one row per (violating row, check):
     ``(*key, suite, test_name, column_name, value)``. A narrow generator over
     only the failing checks of each row; no shuffle."""
-    entries = F.array(*[F.when(c.violation, F.struct(
-        F.lit(c.suite).alias("suite"), F.lit(c.test).alias("test_name"), F.lit(c.column).alias("column_name"),
-        (_c(c.column).cast("string") if c.column in df.columns else F.lit(None).cast("string")).alias("value")))
-        for c in checks])
-    kept = F.filter(entries, lambda e: e.isNotNull())
-    return df.select(*key, F.inline(kept))
+    entries = ", ".join(
+        f"CASE WHEN {c.violation} THEN named_struct('suite', {_lit(c.suite)}, 'test_name', {_lit(c.test)}, "
+        f"'column_name', {_lit(c.column)}, 'value', "
+        f"{'CAST(' + _n(c.column) + ' AS STRING)' if c.column in df.columns else 'CAST(NULL AS STRING)'}) END"
+        for c in checks)
+    return df.select(*key, F.expr(f"inline(filter(array({entries}), e -> e IS NOT NULL))"))
 
 
 def invalid_values(df: DataFrame, accepted: Sequence[tuple[str, Sequence[str]]] = RUNTIME_ACCEPTED) -> DataFrame:
@@ -172,11 +195,11 @@ def invalid_values(df: DataFrame, accepted: Sequence[tuple[str, Sequence[str]]]
     ``(column_name, invalid_value, occurrences)`` (NULL is invalid, as in the
     runtime suite). Partially aggregated right after the generator."""
     present = [(c, v) for c, v in accepted if c in df.columns]
-    entries = F.array(*[F.when(~F.coalesce(_c(c).isin(list(v)), F.lit(False)),
-                               F.struct(F.lit(c).alias("column_name"), _c(c).cast("string").alias("invalid_value")))
-                        for c, v in present])
-    exploded = df.select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
-    return exploded.groupBy("column_name", "invalid_value").agg(F.count(F.lit(1)).alias("occurrences"))
+    entries = ", ".join(
+        f"CASE WHEN NOT coalesce({_in(c, v)}, false) THEN named_struct('column_name', {_lit(c)}, "
+        f"'invalid_value', CAST({_n(c)} AS STRING)) END" for c, v in present)
+    exploded = df.select(F.expr(f"inline(filter(array({entries}), e -> e IS NOT NULL))"))
+    return exploded.groupBy("column_name", "invalid_value").agg(F.expr("count(1) AS occurrences"))
 
 
 def ingest_gate(df: DataFrame, strict: bool = False) -> DataFrame:

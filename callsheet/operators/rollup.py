@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import pct
+from ..functions.metrics import exprs, pct, pct_sql
 
 
 def axis_rollups(metrics: DataFrame, axes: Mapping[str, Sequence[str]], size: str, conversions: str,
@@ -21,12 +21,12 @@ def axis_rollups(metrics: DataFrame, axes: Mapping[str, Sequence[str]], size: st
     """
     out = {}
     for axis, keys in axes.items():
-        agg = metrics.groupBy(*keys).agg(
-            F.sum(size).alias("size"), F.sum(conversions).alias("conversions"),
-            F.sum(duration_sum).alias("_dur"), F.sum(duration_n).alias("_n"))
-        out[axis] = agg.select(
-            *keys, "size", "conversions", pct(F.col("conversions"), F.col("size")).alias("rate"),
-            (F.col("_dur").cast("double") / F.nullif(F.col("_n"), F.lit(0))).alias("avg_duration"))
+        out[axis] = metrics.groupBy(*keys).agg(*exprs({
+            "size": f"sum({size})",
+            "conversions": f"sum({conversions})",
+            "rate": pct_sql(f"sum({conversions})", f"sum({size})"),
+            "avg_duration": f"CAST(sum({duration_sum}) AS DOUBLE) / NULLIF(sum({duration_n}), 0)",
+        }))
     return out
 
 
@@ -37,16 +37,16 @@ def share_of_total(df: DataFrame, value: str, out: str, digits: int = 2) -> Data
     single value is handed to every task; no single-partition window and no
     join are planned.
     """
-    total = df.agg(F.sum(value)).scalar()
+    total = df.agg(F.expr(f"sum({value})")).scalar()
     return df.withColumn(out, pct(F.col(value), total, digits))
 
 
 def trend(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
           previous: str, change: str, digits: int = 2) -> DataFrame:
     """Previous-period value and the rounded change (LAG over one window)."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    prev = F.lag(value).over(w)
-    return df.withColumns({previous: prev, change: F.round(F.col(value) - prev, digits)})
+    over = f"OVER (PARTITION BY {', '.join(partition)} ORDER BY {', '.join(order)})"
+    prev = f"lag({value}) {over}"
+    return df.select("*", *exprs({previous: prev, change: f"ROUND({value} - {prev}, {digits})"}))
 
 
 def unpivot_columns(df: DataFrame, columns: Sequence[tuple[str, str]], label: str, value: str,

@@ -59,7 +59,19 @@ IS_CONVERTED = "CASE WHEN subscribed = 'yes' THEN 1 ELSE 0 END"
 def segment(staged: DataFrame, rules: Mapping[str, RuleTable] | None = None) -> DataFrame:
     """Intermediate contacts: 18 columns (``customer_id`` only if staged with
     a key) plus carried lineage columns."""
-    seg = apply_rules(staged, rules or segment_rules()).selectExpr("*", f"{IS_CONVERTED} AS is_converted")
-    cols = [c for c in INT_COLUMNS if c in seg.columns]
-    carried = [c for c in ("contact_id", "client_key") if c in seg.columns]
-    return seg.select(*cols, *carried)
+    tables = dict(rules or segment_rules())
+    if not all(isinstance(p, str) for t in tables.values() for _, p in t.rules):
+        staged = apply_rules(staged, tables)
+        tables = {}
+    have = set(staged.columns)
+    derived = {name: t.sql() for name, t in tables.items()}
+    derived["is_converted"] = IS_CONVERTED
+    out = []
+    for c in INT_COLUMNS:
+        if c in derived:
+            out.append(f"{derived[c]} AS {c}")
+        elif c in have:
+            out.append(c)
+    carried = [c for c in ("contact_id", "client_key") if c in have]
+    # One projection: every rule table is a CASE expression over staged columns.
+    return staged.selectExpr(*out, *carried)

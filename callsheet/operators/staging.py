@@ -44,12 +44,10 @@ def stage_filter(raw: DataFrame) -> DataFrame:
     """The staging row filter, on raw (un-normalised) columns so that it can
     reach the source scan."""
     lo, hi = fixed.STAGE_AGE_RANGE
-    age = F.col("age")
     return raw.where(
-        age.isNotNull() & age.between(lo, hi)
-        & F.col("job").isNotNull() & F.col("marital").isNotNull() & F.col("education").isNotNull()
-        & (F.col("duration") >= fixed.STAGE_MIN_DURATION)
-        & (F.col("campaign") >= fixed.STAGE_MIN_CAMPAIGN))
+        f"age IS NOT NULL AND age BETWEEN {lo} AND {hi} AND job IS NOT NULL AND marital IS NOT NULL "
+        f"AND education IS NOT NULL AND duration >= {fixed.STAGE_MIN_DURATION} "
+        f"AND campaign >= {fixed.STAGE_MIN_CAMPAIGN}")
 
 
 def _normalise_sql(col: str, whitespace: bool) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.metrics import pct, yes
+from ..functions.metrics import YES, exprs, pct_sql
 from ..functions.time import on_day, yesterday
 from ..operators.alerts import AlertRule, threshold_alerts, no_data_alert
 from . import marts
@@ -18,20 +18,17 @@ def kpi_daily(staged: DataFrame, as_of: dt.date) -> DataFrame:
     """Yesterday's KPI row. ``unique_customers`` counts the surrogate key, a
     row number, so it equals the row count."""
     day = yesterday(as_of)
-    n = F.count(F.lit(1))
     return (staged.where(on_day("processed_at", day))
-            .groupBy(F.to_date("processed_at").alias("report_date"))
-            .agg(n.alias("total_contacts"), F.count_if(yes()).alias("successful_contacts"),
-                 pct(F.count_if(yes()), n).alias("conversion_rate"),
-                 F.avg("call_duration_seconds").alias("avg_call_duration"),
-                 n.alias("unique_customers")))
+            .groupBy(F.expr("to_date(processed_at) AS report_date"))
+            .agg(*exprs({"total_contacts": "count(1)", "successful_contacts": f"count_if({YES})",
+                         "conversion_rate": pct_sql(f"count_if({YES})", "count(1)"),
+                         "avg_call_duration": "avg(call_duration_seconds)", "unique_customers": "count(1)"})))
 
 
 def segment_rates(contacts: DataFrame, keys: list[str]) -> DataFrame:
-    n = F.count(F.lit(1))
-    return contacts.groupBy(*keys).agg(
-        n.alias("segment_size"), F.count_if(yes()).alias("segment_conversions"),
-        pct(F.count_if(yes()), n).alias("segment_conversion_rate"))
+    return contacts.groupBy(*keys).agg(*exprs({
+        "segment_size": "count(1)", "segment_conversions": f"count_if({YES})",
+        "segment_conversion_rate": pct_sql(f"count_if({YES})", "count(1)")}))
 
 
 def top_segments(contacts: DataFrame, as_of: dt.date, n: int = fixed.TOP_SEGMENTS) -> DataFrame:
@@ -56,28 +53,26 @@ def campaign_report(contacts: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def conversion_by_campaign(contacts: DataFrame) -> DataFrame:
-    n = F.count(F.lit(1))
-    return contacts.groupBy("campaign_number").agg(pct(F.count_if(yes()), n).alias("conversion_rate"))
+    return contacts.groupBy("campaign_number").agg(
+        *exprs({"conversion_rate": pct_sql(f"count_if({YES})", "count(1)")}))
 
 
 def successes(contacts: DataFrame) -> DataFrame:
     """Successful contacts and unique customers among them (row-number key)."""
-    n = F.count(F.lit(1))
-    return contacts.where(yes()).agg(n.alias("successful_contacts"), n.alias("unique_customers"))
+    return contacts.where(YES).agg(*exprs({"successful_contacts": "count(1)", "unique_customers": "count(1)"}))
 
 
 def unique_clients(contacts: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Exact distinct real clients per key. Spark plans the distinct count as
     a group-by on (key, client) first, so a hot key is spread by client."""
     keys = keys or ["campaign_number"]
-    return contacts.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_contacts"),
-                                       F.count_distinct("client_key").alias("unique_clients"))
+    return contacts.groupBy(*keys).agg(*exprs({"total_contacts": "count(1)",
+                                               "unique_clients": "count(DISTINCT client_key)"}))
 
 
 def age_job(contacts: DataFrame) -> DataFrame:
-    n = F.count(F.lit(1))
-    return contacts.groupBy("age_group", "job_category").agg(
-        n.alias("customer_count"), pct(F.count_if(yes()), n).alias("segment_conversion_rate"))
+    return contacts.groupBy("age_group", "job_category").agg(*exprs({
+        "customer_count": "count(1)", "segment_conversion_rate": pct_sql(f"count_if({YES})", "count(1)")}))
 
 
 CONVERSION_RULE = AlertRule("low_conversion", "conversion_rate", fixed.CONVERSION_FLOOR,

@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.metrics import conversion_aggs, pct, per_hour, rule_pivot
+from ..functions.metrics import as_of_sql, conversion_aggs, exprs, pct_sql, per_hour_sql, rule_pivot_sql
 from ..functions.rules import floors
 from ..operators.rollup import axis_rollups, share_of_total, trend
-from ..operators.staging import as_of_timestamp
 from ..session import materialize
 
 SEGMENT_KEYS = ["age_group", "age_category", "job_category", "income_level", "credit_risk_profile",
@@ -55,9 +54,9 @@ _N_DUR = "_n_duration"
 def segment_metrics(contacts: DataFrame, as_of: dt.date | None = None, keep_count: bool = False) -> DataFrame:
     """7-key segment metrics. ``keep_count`` also keeps the count of
     non-null durations, needed to re-aggregate averages exactly."""
-    aggs = conversion_aggs(SEGMENT_METRICS, as_of=as_of_timestamp(as_of))
+    aggs = conversion_aggs(SEGMENT_METRICS, as_of=as_of)
     if keep_count:
-        aggs.append(F.count("call_duration_seconds").alias(_N_DUR))
+        aggs.append(F.expr(f"count(call_duration_seconds) AS {_N_DUR}"))
     return contacts.groupBy(*SEGMENT_KEYS).agg(*aggs)
 
 
@@ -80,16 +79,15 @@ def dimension_from_metrics(sm: DataFrame, exact: bool) -> DataFrame:
     out = sm
     for name, right_keys, join_keys, rate_name, avg_name in AXES:
         keys = right_keys if exact else join_keys
-        right = rolled[name].select(*keys, F.col("rate").alias(rate_name), F.col("avg_duration").alias(avg_name))
+        right = rolled[name].selectExpr(*keys, f"rate AS {rate_name}", f"avg_duration AS {avg_name}")
         # The right side has at most one row per label combination of a rule
         # table (<= 18 rows), a size bound that holds at any data volume.
         out = out.join(F.broadcast(right), keys, "left")
-    out = out.drop(_N_DUR).withColumns({
-        "segment_performance_category": floors("segment_conversion_rate", fixed.SEGMENT_PERFORMANCE,
-                                               fixed.SEGMENT_PERFORMANCE_ELSE).column(),
-        "segment_conversions_per_hour": per_hour(F.col("segment_conversions"),
-                                                 F.col("total_call_duration_segment")),
-    })
+    perf = floors("segment_conversion_rate", fixed.SEGMENT_PERFORMANCE, fixed.SEGMENT_PERFORMANCE_ELSE).sql()
+    out = out.select("*", *exprs({
+        "segment_performance_category": perf,
+        "segment_conversions_per_hour": per_hour_sql("segment_conversions", "total_call_duration_segment"),
+    }))
     out = share_of_total(out, "segment_size", "segment_size_percentage")
     cols = SEGMENT_KEYS + list(SEGMENT_METRICS.values()) + [
         "age_segment_conversion_rate", "avg_age_call_duration", "job_segment_conversion_rate",
@@ -115,8 +113,8 @@ def dim_segments_exact(contacts: DataFrame, as_of: dt.date | None = None) -> Dat
 
 def daily_performance(contacts: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Per day x campaign x six segments."""
-    return (contacts.withColumn("campaign_date", F.to_date("processed_at"))
-            .groupBy(*DAILY_KEYS).agg(*conversion_aggs(DAILY_METRICS, as_of=as_of_timestamp(as_of))))
+    return (contacts.groupBy(F.expr("to_date(processed_at) AS campaign_date"), *DAILY_KEYS[1:])
+            .agg(*conversion_aggs(DAILY_METRICS, as_of=as_of)))
 
 
 def campaign_summary(contacts: DataFrame, as_of: dt.date | None = None, mean_digits: int | None = 6,
@@ -129,19 +127,19 @@ def campaign_summary(contacts: DataFrame, as_of: dt.date | None = None, mean_dig
     ``weighted_avg_call_duration`` is the per-contact mean.
     """
     daily = daily if daily is not None else daily_performance(contacts, as_of)
-    mean = F.avg("avg_call_duration")
-    aggs: list[Column] = [
-        F.sum("total_contacts").alias("total_contacts"),
-        F.sum("successful_contacts").alias("total_conversions"),
-        pct(F.sum("successful_contacts"), F.sum("total_contacts")).alias("overall_conversion_rate"),
-        (F.round(mean, mean_digits) if mean_digits is not None else mean).alias("avg_call_duration"),
-        F.sum("total_call_duration").alias("total_call_duration_hours"),
-        *rule_pivot("age_group", fixed.AGE_PIVOT, "successful_contacts"),
-        *rule_pivot("job_category", fixed.JOB_PIVOT, "successful_contacts"),
-        *rule_pivot("credit_risk_profile", fixed.RISK_PIVOT, "successful_contacts"),
-        F.max("last_updated").alias("last_updated"),
-    ]
-    return daily.groupBy("campaign_number", "campaign_date").agg(*aggs)
+    mean = "avg(avg_call_duration)"
+    aggs = {
+        "total_contacts": "sum(total_contacts)",
+        "total_conversions": "sum(successful_contacts)",
+        "overall_conversion_rate": pct_sql("sum(successful_contacts)", "sum(total_contacts)"),
+        "avg_call_duration": f"ROUND({mean}, {mean_digits})" if mean_digits is not None else mean,
+        "total_call_duration_hours": "sum(total_call_duration)",
+        **rule_pivot_sql("age_group", fixed.AGE_PIVOT, "successful_contacts"),
+        **rule_pivot_sql("job_category", fixed.JOB_PIVOT, "successful_contacts"),
+        **rule_pivot_sql("credit_risk_profile", fixed.RISK_PIVOT, "successful_contacts"),
+        "last_updated": "max(last_updated)",
+    }
+    return daily.groupBy("campaign_number", "campaign_date").agg(*exprs(aggs))
 
 
 FCT_COLUMNS = [
@@ -153,11 +151,11 @@ FCT_COLUMNS = [
 
 
 def with_performance(summary: DataFrame) -> DataFrame:
-    return summary.withColumns({
-        "performance_category": floors("overall_conversion_rate", fixed.CAMPAIGN_PERFORMANCE,
-                                       fixed.CAMPAIGN_PERFORMANCE_ELSE).column(),
-        "conversions_per_hour": per_hour(F.col("total_conversions"), F.col("total_call_duration_hours")),
-    })
+    perf = floors("overall_conversion_rate", fixed.CAMPAIGN_PERFORMANCE, fixed.CAMPAIGN_PERFORMANCE_ELSE).sql()
+    return summary.select("*", *exprs({
+        "performance_category": perf,
+        "conversions_per_hour": per_hour_sql("total_conversions", "total_call_duration_hours"),
+    }))
 
 
 def fct_campaigns(contacts: DataFrame | None, as_of: dt.date | None = None, with_trend: bool = True,

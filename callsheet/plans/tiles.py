@@ -16,32 +16,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.metrics import pct, yes
+from ..functions.metrics import YES, exprs, pct_sql
 from ..functions.time import last_days, timeframe
 from ..operators.rollup import unpivot_columns
 from . import marts
 
 
-def _n() -> Column:
-    return F.count(F.lit(1))
-
-
-def measures() -> dict[str, Column]:
-    conv = F.count_if(yes())
+def measure_sql() -> dict[str, str]:
+    conv = f"count_if({YES})"
     return {
-        "total_contacts": _n(),
+        "total_contacts": "count(1)",
         "successful_contacts": conv,
-        "conversion_rate": pct(conv, _n(), None),
-        "avg_call_duration": F.avg("call_duration_seconds"),
-        "total_call_duration_hours": F.sum("call_duration_seconds") / F.lit(3600.0),
+        "conversion_rate": pct_sql(conv, "count(1)", None),
+        "avg_call_duration": "avg(call_duration_seconds)",
+        "total_call_duration_hours": "sum(call_duration_seconds) / 3600.0D",
         # the contact key is a row number: distinct keys = rows
-        "unique_customers": _n(),
-        "young_conversions": F.count_if(yes() & (F.col("age_group") == "Young (18-24)")),
-        "professional_conversions": F.count_if(yes() & (F.col("job_category") == "Professional")),
-        "low_risk_conversions": F.count_if(yes() & (F.col("credit_risk_profile") == "Low Risk")),
+        "unique_customers": "count(1)",
+        "young_conversions": f"count_if({YES} AND age_group = 'Young (18-24)')",
+        "professional_conversions": f"count_if({YES} AND job_category = 'Professional')",
+        "low_risk_conversions": f"count_if({YES} AND credit_risk_profile = 'Low Risk')",
     }
 
 
+def measures() -> dict[str, Column]:
+    return {name: F.expr(sql) for name, sql in measure_sql().items()}
+
+
 def field_filters(filters: Mapping[str, Sequence] | None) -> Column | None:
     """Equality filters ``field IN (values)``; an empty value list is no filter."""
     cond = None
@@ -64,8 +64,8 @@ def measure_query(df: DataFrame, dims: Sequence[str], names: Sequence[str],
         df = df.where(cond)
     dim_cols = [timeframe(date_col, d.split("_", 1)[1]).alias(d) if d.startswith("created_") else F.col(d)
                 for d in dims]
-    m = measures()
-    out = df.groupBy(*dim_cols).agg(*[m[n].alias(n) for n in names]) if names else \
+    m = measure_sql()
+    out = df.groupBy(*dim_cols).agg(*exprs({n: m[n] for n in names})) if names else \
         df.select(*dim_cols).distinct()
     if sorts:
         out = out.orderBy(*sorts)
@@ -80,9 +80,9 @@ def by_timeframe(contacts: DataFrame, frames: Sequence[str] = ("date", "week", "
     aggregate (combined map-side) rolls them up."""
     periods = F.array(*[F.struct(F.lit(f).alias("timeframe"), timeframe("processed_at", f).alias("period_start"))
                         for f in frames])
-    m = measures()
+    m = measure_sql()
     return (contacts.select("*", F.inline(periods))
-            .groupBy("timeframe", "period_start").agg(*[m[n].alias(n) for n in names]))
+            .groupBy("timeframe", "period_start").agg(*exprs({n: m[n] for n in names})))
 
 
 def _window_contacts(contacts: DataFrame, as_of: dt.date, days: int) -> DataFrame:
@@ -153,10 +153,9 @@ def tile_summary(contacts: DataFrame, as_of: dt.date) -> DataFrame:
     best = dim.agg(F.min_by(F.struct("age_group", "job_category", "segment_conversion_rate"),
                             F.struct(-F.col("segment_conversion_rate"), F.col("age_group"),
                                      F.col("job_category")))).scalar()
-    n = F.count(F.lit(1))
-    return w.agg(
-        pct(F.count_if(yes()), n).alias("overall_conversion_rate"), n.alias("total_contacts"),
-        F.count_if(yes()).alias("total_conversions"), F.avg("call_duration_seconds").alias("avg_call_duration"),
+    return w.agg(*exprs({
+        "overall_conversion_rate": pct_sql(f"count_if({YES})", "count(1)"), "total_contacts": "count(1)",
+        "total_conversions": f"count_if({YES})", "avg_call_duration": "avg(call_duration_seconds)"}),
     ).select("*", best.getField("age_group").alias("top_age_group"),
              best.getField("job_category").alias("top_job_category"),
              best.getField("segment_conversion_rate").alias("top_segment_conversion_rate"))
