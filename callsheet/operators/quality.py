@@ -238,14 +238,18 @@ def ingest_gate(df: DataFrame, strict: bool = False) -> DataFrame:
 
 def relationships(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
                   name: str | None = None) -> DataFrame:
-    """Referential integrity: non-null child keys without a parent row.
+    """Referential integrity: child rows whose non-null key has no parent row.
 
-    A left-anti join: both sides shuffle on the key (or the planner
-    broadcasts the parent when its runtime size is under the threshold).
+    Child keys are counted first (combined map-side, so a key holding a
+    third of all rows arrives as one row), parent keys are de-duplicated the
+    same way, and only then are the two key sets anti-joined; the violation
+    count sums the orphan keys' row counts, so it is exact.
     """
-    keys = child.select(F.col(child_col).alias("_k")).where(F.col("_k").isNotNull())
-    orphans = keys.join(parent.select(F.col(parent_col).alias("_k")), "_k", "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("violations")).select(
+    keys = (child.where(F.col(child_col).isNotNull()).groupBy(F.col(child_col).alias("_k"))
+            .agg(F.expr("count(1) AS _rows")))
+    parents = parent.select(F.col(parent_col).alias("_k")).distinct()
+    orphans = keys.join(parents, "_k", "left_anti")
+    return orphans.agg(F.expr("coalesce(sum(_rows), 0) AS violations")).select(
         F.lit(name or f"relationships_{child_col}_{parent_col}").alias("test_name"),
         "violations", _status(F.col("violations")).alias("status"))
 

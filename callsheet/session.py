@@ -54,7 +54,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Partition count for an explicit repartition: AQE's initial partition
+    number when set (a cluster sizes it from the input), else the session's
+    shuffle partitions."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def scale_settings(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a given input size (e.g. 100 TB on 1000 executors).
+
+    Shuffle partitions start at about one per 256 MB of input (at least two
+    per core) and AQE coalesces small ones at run time; a skewed partition
+    over five times the median (and 256 MB) is split for joins; scans split
+    files into 256 MB tasks.
+    """
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
 
 
 def materialize(df: DataFrame) -> DataFrame:

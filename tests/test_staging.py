@@ -74,3 +74,21 @@ def test_key_free_staging_pushes_day_filter_to_scan(spark):
     plan = spark._jvm.PythonSQLUtils.explainString(st._jdf.queryExecution(), "formatted")
     pushed = [ln for ln in plan.splitlines() if ln.startswith("PushedFilters") and "o_orderdate" in ln]
     assert pushed and "GreaterThanOrEqual(o_orderdate" in pushed[0] and "LessThan(o_orderdate" in pushed[0]
+
+
+def test_scale_settings_grow_with_input():
+    from callsheet.session import scale_settings
+    s = scale_settings(100 * 1024 ** 4, cores=8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_settings(10 << 20, cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_surrogate_key_with_aqe_initial_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "5")
+    try:
+        df = spark.range(0, 500).select((F.col("id") % 7).alias("k"), F.col("id").alias("tie"))
+        got = surrogate_key(df, "sk", ["k", "tie"])
+        want = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "tie")))
+        assert got.join(want, ["k", "tie"]).where("sk != rn").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
