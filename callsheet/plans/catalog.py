@@ -311,7 +311,7 @@ def q_stream_dq(spark, sf_dir):
     contacts = contacts_from_star(orders, read_table(spark, sf_dir, "customer"))
     sink = files.scratch_path(spark, "stream_dq")
     skpis.quality_stream(contacts.select(*[F.col(f"`{c}`") for c in RAW21]), sink, sink + "_ckpt")
-    return spark.read.parquet(sink)
+    return skpis.read_quality_sink(spark, sink)
 
 
 def read_table_schema(spark, sf_dir, name):

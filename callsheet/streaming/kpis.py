@@ -66,19 +66,29 @@ def run_to_parquet(stream: DataFrame, sink: str, checkpoint: str, output_mode: s
 
 
 def quality_stream(stream: DataFrame, sink: str, checkpoint: str) -> None:
-    """Runtime checks on every micro-batch, appended with the batch id.
-    Each batch costs one aggregate over that batch only."""
+    """Runtime checks on every micro-batch, one folder per batch id.
+
+    Each batch costs one aggregate over that batch only. A batch that is
+    re-run after a failure overwrites its own folder, so the sink stays
+    exactly-once although ``foreachBatch`` is at-least-once. Read it back
+    with ``read_quality_sink``.
+    """
     cols = [c for c in RAW_TYPES if c in stream.columns]
 
     def check_batch(batch: DataFrame, batch_id: int) -> None:
         res = run_suite(batch, runtime_checks(cols))
-        res.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(sink)
+        res.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = (stream.writeStream.foreachBatch(check_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def read_quality_sink(spark: SparkSession, sink: str) -> DataFrame:
+    df = spark.read.parquet(sink)
+    return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
 def file_stream(spark: SparkSession, folder: str, file_glob: str, schema, max_files: int | None = None) -> DataFrame:
     """A file-source stream over ``folder`` restricted to ``file_glob``."""
     r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
