@@ -350,3 +350,10 @@ QUERIES.update({
     "int_segments_risk_v2": q_int_segments_risk_v2,
     "axis_rollups": q_axis_rollups,
 })
+
+
+def q_fct_campaigns_extended(spark, sf_dir):
+    return marts.fct_campaigns_extended(_int(spark, sf_dir), AS_OF)
+
+
+QUERIES["fct_campaigns_extended"] = q_fct_campaigns_extended

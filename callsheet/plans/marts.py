@@ -180,3 +180,18 @@ def fct_campaigns(contacts: DataFrame | None, as_of: dt.date | None = None, with
         out = out.select(*[c for c in FCT_COLUMNS if c not in ("previous_conversion_rate",
                                                                "conversion_rate_change")])
     return out.orderBy("campaign_number", "campaign_date") if sort else out
+
+
+def fct_campaigns_extended(contacts: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """Campaign x day extras kept out of the parity fact: the per-contact
+    (weighted) mean call duration next to the mean of daily segment means,
+    and the conversions of the ``Other`` job category that the fact's job
+    pivot leaves out. One aggregate over the daily table."""
+    daily = daily_performance(contacts, as_of)
+    return daily.groupBy("campaign_number", "campaign_date").agg(*exprs({
+        "total_contacts": "sum(total_contacts)",
+        "avg_call_duration": "ROUND(avg(avg_call_duration), 6)",
+        "weighted_avg_call_duration": "CAST(sum(total_call_duration) AS DOUBLE) / sum(total_contacts)",
+        "other_conversions": f"sum(CASE WHEN job_category = '{fixed.JOB_CATEGORY_ELSE}' "
+                             "THEN successful_contacts ELSE 0 END)",
+    }))
