@@ -30,6 +30,7 @@ def test_pipeline_marts_equal_direct_marts(spark):
     assert _same(spark.read.parquet(paths["dim_customer_segments_exact"]), marts.dim_segments_exact(contacts, AS_OF))
     assert _same(spark.read.parquet(paths["fct_campaign_performance"]), marts.fct_campaigns(contacts, AS_OF))
     assert spark.read.parquet(paths["dq_test_results"]).count() == 6
+    assert spark.read.parquet(paths["raw_bank_marketing"]).count() == raw.count()
 
 
 def test_threshold_and_no_data_alerts(spark):
