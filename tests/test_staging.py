@@ -92,3 +92,14 @@ def test_surrogate_key_with_aqe_initial_partitions(spark):
         assert got.join(want, ["k", "tie"]).where("sk != rn").count() == 0
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_keys_reproducible_across_recomputation(spark):
+    """What a recomputed task (lost executor) relies on: an independent
+    computation assigns every contact the same key."""
+    a = stage(raw_contacts(spark, SF_SMALL)).select("contact_id", F.col("customer_id").alias("a"))
+    first = {r.contact_id: r.a for r in a.collect()}
+    spark.catalog.clearCache()
+    b = stage(raw_contacts(spark, SF_SMALL), ).select("contact_id", F.col("customer_id").alias("b"))
+    second = {r.contact_id: r.b for r in b.collect()}
+    assert first == second
