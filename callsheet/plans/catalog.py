@@ -13,10 +13,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.segments import segment
+from ..functions.metrics import yes as _yes
+from ..operators import quality
+from ..operators.segments import risk_rules_v2, segment, segment_rules
 from ..operators.staging import stage
-from ..sources.star import raw_contacts
-from . import marts
+from ..schema import RAW_SCHEMA_WITH_LINEAGE, RAW_TYPES
+from ..sources import files
+from ..sources.star import contacts_from_star, raw_contacts, read_table
+from ..streaming import kpis as skpis
+from . import kpis, marts, tiles
 
 AS_OF = dt.date(1998, 6, 10)
 
@@ -40,8 +45,7 @@ def q_int_segments(spark, sf_dir):
 
 
 def q_kpi_age_job(spark, sf_dir):
-    from .kpis import age_job
-    return age_job(_int(spark, sf_dir))
+    return kpis.age_job(_int(spark, sf_dir))
 
 
 def q_segment_metrics(spark, sf_dir):
@@ -78,8 +82,6 @@ QUERIES: dict[str, Query] = {
 
 
 # --- quality --------------------------------------------------------------
-from ..operators import quality  # noqa: E402
-from ..schema import RAW_TYPES  # noqa: E402
 
 RAW21 = list(RAW_TYPES)
 
@@ -150,7 +152,6 @@ def q_dq_history_yesterday(spark, sf_dir):
 
 
 def q_dq_relationships(spark, sf_dir):
-    from ..sources.star import read_table
     return quality.relationships(raw_contacts(spark, sf_dir), "client_key",
                                  read_table(spark, sf_dir, "customer"), "c_custkey",
                                  "relationships_client_key_customer")
@@ -176,7 +177,6 @@ QUERIES.update({
 
 
 # --- KPI report, alerts -----------------------------------------------------
-from . import kpis, tiles  # noqa: E402
 
 
 def q_kpi_daily(spark, sf_dir):
@@ -248,7 +248,6 @@ QUERIES.update({
 
 
 # --- sources and sinks ------------------------------------------------------
-from ..sources import files  # noqa: E402
 
 
 def q_csv_roundtrip(spark, sf_dir):
@@ -256,7 +255,6 @@ def q_csv_roundtrip(spark, sf_dir):
     them back with the explicit schema (lossless)."""
     path = files.scratch_path(spark, "csv_roundtrip")
     files.write_contacts_csv(raw_contacts(spark, sf_dir), path)
-    from ..schema import RAW_SCHEMA_WITH_LINEAGE
     return files.read_contacts(spark, path, schema=RAW_SCHEMA_WITH_LINEAGE)
 
 
@@ -275,15 +273,12 @@ def q_mart_roundtrip(spark, sf_dir):
 
 
 # --- streaming ---------------------------------------------------------------
-from ..functions.metrics import yes as _yes  # noqa: E402
-from ..streaming import kpis as skpis  # noqa: E402
 
 
 def q_stream_kpi_daily(spark, sf_dir):
     """Daily KPIs of staged contacts computed by a stream: orders arrive as a
     file stream, are joined to the static customer table, staged, and
     aggregated per one-day event-time window (complete mode)."""
-    from ..sources.star import contacts_from_star, read_table
     orders_static = read_table(spark, sf_dir, "orders")
     orders = skpis.file_stream(spark, sf_dir, "orders.parquet", orders_static.schema)
     staged = stage(contacts_from_star(orders, read_table(spark, sf_dir, "customer")), AS_OF, with_key=False)
@@ -295,7 +290,7 @@ def q_stream_kpi_daily(spark, sf_dir):
 
 def q_stream_event_kpis(spark, sf_dir):
     """The same windowed KPIs over the event stream (purchase = success)."""
-    schema = read_table_schema(spark, sf_dir, "events")
+    schema = read_table(spark, sf_dir, "events").schema
     events = skpis.file_stream(spark, sf_dir, "events.parquet", schema)
     out = skpis.daily_kpis_stream(events, "ts", F.col("event_type") == "purchase", F.col("value"))
     sink = files.scratch_path(spark, "stream_event_kpis")
@@ -305,7 +300,6 @@ def q_stream_event_kpis(spark, sf_dir):
 
 def q_stream_dq(spark, sf_dir):
     """Runtime quality checks per micro-batch of the contact stream."""
-    from ..sources.star import contacts_from_star, read_table
     orders_static = read_table(spark, sf_dir, "orders")
     orders = skpis.file_stream(spark, sf_dir, "orders.parquet", orders_static.schema)
     contacts = contacts_from_star(orders, read_table(spark, sf_dir, "customer"))
@@ -314,11 +308,6 @@ def q_stream_dq(spark, sf_dir):
     return skpis.read_quality_sink(spark, sink)
 
 
-def read_table_schema(spark, sf_dir, name):
-    from ..sources.star import read_table
-    return read_table(spark, sf_dir, name).schema
-
-
 QUERIES.update({
     "csv_roundtrip": q_csv_roundtrip,
     "coerce_schema": q_coerce_schema,
@@ -331,7 +320,6 @@ QUERIES.update({
 
 # --- more segment and roll-up queries -----------------------------------------
 def q_int_segments_risk_v2(spark, sf_dir):
-    from ..operators.segments import risk_rules_v2, segment_rules
     return segment(stage(raw_contacts(spark, sf_dir), AS_OF, with_key=False), segment_rules(risk_rules_v2()))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.metrics import as_of_sql, conversion_aggs, exprs, pct_sql, per_hour_sql, rule_pivot_sql
+from ..functions.metrics import conversion_aggs, exprs, pct_sql, per_hour_sql, rule_pivot_sql
 from ..functions.rules import floors
 from ..operators.rollup import axis_rollups, share_of_total, trend
 from ..session import materialize
