@@ -124,3 +124,31 @@ def test_grouped_report_per_day(spark, group):
     df = frame(spark).withColumn("d", F.when(F.col("age") < 35, F.lit("a")).otherwise(F.lit("b")))
     rep = quality.test_report(df, group_by=["d"], columns=[c for c in df.columns if c != "d"])
     assert rep.count() == 12
+
+
+def _loader_frame(spark):
+    return frame(spark).withColumn("balance", F.lit(1.0)).withColumn("day", F.lit(5).cast("bigint"))
+
+
+@pytest.mark.parametrize("variant,critical,optional", [
+    ("drop_age", "has_age", ""),
+    ("age_100", "", "age_range"),
+    ("duration_negative", "", "duration_positive"),
+    ("duplicate_row", "", "no_duplicates"),
+    ("clean", "", ""),
+])
+def test_loader_fixture_variants(spark, variant, critical, optional):
+    df = _loader_frame(spark)
+    if variant == "drop_age":
+        df = df.drop("age")
+    elif variant == "age_100":
+        df = df.withColumn("age", F.when(F.col("age") == 25, F.lit(100)).otherwise(F.col("age")))
+    elif variant == "duration_negative":
+        df = df.withColumn("duration", F.when(F.col("age") == 25, F.lit(-10)).otherwise(F.col("duration")))
+    elif variant == "duplicate_row":
+        df = df.unionByName(df.where("age = 25"))
+    g = quality.ingest_gate(df).first()
+    assert (g.failed_critical, g.failed_optional) == (critical, optional)
+    # soft checks only warn; strict mode rejects them as the loader's tests expect
+    assert g.passed is (critical == "")
+    assert quality.ingest_gate(df, strict=True).first().passed is (critical == "" and optional == "")
