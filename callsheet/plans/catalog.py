@@ -21,6 +21,7 @@ from ..schema import RAW_SCHEMA_WITH_LINEAGE, RAW_TYPES
 from ..sources import files
 from ..sources.star import contacts_from_star, raw_contacts, read_table
 from ..streaming import kpis as skpis
+from ..session import materialize
 from . import kpis, marts, tiles
 
 AS_OF = dt.date(1998, 6, 10)
@@ -326,7 +327,8 @@ def q_int_segments_risk_v2(spark, sf_dir):
 def q_axis_rollups(spark, sf_dir):
     """The four single-axis roll-ups (age, job, risk, engagement), re-aggregated
     from the segment table and stacked with an ``axis`` column."""
-    sm = marts.segment_metrics(_int(spark, sf_dir), AS_OF, keep_count=True)
+    # one pass over the contacts: every axis reads the checkpointed segment table
+    sm = materialize(marts.segment_metrics(_int(spark, sf_dir), AS_OF, keep_count=True))
     out = None
     for axis, frame in marts.segment_axes(sm).items():
         frame = frame.withColumn("axis", F.lit(axis))

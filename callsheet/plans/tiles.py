@@ -145,20 +145,26 @@ def tile_daily_trend(contacts: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def tile_summary(contacts: DataFrame, as_of: dt.date) -> DataFrame:
-    """One row: window totals plus the best segment of the dimension
-    (highest rate; ties by age group, job category). The best segment is a
-    scalar subquery over the bounded dimension table."""
+    """One row: window totals plus the best segment (highest rate; ties by
+    age group, job category).
+
+    The two one-row aggregates are stacked and folded into one row (each
+    field is non-null in exactly one of them): each source is scanned once,
+    with no join and no subquery per field.
+    """
     w = _window_contacts(contacts, as_of, fixed.TILE_WINDOW_DAYS)
-    dim = _segment_rows(contacts, as_of)
-    best = dim.agg(F.min_by(F.struct("age_group", "job_category", "segment_conversion_rate"),
-                            F.struct(-F.col("segment_conversion_rate"), F.col("age_group"),
-                                     F.col("job_category")))).scalar()
-    return w.agg(*exprs({
+    totals = w.agg(*exprs({
         "overall_conversion_rate": pct_sql(f"count_if({YES})", "count(1)"), "total_contacts": "count(1)",
-        "total_conversions": f"count_if({YES})", "avg_call_duration": "avg(call_duration_seconds)"}),
-    ).select("*", best.getField("age_group").alias("top_age_group"),
-             best.getField("job_category").alias("top_job_category"),
-             best.getField("segment_conversion_rate").alias("top_segment_conversion_rate"))
+        "total_conversions": f"count_if({YES})", "avg_call_duration": "avg(call_duration_seconds)"}))
+    best = _segment_rows(contacts, as_of).agg(F.expr(
+        "min_by(named_struct('age_group', age_group, 'job_category', job_category, "
+        "'rate', segment_conversion_rate), "
+        "named_struct('r', -segment_conversion_rate, 'a', age_group, 'j', job_category)) AS b")).selectExpr(
+        "b.age_group AS top_age_group", "b.job_category AS top_job_category",
+        "b.rate AS top_segment_conversion_rate")
+    stacked = totals.unionByName(best, allowMissingColumns=True)
+    cols = totals.columns + best.columns
+    return stacked.agg(*[F.expr(f"max({c}) AS {c}") for c in cols])
 
 
 DASHBOARD_FILTERS = {"campaign_number": [1, 2], "age_group": [], "job_category": ["Professional", "Skilled"],
