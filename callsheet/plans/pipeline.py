@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import pct
+from ..functions.time import on_day, yesterday
 from ..operators import quality
 from ..operators.segments import segment
 from ..operators.staging import as_of_timestamp, stage
@@ -87,3 +88,25 @@ def run_pipeline(raw: DataFrame, target: str, as_of: dt.date) -> dict[str, str]:
     score = quality.quality_score(report)
     paths["alerts"] = write_table(kpis.alerts(daily, score, as_of), f"{target}/alerts")
     return paths
+
+
+def daily_report(raw: DataFrame, as_of: dt.date) -> dict[str, DataFrame]:
+    """The four tables of the daily report for ``as_of - 1``: KPI row, top
+    age x job segments, yesterday's campaigns, and the test-result history
+    of that day. Each is a DataFrame; delivery (HTML, mail) is not built."""
+    if "processed_at" not in raw.columns:  # no contact time: load time, as staging uses
+        raw = raw.withColumn("processed_at", as_of_timestamp(as_of))
+    staged = stage(raw, as_of, with_key=False)
+    contacts = segment(staged)
+    day = yesterday(as_of)
+    day_raw = raw.where(on_day("processed_at", day))
+    dated = day_raw.withColumn("test_date", F.to_date("processed_at").cast("timestamp_ntz"))
+    cols = [c for c in RAW_TYPES if c in raw.columns]
+    tests = quality.test_report(dated, group_by=["test_date"], columns=cols).select(
+        "test_name", "status", "failures", F.lit(None).cast("double").alias("execution_time"), "test_date")
+    return {
+        "kpis": kpis.kpi_daily(staged, as_of),
+        "segments": kpis.top_segments(contacts, as_of),
+        "campaigns": kpis.campaign_report(contacts, as_of),
+        "tests": tests.orderBy(F.desc("test_date"), "test_name"),
+    }

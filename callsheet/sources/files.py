@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
-from ..schema import DOTTED_NAMES, RAW_SCHEMA, RAW_SCHEMA_WITH_LINEAGE, loader_type
+from ..schema import DOTTED_NAMES, RAW_SCHEMA_WITH_LINEAGE, RAW_TYPES, loader_type
 from ..session import checkpoint_dir
 
 CSV_OPTIONS = {
@@ -28,12 +28,35 @@ CSV_OPTIONS = {
 }
 
 
+_LINEAGE_TYPES = {"contact_id": "bigint", "client_key": "bigint", "processed_at": "timestamp_ntz"}
+
+
+def header_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Typed schema from a delimited file's header: declared types for the
+    canonical columns (dotted names included), lineage types, and the
+    loader's type-by-name rule for anything else. Only the header is read."""
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    types = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType(),
+             "timestamp_ntz": T.TimestampNTZType()}
+
+    def type_of(name: str) -> str:
+        canon = DOTTED_NAMES.get(name, name)
+        return RAW_TYPES.get(canon) or _LINEAGE_TYPES.get(canon) or loader_type(canon)
+
+    return T.StructType([T.StructField(n, types[type_of(n)], True) for n in names])
+
+
 def read_contacts(spark: SparkSession, path: str, fmt: str = "csv",
                   schema: T.StructType | None = None, **options) -> DataFrame:
-    """Read raw contacts (``;``-separated with a header by default)."""
+    """Read raw contacts (``;``-separated with a header by default).
+
+    Without an explicit schema the columns are taken from the header and
+    typed by name (never inferred from the data), so files with lineage
+    columns, dotted names or the loader's columns read correctly.
+    """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS).schema(schema or RAW_SCHEMA)
+        reader = reader.options(**CSV_OPTIONS).schema(schema or header_schema(spark, path))
     elif schema is not None:
         reader = reader.schema(schema)
     return reader.options(**options).load(path)

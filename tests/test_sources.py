@@ -43,3 +43,16 @@ def test_table_sink_overwrite(spark):
     files.write_table(df, path, partition_by=["p"])
     files.write_table(df.where("id < 4"), path, partition_by=["p"])
     assert spark.read.parquet(path).count() == 4
+
+
+def test_header_typed_read_keeps_extra_columns(spark):
+    raw = raw_contacts(spark, SF_SMALL)
+    path = files.scratch_path(spark, "test_header")
+    files.write_contacts_csv(raw, path)
+    back = files.read_contacts(spark, path)  # no schema: header names, types by name
+    assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in raw.schema]
+    loader = spark.createDataFrame([(30, "admin.", 2.5, 7)], "age bigint, job string, balance double, day bigint")
+    p2 = files.scratch_path(spark, "test_loader_csv")
+    files.write_contacts_csv(loader, p2)
+    assert [f.dataType.simpleString() for f in files.read_contacts(spark, p2).schema] == [
+        "bigint", "string", "double", "bigint"]
