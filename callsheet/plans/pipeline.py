@@ -23,7 +23,7 @@ from ..operators.segments import segment
 from ..operators.staging import as_of_timestamp, stage
 from ..schema import RAW_TYPES
 from ..session import materialize
-from ..sources.files import write_table
+from ..sources.files import write_raw, write_table
 from . import kpis, marts
 
 CUBE_KEYS = ["campaign_date", "campaign_number", *marts.SEGMENT_KEYS]
@@ -66,14 +66,16 @@ def marts_from_cube(cube: DataFrame, as_of: dt.date | None) -> dict[str, DataFra
 def run_pipeline(raw: DataFrame, target: str, as_of: dt.date) -> dict[str, str]:
     """Build and write every table under ``target``; returns name -> path.
 
-    The raw table is loaded first (truncate and load), with rows clustered by
-    contact time inside each file (a local sort, no shuffle) so that Parquet
-    row-group statistics prune day filters; marts and reports are small and
-    written whole.
+    The raw table is loaded first (truncate and load). With a contact
+    timestamp it is partitioned by contact month and clustered by time
+    inside each file, so day queries (``read_raw``) prune folders and row
+    groups; marts and reports are small and written whole.
     """
     paths: dict[str, str] = {}
-    order = ["processed_at"] if "processed_at" in raw.columns else None
-    paths["raw_bank_marketing"] = write_table(raw, f"{target}/raw_bank_marketing", sort_within=order)
+    if "processed_at" in raw.columns:
+        paths["raw_bank_marketing"] = write_raw(raw, f"{target}/raw_bank_marketing")
+    else:
+        paths["raw_bank_marketing"] = write_table(raw, f"{target}/raw_bank_marketing")
     raw21 = raw.select(*[F.col(f"`{c}`") for c in RAW_TYPES if c in raw.columns])
     report = quality.test_report(raw21)
     paths["dq_test_results"] = write_table(report, f"{target}/dq_test_results")

@@ -8,6 +8,7 @@ missing column), which Catalyst folds into the scan.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -119,3 +120,30 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
+
+
+PARTITION_COLUMN = "contact_month"
+
+
+def write_raw(df: DataFrame, path: str, ts: str = "processed_at", mode: str = "overwrite") -> str:
+    """Load raw contacts partitioned by contact month (about 30 days per
+    folder: few enough folders at any volume, small enough for a day query
+    to open one), rows clustered by contact time inside each file."""
+    dated = df.withColumn(PARTITION_COLUMN, F.to_date(F.date_trunc("month", F.col(ts))))
+    return write_table(dated, path, partition_by=[PARTITION_COLUMN], sort_within=[ts], mode=mode)
+
+
+def read_raw(spark: SparkSession, path: str, first_day=None, last_day=None, ts: str = "processed_at") -> DataFrame:
+    """Read a month-partitioned raw table, optionally only the days
+    ``first_day..last_day`` (inclusive): the month predicate prunes folders
+    (PartitionFilters), the timestamp range prunes row groups (PushedFilters)."""
+    df = spark.read.parquet(path)
+    if first_day is not None:
+        lo = first_day.replace(day=1)
+        df = df.where((F.col(PARTITION_COLUMN) >= F.lit(lo)) &
+                      (F.col(ts) >= F.lit(first_day.isoformat()).cast("timestamp_ntz")))
+    if last_day is not None:
+        nxt = last_day + dt.timedelta(days=1)
+        df = df.where((F.col(PARTITION_COLUMN) <= F.lit(last_day.replace(day=1))) &
+                      (F.col(ts) < F.lit(nxt.isoformat()).cast("timestamp_ntz")))
+    return df.drop(PARTITION_COLUMN)

@@ -56,3 +56,22 @@ def test_header_typed_read_keeps_extra_columns(spark):
     files.write_contacts_csv(loader, p2)
     assert [f.dataType.simpleString() for f in files.read_contacts(spark, p2).schema] == [
         "bigint", "string", "double", "bigint"]
+
+
+def test_month_partitioned_raw_prunes_folders(spark):
+    import datetime as dt
+    raw = raw_contacts(spark, SF_SMALL)
+    path = files.scratch_path(spark, "raw_months")
+    files.write_raw(raw, path)
+    day = dt.date(1998, 6, 9)
+    got = files.read_raw(spark, path, day, day)
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    part = [ln for ln in plan.splitlines() if ln.startswith("PartitionFilters")]
+    assert part and "contact_month" in part[0]
+    pushed = [ln for ln in plan.splitlines() if ln.startswith("PushedFilters")]
+    assert pushed and "processed_at" in pushed[0]
+    want = raw.where((F.col("processed_at") >= F.lit("1998-06-09").cast("timestamp_ntz"))
+                     & (F.col("processed_at") < F.lit("1998-06-10").cast("timestamp_ntz")))
+    got = got.select(*raw.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert files.read_raw(spark, path).count() == raw.count()
