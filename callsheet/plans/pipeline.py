@@ -57,9 +57,9 @@ def marts_from_cube(cube: DataFrame, as_of: dt.date | None) -> dict[str, DataFra
     sm = _rollup(cube, marts.SEGMENT_KEYS, marts.SEGMENT_METRICS, as_of, keep_count=True)
     daily = _rollup(cube, marts.DAILY_KEYS, marts.DAILY_METRICS, as_of)
     return {
-        "dim_customer_segments": marts.dimension_from_metrics(sm, exact=False),
-        "dim_customer_segments_exact": marts.dimension_from_metrics(sm, exact=True),
-        "fct_campaign_performance": marts.fct_campaigns(None, as_of, daily=daily, sort=False),
+        "dim_segments": marts.dimension_from_metrics(sm, exact=False),
+        "dim_segments_exact": marts.dimension_from_metrics(sm, exact=True),
+        "fct_campaigns": marts.fct_campaigns(None, as_of, daily=daily, sort=False),
     }
 
 
@@ -73,9 +73,9 @@ def run_pipeline(raw: DataFrame, target: str, as_of: dt.date) -> dict[str, str]:
     """
     paths: dict[str, str] = {}
     if "processed_at" in raw.columns:
-        paths["raw_bank_marketing"] = write_raw(raw, f"{target}/raw_bank_marketing")
+        paths["raw_contacts"] = write_raw(raw, f"{target}/raw_contacts")
     else:
-        paths["raw_bank_marketing"] = write_table(raw, f"{target}/raw_bank_marketing")
+        paths["raw_contacts"] = write_table(raw, f"{target}/raw_contacts")
     raw21 = raw.select(*[F.col(f"`{c}`") for c in RAW_TYPES if c in raw.columns])
     report = quality.test_report(raw21)
     paths["dq_test_results"] = write_table(report, f"{target}/dq_test_results")

@@ -3,9 +3,9 @@
 Views are lazy (nothing runs until a query reads them), which is how the
 studied mart materializes its staging and intermediate layers; the marts are
 views over the same plan here, or tables when written by the pipeline.
-SQL written against the layer names (``stg_bank_marketing``,
-``int_customer_segments``, ``dim_customer_segments``,
-``fct_campaign_performance``) runs unchanged through ``spark.sql``.
+SQL over the layer names (``stg_contacts``,
+``int_contact_segments``, ``dim_segments``,
+``fct_campaigns``) runs unchanged through ``spark.sql``.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from ..operators.segments import segment
 from ..operators.staging import stage
 from . import marts
 
-LAYERS = ["raw_bank_marketing", "stg_bank_marketing", "int_customer_segments", "dim_customer_segments",
-          "dim_customer_segments_exact", "fct_campaign_performance"]
+LAYERS = ["raw_contacts", "stg_contacts", "int_contact_segments", "dim_segments",
+          "dim_segments_exact", "fct_campaigns"]
 
 
 def register_views(raw: DataFrame, as_of: dt.date | None = None, with_key: bool = True) -> dict[str, DataFrame]:
@@ -27,12 +27,12 @@ def register_views(raw: DataFrame, as_of: dt.date | None = None, with_key: bool
     staged = stage(raw, as_of, with_key=with_key)
     contacts = segment(staged)
     frames = {
-        "raw_bank_marketing": raw,
-        "stg_bank_marketing": staged,
-        "int_customer_segments": contacts,
-        "dim_customer_segments": marts.dim_segments(contacts, as_of),
-        "dim_customer_segments_exact": marts.dim_segments_exact(contacts, as_of),
-        "fct_campaign_performance": marts.fct_campaigns(contacts, as_of),
+        "raw_contacts": raw,
+        "stg_contacts": staged,
+        "int_contact_segments": contacts,
+        "dim_segments": marts.dim_segments(contacts, as_of),
+        "dim_segments_exact": marts.dim_segments_exact(contacts, as_of),
+        "fct_campaigns": marts.fct_campaigns(contacts, as_of),
     }
     for name, df in frames.items():
         df.createOrReplaceTempView(name)

@@ -15,7 +15,7 @@ def test_cli_pipeline_check_and_report(spark):
     files.write_contacts_csv(raw_contacts(spark, SF_SMALL), src)
     target = files.scratch_path(spark, "cli_out")
     assert main(["pipeline", "--raw", src, "--target", target, "--as-of", "1998-06-10"]) == 0
-    assert spark.read.parquet(f"{target}/fct_campaign_performance").count() > 0
+    assert spark.read.parquet(f"{target}/fct_campaigns").count() > 0
     # the canonical file lacks the loader's balance/day columns: the gate fails
     assert main(["check", "--raw", src, "--target", target + "_chk"]) == 1
     assert spark.read.parquet(f"{target}_chk/dq_test_results").count() == 6

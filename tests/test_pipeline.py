@@ -26,11 +26,11 @@ def test_pipeline_marts_equal_direct_marts(spark):
     target = scratch_path(spark, "test_pipeline")
     paths = run_pipeline(raw, target, AS_OF)
     contacts = segment(stage(raw, AS_OF, with_key=False))
-    assert _same(spark.read.parquet(paths["dim_customer_segments"]), marts.dim_segments(contacts, AS_OF))
-    assert _same(spark.read.parquet(paths["dim_customer_segments_exact"]), marts.dim_segments_exact(contacts, AS_OF))
-    assert _same(spark.read.parquet(paths["fct_campaign_performance"]), marts.fct_campaigns(contacts, AS_OF))
+    assert _same(spark.read.parquet(paths["dim_segments"]), marts.dim_segments(contacts, AS_OF))
+    assert _same(spark.read.parquet(paths["dim_segments_exact"]), marts.dim_segments_exact(contacts, AS_OF))
+    assert _same(spark.read.parquet(paths["fct_campaigns"]), marts.fct_campaigns(contacts, AS_OF))
     assert spark.read.parquet(paths["dq_test_results"]).count() == 6
-    assert spark.read.parquet(paths["raw_bank_marketing"]).count() == raw.count()
+    assert spark.read.parquet(paths["raw_contacts"]).count() == raw.count()
 
 
 def test_threshold_and_no_data_alerts(spark):

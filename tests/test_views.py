@@ -14,16 +14,16 @@ def test_layer_views_answer_the_documented_kpi_sql(spark):
     by_campaign = spark.sql("""
         SELECT campaign_number,
                ROUND(COUNT(CASE WHEN subscribed = 'yes' THEN 1 END) * 100.0D / COUNT(*), 2) AS conversion_rate
-        FROM int_customer_segments GROUP BY campaign_number""").collect()
+        FROM int_contact_segments GROUP BY campaign_number""").collect()
     assert len(by_campaign) > 0
     ok = spark.sql("""SELECT COUNT(*) AS successful_contacts, COUNT(DISTINCT customer_id) AS unique_customers
-                      FROM int_customer_segments WHERE subscribed = 'yes'""").first()
+                      FROM int_contact_segments WHERE subscribed = 'yes'""").first()
     assert ok.successful_contacts == ok.unique_customers > 0
     seg = spark.sql("""SELECT age_group, job_category, SUM(segment_size) AS customer_count
-                       FROM dim_customer_segments_exact GROUP BY age_group, job_category""")
-    total = spark.sql("SELECT COUNT(*) FROM stg_bank_marketing").first()[0]
+                       FROM dim_segments_exact GROUP BY age_group, job_category""")
+    total = spark.sql("SELECT COUNT(*) FROM stg_contacts").first()[0]
     assert sum(r.customer_count for r in seg.collect()) == total
-    assert spark.sql("SELECT COUNT(*) FROM fct_campaign_performance").first()[0] > 0
+    assert spark.sql("SELECT COUNT(*) FROM fct_campaigns").first()[0] > 0
 
 
 def test_namespace_and_bounded_check(spark):
