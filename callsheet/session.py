@@ -22,18 +22,34 @@ SESSION_DEFAULTS = {
 }
 
 
+STATIC_DEFAULTS = {"spark.ui.enabled", "spark.ui.showConsoleProgress", "spark.python.sql.dataFrameDebugging.enabled"}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "callsheet", extra: dict | None = None) -> SparkSession:
+    """A session with the mart's defaults.
+
+    SQL defaults fill in only what the context's configuration does not
+    already hold (``spark-submit --conf``, ``spark-defaults.conf``), so a
+    cluster's settings win; explicit ``shuffle_partitions`` and ``extra``
+    always apply. Static settings (UI off: no server; no Python call-site
+    capture) are set on the builder.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(SESSION_DEFAULTS)
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k in STATIC_DEFAULTS:
+        builder = builder.config(k, SESSION_DEFAULTS[k])
+    for k, v in explicit.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    configured = spark.sparkContext.getConf()
+    for k, v in SESSION_DEFAULTS.items():
+        if k not in STATIC_DEFAULTS and k not in explicit and not configured.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
