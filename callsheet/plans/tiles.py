@@ -177,3 +177,27 @@ def tile_filtered(contacts: DataFrame, as_of: dt.date, filters: Mapping[str, Seq
                          ["total_contacts", "successful_contacts", "conversion_rate", "avg_call_duration"],
                          filters=filters if filters is not None else DASHBOARD_FILTERS,
                          as_of=as_of, window_days=fixed.TILE_WINDOW_DAYS)
+
+
+# Explores: the date field each one must be filtered on (the last 30 days by
+# default, always applied).
+EXPLORE_DATE_FIELDS = {
+    "staged_contacts": "processed_at",
+    "segmented_contacts": "processed_at",
+    "campaign_fact": "campaign_date",
+    "segment_dimension": "last_updated",
+}
+
+
+def explore(name: str, frame: DataFrame, dims: Sequence[str], names: Sequence[str] = (),
+            as_of: dt.date | None = None, days: int = fixed.TILE_WINDOW_DAYS,
+            filters: Mapping[str, Sequence] | None = None, sorts: Sequence[Column] = (),
+            limit: int | None = None) -> DataFrame:
+    """An explore: ``measure_query`` over one source with its mandatory date
+    filter (the last ``days`` days up to ``as_of``, today when not given).
+    Contact explores accept measures; mart explores select fields (grouped,
+    so distinct rows)."""
+    field = EXPLORE_DATE_FIELDS[name]
+    as_of = as_of or dt.date.today()
+    frame = frame.where(last_days(field, as_of, days))
+    return measure_query(frame, dims, names, filters=filters, sorts=sorts, limit=limit, date_col=field)

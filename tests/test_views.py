@@ -33,3 +33,21 @@ def test_namespace_and_bounded_check(spark):
     raw = raw_contacts(spark, SF_SMALL).drop("contact_id", "client_key", "processed_at")
     rep = quality.test_report(raw, sample_rows=100).collect()
     assert len(rep) == 6
+
+
+def test_explores_apply_their_mandatory_window(spark):
+    from pyspark.sql import functions as F
+    from callsheet.operators.segments import segment
+    from callsheet.operators.staging import stage
+    from callsheet.plans import marts
+    from callsheet.plans.tiles import explore
+    as_of = dt.date(1998, 6, 10)
+    contacts = segment(stage(raw_contacts(spark, SF_SMALL), as_of, with_key=False))
+    got = explore("segmented_contacts", contacts, ["created_date"], ["total_contacts"], as_of=as_of)
+    days = [r.created_date for r in got.collect()]
+    assert days and min(days) >= dt.date(1998, 5, 12) and max(days) <= as_of
+    fct = marts.fct_campaigns(contacts, as_of, sort=False)
+    tile = explore("campaign_fact", fct, ["campaign_number", "total_conversions"], as_of=as_of)
+    want = fct.where(F.col("campaign_date").between(dt.date(1998, 5, 12), as_of)).select(
+        "campaign_number", "total_conversions").distinct()
+    assert tile.exceptAll(want).count() == 0 and want.exceptAll(tile).count() == 0
