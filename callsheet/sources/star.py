@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixed
+from ..operators.joins import skew_safe_join
 from ..schema import RAW_SCHEMA_WITH_LINEAGE
 
 # Fixture contract constants (hash multipliers, modulus, bases).
@@ -68,11 +69,13 @@ def contacts_from_star(orders: DataFrame, customer: DataFrame) -> DataFrame:
     Only five order columns and two customer columns are read, so the scan
     prunes the rest; the join is an equi-join on the customer key, left to
     the planner (sort-merge at scale, AQE broadcast when the runtime size of
-    the customer side is under the threshold, AQE skew split for hot keys).
+    the customer side is under the threshold). A customer holding a large
+    share of the orders is split by AQE's skew join, or explicitly when that
+    is off (``operators.joins.skew_safe_join``).
     """
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = customer.selectExpr("c_custkey", "CAST(c_nationkey AS BIGINT) AS nk")
-    j = o.join(c, o.o_custkey == c.c_custkey, "inner").selectExpr(
+    j = skew_safe_join(o, c, "o_custkey", "c_custkey").selectExpr(
         "*", f"(o_orderkey * {H_ORDER_MULT} + o_custkey * {H_CUST_MULT}) % {H_MOD} AS h")
     out = j.selectExpr(*_contact_exprs())
     assert out.columns == RAW_SCHEMA_WITH_LINEAGE.fieldNames()

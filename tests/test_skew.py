@@ -43,3 +43,29 @@ def test_hot_customer_sort_merge_join_and_keys(spark):
                   "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
                   "spark.sql.adaptive.advisoryPartitionSizeInBytes"]:
             spark.conf.unset(k)
+
+
+def test_explicit_hot_key_split_equals_plain_join(spark):
+    from callsheet.operators.joins import skew_safe_join
+    orders = read_table(spark, SF_MID, "orders")
+    hot = orders.agg(F.min("o_custkey")).first()[0]
+    skewed = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(hot))
+                               .otherwise(F.col("o_custkey"))).select("o_orderkey", "o_custkey")
+    cust = read_table(spark, SF_MID, "customer").select("c_custkey", "c_nationkey")
+    split = skew_safe_join(skewed, cust, "o_custkey", "c_custkey", force_split=True)
+    plain = skewed.join(cust, skewed.o_custkey == cust.c_custkey)
+    assert split.count() == plain.count() == skewed.count()
+    assert split.exceptAll(plain.select(*split.columns)).count() == 0
+    plan = spark._jvm.PythonSQLUtils.explainString(split._jdf.queryExecution(), "formatted")
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_split_used_when_aqe_skew_handling_is_off(spark):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        raw = _skewed_contacts(spark)
+        plan = spark._jvm.PythonSQLUtils.explainString(raw._jdf.queryExecution(), "formatted")
+        assert "LeftAnti" in plan
+        assert raw.count() == read_table(spark, SF_MID, "orders").count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
