@@ -11,6 +11,7 @@ from .. import fixed
 from ..functions.metrics import YES, exprs, pct_sql
 from ..functions.time import on_day, yesterday
 from ..operators.alerts import AlertRule, threshold_alerts, no_data_alert
+from ..session import materialize
 from . import marts
 
 
@@ -81,8 +82,13 @@ QUALITY_RULE = AlertRule("low_quality", "quality_score", fixed.QUALITY_FLOOR, "D
 
 
 def alerts(daily_kpis: DataFrame, score: DataFrame, as_of: dt.date) -> DataFrame:
-    """Low-conversion, low-quality and no-data alerts for yesterday."""
+    """Low-conversion, low-quality and no-data alerts for yesterday.
+
+    The KPI rows (at most one per report day) are checkpointed once so the
+    threshold and no-data checks do not both re-read the day's contacts.
+    """
     day = yesterday(as_of)
+    daily_kpis = materialize(daily_kpis)
     return (threshold_alerts(daily_kpis, [CONVERSION_RULE], F.col("report_date"))
             .unionByName(threshold_alerts(score, [QUALITY_RULE], F.lit(day)))
             .unionByName(no_data_alert(daily_kpis, day)))
