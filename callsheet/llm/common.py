@@ -58,6 +58,33 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+class Memo:
+    """A worker's memory of computed values: two generations of at most ``size`` entries each.
+
+    When the young generation is full it becomes the old one; what is met
+    again moves back, so frequent entries stay and memory stays bounded.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key, make):
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is None:
+                got = make(key)
+            if len(self.young) >= self.size:
+                self.young, self.old = {}, self.young
+            self.young[key] = got
+        return got
+
+
+def few(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A narrow table, marked for broadcast if it is counted to be small; else joined by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -33,10 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import documents, ship
+from .common import Memo, documents, ship
 
 MARK = "▁"
-CACHED_SPANS = 300_000
+CACHED_SPANS = 500_000
 CACHED_PAIRS = 2_000_000
 
 _workers: dict[str, "Transducer"] = {}
@@ -69,8 +69,8 @@ class Transducer:
         self.beside = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.own: dict[str, bool] = {}
         self.apart: dict[tuple[str, str], bool] = {}
-        self.spans: dict[str, bytes] = {"": b""}
-        self.chunks: dict[str, bytes] = {}
+        self.spans = Memo(CACHED_SPANS)
+        self.chunks = Memo(CACHED_SPANS)
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The model's merge order on a few symbols: highest score first, leftmost of equals."""
@@ -104,26 +104,29 @@ class Transducer:
     def shortest_path(self, span: str) -> list[str]:
         """Pieces of the path of least weight through the composition with one span.
 
-        Each position has one finite path (the merge result of what stands
-        before it), so the first arc that reaches it, the longest piece
-        tried first, is its least weight.
+        Each position has at most one finite path (the merge result of what
+        stands before it), so the first finite path to the end is the
+        shortest. It is searched longest piece first; positions from which no
+        finite path leads on are not entered twice.
         """
-        if self.arc(span):
-            return [span]
-        last: list[str] = [""]
-        ids, own = self.ids, self.own
-        for end in range(1, len(span) + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = span[start:end]
-                if (piece in ids or end - start == 1) and (own.get(piece) or self.arc(piece)) \
-                        and (not start or self.keeps_apart(last[start], piece)):
-                    last.append(piece)
+        n, ids, path, at, dead = len(span), self.ids, [], 0, set()
+        end = min(n, self.longest)
+        while at < n:
+            while end > at:
+                piece = span[at:end]
+                if (end - at == 1 or piece in ids) and end not in dead and self.arc(piece) \
+                        and (not path or self.keeps_apart(path[-1], piece)):
                     break
-        out, n = [], len(span)
-        while n:
-            out.append(last[n])
-            n -= len(last[n])
-        return out[::-1]
+                end -= 1
+            if end > at:
+                path.append(piece)
+                at = end
+                end = min(n, at + self.longest)
+            else:
+                dead.add(at)
+                end = at - 1
+                at -= len(path.pop())
+        return path
 
     def span_ids(self, span: str) -> bytes:
         """Little-endian ids of a span, byte arcs for characters outside the lexicon."""
@@ -142,34 +145,18 @@ class Transducer:
 
     def chunk_ids(self, chunk: str) -> bytes:
         """Ids of a normalised chunk that starts with word marks."""
-        out = []
-        for span in self.cut(chunk):
-            ids = self.spans.get(span)
-            if ids is None:
-                if len(self.spans) > CACHED_SPANS:
-                    self.spans = {}
-                ids = self.spans[span] = self.span_ids(span)
-            out.append(ids)
-        return b"".join(out)
+        return b"".join([self.spans.get(span, self.span_ids) for span in self.cut(chunk)])
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of a whole text."""
         if not text:
             return b""
-        normal = MARK + text.replace(" ", MARK)
         out, held = [], 0
-        for word in normal.split(MARK)[1:]:
+        for word in text.split(" "):
             held += 1
-            if not word:
-                continue  # its mark belongs to the next word
-            key = MARK * held + word
-            held = 0
-            ids = self.chunks.get(key)
-            if ids is None:
-                if len(self.chunks) > CACHED_SPANS:
-                    self.chunks = {}
-                ids = self.chunks[key] = self.chunk_ids(key)
-            out.append(ids)
+            if word:  # else its mark belongs to the next word
+                out.append(self.chunks.get(MARK * held + word, self.chunk_ids))
+                held = 0
         if held:
             out.append(self.chunk_ids(MARK * held))
         return b"".join(out)
