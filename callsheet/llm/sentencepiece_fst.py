@@ -152,7 +152,7 @@ class Transducer:
         if not text:
             return b""
         out, held = [], 0
-        for word in text.split(" "):
+        for word in text.replace(MARK, " ").split(" "):
             held += 1
             if word:  # else its mark belongs to the next word
                 out.append(self.chunks.get(MARK * held + word, self.chunk_ids))
