@@ -18,11 +18,15 @@ H + 1 segments that one of the two sets fills.
   that are short of segments, because they are hot or empty, go on: among
   these alone every filled segment is indexed with its one-deletion
   neighbourhood, where a segment of two or more shingles counts twice.
-* What is short even then (sets made of hot segments) meets by single
-  shingles: all pairs of different components in such a group are compared, in
-  blocks. So no link is lost, whatever the frequencies are.
-
-Every candidate pair is verified exactly on the whole sets. Copies (equal
+* What is short even then (sets made of hot segments) is compared by rarest
+  shingles: ordered by how many of these sets hold them, the first quarter of
+  each set's shingles must meet a partner's. So no link is lost, whatever the
+  frequencies are.
+
+A set also has a sketch: how many of its shingles hash to each of about n / 4
+places. The sketches' distance is at most the sets' symmetric difference, so
+a pair whose sketches lie too far apart can't link and its sets are not
+fetched. Every other candidate pair is verified exactly on the whole sets. Copies (equal
 sets) are one node throughout, so a group of copies costs one row each.
 """
 
@@ -34,17 +38,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import Scratch, documents, shuffle_width
+from .common import Scratch, documents, few
 from .shingles import U, identity, mix, shingle_sets
 
 SHARE, WHOLE = 75, 100  # SHARE / WHOLE is the similarity from which two sets link
 PAIR_LIMIT = 8  # a signature of more sets is compared by a star, the rest by the rules above
-BUCKET_ENTRIES = 500_000  # signatures that one bucket is planned to hold
+BUCKET_ENTRIES = 250_000  # signatures that one bucket is planned to hold
 LOCAL_RUN = 64  # copies of a signature that one task sends as such; more go out salted
 TASK_ENTRIES = 2_000_000  # signatures gathered before a task writes them
 
-META = "doc_id bigint, n int, node bigint, short boolean"
+META = "doc_id bigint, n int, node bigint, short boolean, sketch binary"
 FOUND = "kind int, sig bigint, a bigint, na int, b bigint, nb int, band int, margin int"
 
 
@@ -122,11 +127,39 @@ def neighbour_signatures(grams: np.ndarray, band: int, probe: bool) -> tuple[np.
     return np.unique(sigs), len(ids) + int((sizes >= 2).sum()) - needed(len(grams), band, probe)
 
 
+def sketch(grams: np.ndarray) -> bytes:
+    """Shingles by place, one byte each (255 and more count as 255); the places are a power of two."""
+    places = 1 << max(2, (len(grams) // 4).bit_length() - 1)
+    return np.minimum(np.bincount((grams >> U(40)).astype(np.int64) % places, minlength=places), 255).astype(np.uint8).tobytes()
+
+
+def may_link(x: bytes, y: bytes, na: int, nb: int) -> bool:
+    """Whether the sketches leave room for a link: their distance bounds the symmetric difference from below."""
+    a, b = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) > len(a):
+        if b.max() == 255:
+            return True  # a full place can't be added to others
+        b = b.reshape(-1, len(a)).sum(0)
+        if a.max() == 255:
+            b = np.minimum(b, 255)
+    common = (na + nb - int(np.abs(a - b).sum())) // 2
+    return WHOLE * common >= SHARE * (na + nb - common)
+
+
+HEAD = np.dtype([("node", "<i8"), ("n", "<i4"), ("band", "<i2"), ("margin", "<i2")])
+
+
 class _Packer:
-    """Gathers (signature, node) entries of a task and writes them bucket by bucket."""
+    """Gathers (signature, node) entries of a task and writes them bucket by bucket.
+
+    ``first`` and ``count`` give each band its own buckets, so a set's entries
+    go to few of them. The last bit of a node marks a probe.
+    """
 
-    def __init__(self, buckets: int, salt: int):
-        self.buckets, self.salt = buckets, salt
+    def __init__(self, first: np.ndarray, count: np.ndarray, salt: int):
+        self.first, self.buckets, self.salt = first, count, salt
         self.clear()
 
     def clear(self):
@@ -134,7 +167,7 @@ class _Packer:
 
     def add(self, sigs: np.ndarray, node: int, n: int, band: int, probe: bool, margin: int):
         self.sigs.append(sigs)
-        self.heads.append((node, n, band * 2 + probe, margin))
+        self.heads.append((node | probe, n, band, max(-30_000, min(30_000, margin))))
         self.count += len(sigs)
 
     def full(self) -> bool:
@@ -145,43 +178,43 @@ class _Packer:
             return None
         sigs = np.concatenate(self.sigs)
         owner = np.repeat(np.arange(len(self.heads), dtype=np.uint16), [len(x) for x in self.sigs])
-        heads = np.array(self.heads, dtype=np.int64)
+        heads = np.array(self.heads, dtype=HEAD)
         self.clear()
         order = np.argsort(sigs)
         sigs, owner = sigs[order], owner[order]
         start = np.flatnonzero(np.r_[True, sigs[1:] != sigs[:-1]])
         runs = np.diff(np.r_[start, len(sigs)])
-        bucket = (sigs % U(self.buckets)).astype(np.int64)
-        # a signature that is hot in this task alone: its members go to salted buckets, its smallest one stays
+        band = heads["band"][owner]
+        home = self.first[band] + (sigs % self.buckets[band].astype(U)).astype(np.int64)
+        bucket = home.copy()
+        # a signature that is hot in this task alone: its first members are enough to be seen as hot in its
+        # bucket, the others go to salted buckets
         hot = np.repeat(runs > LOCAL_RUN, runs)
         if hot.any():
             rank = np.arange(len(sigs)) - np.repeat(start, runs)
-            bucket[hot] = -1 - (self.salt + sigs[hot] % U(self.buckets) + (rank[hot] // LOCAL_RUN).astype(U)).astype(np.int64) % self.buckets
-            for s in start[runs > LOCAL_RUN]:
-                members = np.arange(s, s + LOCAL_RUN + 1)
-                bucket[members] = int(sigs[s] % U(self.buckets))  # enough to be seen as hot there
+            away = hot & (rank > LOCAL_RUN)
+            salted = sigs[away] + U(self.salt) + (rank[away] // LOCAL_RUN).astype(U)
+            bucket[away] = -1 - (salted % U(int(self.buckets.sum()))).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         sigs, owner, bucket = sigs[order], owner[order], bucket[order]
         cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         out = [], []
         for a, b in zip(cut, np.r_[cut[1:], len(sigs)], strict=True):
             used, local = np.unique(owner[a:b], return_inverse=True)
-            head = heads[used]
             out[0].append(int(bucket[a]))
-            out[1].append(b"".join((np.array([len(used), b - a], np.int64).tobytes(), head.tobytes(),
+            out[1].append(b"".join((np.array([len(used), b - a], np.int64).tobytes(), heads[used].tobytes(),
                                     sigs[a:b].tobytes(), local.astype(np.uint16).tobytes())))
         return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary())], ["bucket", "entries"])
 
 
 def _unpacked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All signatures and, beside them, rows (node, n, band and role, margin)."""
+    """All signatures and the head of each one's node beside it."""
     sigs, heads = [], []
     for x in blobs:
         k, n = np.frombuffer(x, np.int64, 2)
-        at = 16 + 32 * k
-        head = np.frombuffer(x, np.int64, 4 * k, 16).reshape(-1, 4)
+        at = 16 + HEAD.itemsize * k
         sigs.append(np.frombuffer(x, U, n, at))
-        heads.append(head[np.frombuffer(x, np.uint16, n, at + 8 * n)])
+        heads.append(np.frombuffer(x, HEAD, k, 16)[np.frombuffer(x, np.uint16, n, at + 8 * n)])
     return np.concatenate(sigs), np.concatenate(heads)
 
 
@@ -200,16 +233,16 @@ def _matched(table: pa.Table) -> pa.Table:
 
     sigs, heads = _unpacked([x.as_py() for x in table.column("entries")])
     salted = table.column("bucket")[0].as_py() < 0
-    order = np.lexsort((heads[:, 0], heads[:, 2] & 1, sigs))
+    order = np.lexsort((heads["node"], sigs))
     sigs, heads = sigs[order], heads[order]
-    new = np.r_[True, (sigs[1:] != sigs[:-1]) | (heads[1:, 0] != heads[:-1, 0]) | (heads[1:, 2] != heads[:-1, 2])]
+    new = np.r_[True, (sigs[1:] != sigs[:-1]) | (heads["node"][1:] != heads["node"][:-1])]
     sigs, heads = sigs[new], heads[new]
+    probe, node, size = heads["node"] & 1, heads["node"] & ~1, heads["n"]
     start = np.flatnonzero(np.r_[True, sigs[1:] != sigs[:-1]])
     runs = np.diff(np.r_[start, len(sigs)])
     hot = np.repeat(runs > (0 if salted else PAIR_LIMIT), runs)
     if hot.any():
-        h = heads[hot]
-        put(1, sigs[hot].view(np.int64), h[:, 0], h[:, 1], -1, -1, h[:, 2], h[:, 3])
+        put(1, sigs[hot].view(np.int64), node[hot], size[hot], -1, -1, heads["band"][hot] * 2 + probe[hot], heads["margin"][hot])
     if not salted:
         pairs = []
         for k in range(2, PAIR_LIMIT + 1):  # all runs of one length at once
@@ -218,16 +251,14 @@ def _matched(table: pa.Table) -> pa.Table:
                 for j in range(i + 1, k):
                     pairs.append(np.stack([s + i, s + j], 1))
         if pairs:
-            p = np.concatenate(pairs)
-            x, y = heads[p[:, 0]], heads[p[:, 1]]
-            ok = (x[:, 0] != y[:, 0]) & _fits(x[:, 1], y[:, 1]) & ((x[:, 2] & y[:, 2] & 1) == 0)
+            x, y = np.concatenate(pairs).T
+            ok = (node[x] != node[y]) & _fits(size[x], size[y]) & ((probe[x] & probe[y]) == 0)
             x, y = x[ok], y[ok]
-            swap = x[:, 0] > y[:, 0]
-            x[swap], y[swap] = y[swap], x[swap].copy()
             if len(x):
-                _, once = np.unique(np.stack([x[:, 0], y[:, 0]], 1), axis=0, return_index=True)
+                x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
+                _, once = np.unique(np.stack([node[x], node[y]], 1), axis=0, return_index=True)
                 x, y = x[once], y[once]
-                put(0, 0, x[:, 0], x[:, 1], y[:, 0], y[:, 1], 0, 0)
+                put(0, 0, node[x], size[x], node[y], size[y], 0, 0)
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
     arrays = [pa.array(np.concatenate(c) if c else np.empty(0, np.int64)).cast(k) for c, k in zip(cols, kinds, strict=True)]
     return pa.Table.from_arrays(arrays, names)
@@ -235,21 +266,22 @@ def _matched(table: pa.Table) -> pa.Table:
 
 def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n, node, short = [], [], []
+        n, node, short, sketches = [], [], [], []
         for grams in shingle_sets(b.column("text")):
             n.append(len(grams))
             node.append(identity(grams) if len(grams) else None)
             short.append(bool(len(grams)) and is_short(grams))
+            sketches.append(sketch(grams) if len(grams) else None)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(n, pa.int32()), pa.array(node, pa.int64()), pa.array(short, pa.bool_())],
-            ["doc_id", "n", "node", "short"])
+            [b.column("doc_id"), pa.array(n, pa.int32()), pa.array(node, pa.int64()), pa.array(short, pa.bool_()),
+             pa.array(sketches, pa.binary())], ["doc_id", "n", "node", "short", "sketch"])
 
 
-def _exact_index(buckets: int):
+def _exact_index(first: np.ndarray, count: np.ndarray):
     def run(batches):
         from pyspark import TaskContext
 
-        pack, seen = _Packer(buckets, TaskContext.get().partitionId() * 7919), set()
+        pack, seen = _Packer(first, count, TaskContext.get().partitionId() * 7919), set()
         for b in batches:
             for grams in shingle_sets(b.column("text")):
                 if not len(grams) or (node := identity(grams)) in seen:
@@ -269,21 +301,18 @@ def _exact_index(buckets: int):
     return run
 
 
-def _neighbour_index(buckets: int, single: bool):
-    """Packs the sets of ``sets`` rows by one-deletion neighbourhoods, or by single shingles."""
+def _neighbour_index(first: np.ndarray, count: np.ndarray):
+    """Packs the sets of ``sets`` rows by one-deletion neighbourhoods."""
     def run(batches):
         from pyspark import TaskContext
 
-        pack = _Packer(buckets, TaskContext.get().partitionId() * 7919)
+        pack = _Packer(first, count, TaskContext.get().partitionId() * 7919)
         for b in batches:
             for node, blob in zip(b.column("node").to_pylist(), b.column("grams").to_pylist(), strict=True):
                 grams = np.frombuffer(blob, U)
-                if single:
-                    pack.add(mix(grams + U(2)), node, len(grams), 0, False, 0)
-                else:
-                    for band, probe in roles(len(grams)):
-                        sigs, margin = neighbour_signatures(grams, band, probe)
-                        pack.add(sigs, node, len(grams), band, probe, margin)
+                for band, probe in roles(len(grams)):
+                    sigs, margin = neighbour_signatures(grams, band, probe)
+                    pack.add(sigs, node, len(grams), band, probe, margin)
                 if pack.full():
                     yield pack.batch()
         if last := pack.batch():
@@ -300,6 +329,13 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(blob, pa.binary())], ["node", "grams"])
 
 
+def _sifted(batches):
+    for b in batches:
+        cols = [b.column(c).to_pylist() for c in ("x", "y", "na", "nb")]
+        keep = [may_link(*row) for row in zip(*cols, strict=True)]
+        yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _linked(batches):
     """The pairs whose whole sets reach the similarity."""
     for b in batches:
@@ -356,8 +392,11 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     meta = scratch.keep(base.mapInArrow(_meta, META))
     nodes = scratch.keep(meta.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("short").alias("short")))
-    total = nodes.agg(F.sum("n")).first()[0] or 0
-    buckets = max(4 * shuffle_width(spark), total * 3 // 4 // BUCKET_ENTRIES)
+    tops = F.array(*(F.lit(int(t)) for t in _TOPS))
+    sums = {r[0]: r[1] for r in nodes.groupBy(F.size(F.filter(tops, lambda t: t < F.col("n")))).agg(F.sum("n")).collect()}
+    entries = np.array([sums.get(k, 0) / 2 + sums.get(k + 1, 0) / 3 for k in range(len(BANDS))])
+    count = 1 + (entries // BUCKET_ENTRIES).astype(np.int64)
+    first = np.cumsum(count) - count
 
     def met(packed: DataFrame) -> DataFrame:
         return scratch.keep(packed.groupBy("bucket").applyInArrow(_matched, FOUND))
@@ -375,23 +414,34 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     def candidates(found: DataFrame) -> DataFrame:
         return scratch.keep(ordered(found.where("kind = 0").select("a", "na", "b", "nb").unionByName(stars(found))))
 
-    found = met(base.select("text").mapInArrow(_exact_index(buckets), "bucket int, entries binary"))
-    pairs = candidates(found)
-    # sets that a later step reads: of candidates, of hot signatures, of sets short of filled segments
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))) \
-        .unionByName(found.where("kind = 1").select(F.col("a").alias("node"))) \
-        .unionByName(nodes.where("short").select("node")).distinct()
-    ids = scratch.keep(nodes.join(wanted, "node", "left_semi").where("doc_id is not null").select("doc_id"))
-    null_ids = base.where("doc_id is null")
-    sets = scratch.keep(base.join(ids, "doc_id", "left_semi").unionByName(null_ids).select("text")
-                        .mapInArrow(_sets, "node bigint, grams binary")
-                        .where("node is not null").dropDuplicates(["node"]))
-
-    def verified(pairs: DataFrame) -> DataFrame:
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+    def sifted(pairs: DataFrame) -> DataFrame:
+        wanted = scratch.keep(nodes.join(ends(pairs), "node", "left_semi").select("node", "doc_id"))
+        known = meta.where("node is not null")
+        sketches = known.join(few(wanted), ["node", "doc_id"], "left_semi").unionByName(known.where("doc_id is null"))
+        side = [sketches.select(F.col("node").alias(i), F.col("n").alias(f"n{i}"), F.col("sketch").alias(k))
+                for i, k in (("a", "x"), ("b", "y"))]
+        both = pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "x", "y", "na", "nb")
+        return scratch.keep(both.mapInArrow(_sifted, "a bigint, b bigint").distinct())
+
+    def whole_sets(wanted: DataFrame) -> DataFrame:
+        """node and shingles of the wanted nodes, from one text of each; texts are only shuffled for many nodes."""
+        ids = scratch.keep(nodes.join(wanted, "node", "left_semi").where("doc_id is not null").select("doc_id"))
+        texts = base.join(few(ids), "doc_id", "left_semi").unionByName(base.where("doc_id is null")).select("text")
+        return scratch.keep(texts.mapInArrow(_sets, "node bigint, grams binary")
+                            .where("node is not null").dropDuplicates(["node"]))
+
+    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         left = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
         return scratch.keep(left.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
                             .select("a", "b", "x", "y").mapInArrow(_linked, "a bigint, b bigint"))
 
+    found = met(base.select("text").mapInArrow(_exact_index(first, count), "bucket int, entries binary"))
+    pairs = sifted(candidates(found))
+    sets = whole_sets(ends(pairs))
+
     def labelled(members: DataFrame, comp: DataFrame) -> DataFrame:
         return members.join(comp.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a"))
 
@@ -403,36 +453,34 @@ def similar_texts(docs: DataFrame) -> DataFrame:
             F.countDistinct("sig").alias("skipped"), F.max("margin").alias("margin")) \
             .where(F.col("skipped") * units > F.col("margin")).select(F.col("a").alias("node")).distinct()
 
-    links = verified(pairs)
+    links = verified(pairs, sets)
     comp = scratch.keep(components(scratch, links))
 
     # sets short of exact segments meet again by one-deletion neighbourhoods
     short = nodes.where("short").select("node").unionByName(still_short(found, comp, 1)).distinct()
-    few = scratch.keep(sets.join(short, "node", "left_semi"))
-    again = met(few.mapInArrow(_neighbour_index(buckets, False), "bucket int, entries binary"))
+    short_sets = whole_sets(short)
+    again = met(short_sets.mapInArrow(_neighbour_index(first, count), "bucket int, entries binary"))
     pairs2 = scratch.keep(candidates(again).join(pairs, ["a", "b"], "left_anti"))
-    links2 = verified(pairs2)
+    links2 = verified(pairs2, short_sets)
     links = scratch.keep(links.unionByName(links2))
     comp = scratch.keep(components(scratch, links))
 
-    # what is short even then meets by single shingles, pairs of different components only
-    bare = _short_of_units(few).unionByName(still_short(again, comp, 2)).distinct()
-    rest = scratch.keep(few.join(bare, "node", "left_semi"))
-    last = met(rest.mapInArrow(_neighbour_index(buckets, True), "bucket int, entries binary"))
-    rare = last.where("kind = 0").select("a", "na", "b", "nb")
-    pairs3 = scratch.keep(ordered(rare.unionByName(_open_pairs(scratch, last, comp)))
+    # what is short even then is compared by its rarest shingles, pairs of different components only
+    bare = _short_of_units(short_sets).unionByName(still_short(again, comp, 2)).distinct()
+    rest = scratch.keep(short_sets.join(bare, "node", "left_semi"))
+    pairs3 = scratch.keep(ordered(_by_rarest(scratch, rest, comp))
                           .join(pairs, ["a", "b"], "left_anti").join(pairs2, ["a", "b"], "left_anti"))
-    links3 = verified(pairs3)
+    links3 = verified(pairs3, rest)
     links = scratch.keep(links.unionByName(links3).distinct())
     comp = scratch.keep(components(scratch, links))
 
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))) \
+    degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))) \
         .groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     placed = nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = placed.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    place = scratch.keep(placed.join(lowest, "comp").join(ends, "node", "left")
+    place = scratch.keep(placed.join(lowest, "comp").join(degrees, "node", "left")
                          .select("node", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    scratch.free(found, again, last, sets, few, rest)
+    scratch.free(found, again, sets, short_sets, rest)
     return meta.join(place, "node", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
@@ -459,21 +507,29 @@ def _short_of_units(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, "node bigint")
 
 
-def _open_pairs(scratch: Scratch, found: DataFrame, comp: DataFrame, block: int = 64) -> DataFrame:
-    """All pairs of different components below each hot shingle, in blocks of members.
+def _by_rarest(scratch: Scratch, sets: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs of different components that share one of both sets' rarest shingles.
 
-    Only sets that no cheaper rule could settle come here. Members are dealt
-    into blocks and blocks are paired, so no task holds a whole group.
+    A partner shares at least 3/4 of a set's shingles, so one of the rarest
+    n - ceil(3n / 4) + 1 is shared: both sets order their shingles alike.
     """
-    hot = found.where("kind = 1").join(comp.withColumnRenamed("node", "a"), "a", "left") \
-        .withColumn("comp", F.coalesce("comp", "a"))
-    mixed = hot.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                   F.count(F.lit(1)).alias("members")).where("x <> y").select("sig", "members")
-    dealt = scratch.keep(hot.join(mixed, "sig").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
-                         .withColumn("blk", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
-                         .select("sig", "a", "na", "comp", "blocks", "blk").distinct())
-    left = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = dealt.select("sig", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("comp").alias("comp_b"),
-                         F.col("blk").alias("other"))
-    return left.join(right, ["sig", "other"]).where("a < b and comp <> comp_b") \
-        .where(f"{WHOLE} * least(na, nb) >= {SHARE} * greatest(na, nb)").select("a", "na", "b", "nb")
+    def run(batches):
+        for b in batches:
+            grams = [np.frombuffer(x, np.int64) for x in b.column("grams").to_pylist()]
+            sizes = np.array([len(g) for g in grams], np.int64)
+            nodes = np.repeat(b.column("node").to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.repeat(sizes, sizes), pa.int32()),
+                                              pa.array(np.concatenate(grams) if grams else np.empty(0, np.int64))], ["a", "na", "gram"])
+
+    rows = scratch.keep(sets.mapInArrow(run, "a bigint, na int, gram bigint"))
+    counts = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("held"))
+    order = Window.partitionBy("a").orderBy("held", "gram")
+    rare = rows.join(counts, "gram").withColumn("place", F.row_number().over(order)) \
+        .where(f"place <= na - ceil({SHARE} * na / {WHOLE}) + 1 and held > 1") \
+        .join(comp.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a")) \
+        .select("gram", "a", "na", "comp")
+    rare = scratch.keep(rare)
+    mixed = rare.groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("gram")
+    left = rare.join(mixed, "gram", "left_semi")
+    right = left.select("gram", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("comp").alias("comp_b"))
+    return left.join(right, "gram").where("a < b and comp <> comp_b").select("a", "na", "b", "nb")
