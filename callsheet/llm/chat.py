@@ -107,10 +107,13 @@ def row_layout(df: DataFrame) -> RowLayout | None:
 def json_fingerprint(record: Column) -> Column:
     """The same hash, of a JSON record; a list's fields are those of any of its elements."""
     paths = [F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))]
+    def below(name: str):
+        return lambda key: F.concat(F.lit(f"{name}[]."), key)
+
     for name in _LISTS:
         items = F.from_json(F.get_json_object(record, f"$.{name}"), "array<map<string,string>>")
         keys = F.flatten(F.transform(items, lambda m: F.map_keys(m)))
-        paths.append(F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k, n=name: F.concat(F.lit(f"{n}[]."), k)))
+        paths.append(F.transform(F.coalesce(keys, F.array().cast("array<string>")), below(name)))
     known = F.array(*(F.lit(p) for p in KNOWN))
     return F.sha2(F.concat_ws("\n", F.array_sort(F.array_intersect(F.concat(*paths), known))), 256)
 
