@@ -145,12 +145,10 @@ def type_mismatches(df: DataFrame, expected: dict[str, str] | None = None) -> li
             if c in actual and actual[c] != t]
 
 
-def test_report(df: DataFrame, group_by: Sequence[str] = (), columns: Sequence[str] | None = None,
-                sample_rows: int | None = None) -> DataFrame:
+def test_report(df: DataFrame, group_by: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """The six runtime tests as rows ``(*groups, test_name, status, failures)``.
 
-    The default is a full scan. ``sample_rows`` bounds the checked rows the
-    way a ``LIMIT n`` fetch does (an arbitrary subset, not a random sample).
+    Every row is checked.
 
     ``failures`` is the number of violations summed over a test's checks
     (for the type test: the number of mismatching columns, from the schema).
@@ -158,8 +156,6 @@ def test_report(df: DataFrame, group_by: Sequence[str] = (), columns: Sequence[s
     count (group by all columns, combined map-side).
     """
     cols = list(columns or [c for c, _ in fixed.RAW_COLUMN_TYPES if c in df.columns])
-    if sample_rows is not None:
-        df = df.limit(sample_rows)
     checks = runtime_checks(cols)
     agg = df.groupBy(*group_by).agg(*_check_counts(checks))
     n_type = len(type_mismatches(df.select(*[_c(c) for c in cols])))

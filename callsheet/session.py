@@ -57,11 +57,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage; only when it is
-    unset (local tests) a fresh scratch folder is created and registered.
+    On a cluster this must be set to shared storage; only a local master that
+    leaves it unset gets a fresh scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="callsheet-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():
@@ -77,25 +79,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def scale_settings(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Session settings for a given input size (e.g. 100 TB on 1000 executors).
-
-    Shuffle partitions start at about one per 256 MB of input (at least two
-    per core) and AQE coalesces small ones at run time; a skewed partition
-    over five times the median (and 256 MB) is split for joins; scans split
-    files into 256 MB tasks.
-    """
-    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
-    }
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a reused intermediate once and cut its lineage.
 

@@ -90,8 +90,16 @@ def read_quality_sink(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def file_stream(spark: SparkSession, folder: str, file_glob: str, schema, max_files: int | None = None) -> DataFrame:
-    """A file-source stream over ``folder`` restricted to ``file_glob``."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    """A file-source stream over ``folder`` restricted to ``file_glob``.
+
+    A table may be one file or, as Spark writes it, a folder of that name:
+    then its part files are streamed.
+    """
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{file_glob}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    if found and all(f.isDirectory() for f in found):
+        return r.parquet(f"{folder}/{file_glob}")
+    return r.option("pathGlobFilter", file_glob).parquet(folder)

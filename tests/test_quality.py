@@ -152,3 +152,10 @@ def test_loader_fixture_variants(spark, variant, critical, optional):
     # soft checks only warn; strict mode rejects them as the loader's tests expect
     assert g.passed is (critical == "")
     assert quality.ingest_gate(df, strict=True).first().passed is (critical == "" and optional == "")
+
+
+def test_relationships_count_planted_orphans(spark):
+    orders = spark.sql("SELECT IF(id % 10 = 0, -1L, id % 7) AS o_custkey FROM range(1000)")
+    customer = spark.sql("SELECT id AS c_custkey FROM range(7)")
+    row = quality.relationships(orders, "o_custkey", customer, "c_custkey").first()
+    assert (row["violations"], row["status"]) == (100, "FAILED")

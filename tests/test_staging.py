@@ -76,13 +76,6 @@ def test_key_free_staging_pushes_day_filter_to_scan(spark):
     assert pushed and "GreaterThanOrEqual(o_orderdate" in pushed[0] and "LessThan(o_orderdate" in pushed[0]
 
 
-def test_scale_settings_grow_with_input():
-    from callsheet.session import scale_settings
-    s = scale_settings(100 * 1024 ** 4, cores=8000)
-    assert int(s["spark.sql.shuffle.partitions"]) == 409600
-    assert int(scale_settings(10 << 20, cores=8)["spark.sql.shuffle.partitions"]) == 16
-
-
 def test_surrogate_key_with_aqe_initial_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "5")
     try:

@@ -69,3 +69,13 @@ def test_batch_and_stream_share_the_windowing_code(spark):
     batch = skpis.daily_kpis_stream(ev, "ts", ok, F.col("value"))
     want = _batch(ev, "ts", ok, "value")
     assert batch.exceptAll(want.select(*batch.columns)).count() == 0
+
+
+def test_stream_reads_a_table_folder(spark):
+    from callsheet.plans.catalog import QUERIES
+    from callsheet.sources.files import scratch_path
+    folder = scratch_path(spark, "folder_tables")
+    for t in ("orders", "customer", "events"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").repartition(3).write.parquet(f"{folder}/{t}.parquet")
+    whole = sorted(map(tuple, QUERIES["stream_event_kpis"](spark, SF_SMALL).collect()))
+    assert whole == sorted(map(tuple, QUERIES["stream_event_kpis"](spark, folder).collect())) and whole

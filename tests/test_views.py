@@ -26,12 +26,12 @@ def test_layer_views_answer_the_documented_kpi_sql(spark):
     assert spark.sql("SELECT COUNT(*) FROM fct_campaigns").first()[0] > 0
 
 
-def test_namespace_and_bounded_check(spark):
+def test_namespace_and_whole_check(spark):
     ensure_database(spark, "raw_data")
     ensure_database(spark, "raw_data")  # idempotent
     assert "raw_data" in [d.name for d in spark.catalog.listDatabases()]
     raw = raw_contacts(spark, SF_SMALL).drop("contact_id", "client_key", "processed_at")
-    rep = quality.test_report(raw, sample_rows=100).collect()
+    rep = quality.test_report(raw).collect()
     assert len(rep) == 6
 
 
