@@ -16,6 +16,7 @@ gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_right
 
 import numpy as np
@@ -28,7 +29,7 @@ from .common import Scratch, documents
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 32_768  # pieces that one group is planned to hold
-CACHED_WORDS = 300_000  # words whose ids a worker remembers; beyond it starts anew
+CACHED_WORDS = 500_000  # words in a generation of a worker's memory; there are two
 
 _CLOSERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _workers: dict[str, "WordTokenizer"] = {}
@@ -51,7 +52,9 @@ class WordTokenizer:
 
         self.model = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {"": b""}
+        self.old_words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     @staticmethod
     def split(word: str) -> tuple[str, str]:
@@ -62,14 +65,25 @@ class WordTokenizer:
         return (core.lower() if core.isascii() else core), word[len(core):]
 
     def learn(self, new: list[str]) -> None:
-        split = [self.split(w) for w in new]
-        parts = self.parts
-        unknown = list({p for s in split for p in s if p and p not in parts})
+        """Adds words to the young generation; their parts are encoded in one batch."""
+        if len(self.words) + len(new) > CACHED_WORDS:
+            self.words, self.old_words = {"": b""}, self.words
+        if len(self.parts) > CACHED_WORDS:
+            self.parts, self.old_parts = {}, self.parts
+        known, parts = self.old_words, self.parts
+        split = {w: self.split(w) for w in new if w not in known}
+        unknown = set()
+        for p in {p for s in split.values() for p in s if p}.difference(parts):
+            if (ids := self.old_parts.get(p)) is None:
+                unknown.add(p)
+            else:
+                parts[p] = ids
+        unknown = list(unknown)
         for p, e in zip(unknown, self.model.encode_batch(unknown, add_special_tokens=False) if unknown else (), strict=True):
-            parts[p] = np.array(e.ids, "<u4").tobytes()
+            parts[p] = array("I", e.ids).tobytes()
         parts[""] = b""
-        for w, (a, b) in zip(new, split, strict=True):
-            self.words[w] = parts[a] + parts[b]
+        for w in new:
+            self.words[w] = parts[split[w][0]] + parts[split[w][1]] if w in split else known[w]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
@@ -77,13 +91,13 @@ class WordTokenizer:
             if blank in text:
                 text = text.replace(blank, " ")
         words = text.split(" ")
-        if len(self.words) > CACHED_WORDS:
-            self.words = {"": b""}
-        if len(self.parts) > CACHED_WORDS:
-            self.parts = {}
         if new := set(words).difference(self.words):
             self.learn(list(new))
-        return b"".join(map(self.words.__getitem__, words))
+        try:
+            return b"".join(map(self.words.__getitem__, words))
+        except KeyError:  # the young generation was started anew while this text's words were learned
+            self.learn([w for w in set(words) if w not in self.words])
+            return b"".join(map(self.words.__getitem__, words))
 
 
 def _tokenizer(path: str) -> WordTokenizer:
