@@ -23,6 +23,10 @@ def ship(spark: SparkSession) -> None:
     the folder is only added to what the workers already search.
     """
     env = spark.sparkContext.environment
+    # large arrays go back to the system when freed, so a reused worker stays small
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", "262144")
+    env.setdefault("MALLOC_TRIM_THRESHOLD_", "1048576")
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     if REPO not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, env.get("PYTHONPATH", "")) if x)
 

@@ -47,7 +47,7 @@ SHARE, WHOLE = 75, 100  # SHARE / WHOLE is the similarity from which two sets li
 PAIR_LIMIT = 8  # a signature of more sets is compared by a star, the rest by the rules above
 BUCKET_ENTRIES = 250_000  # signatures that one bucket is planned to hold
 LOCAL_RUN = 64  # copies of a signature that one task sends as such; more go out salted
-TASK_ENTRIES = 2_000_000  # signatures gathered before a task writes them
+TASK_ENTRIES = 600_000  # signatures gathered before a task writes them
 
 META = "doc_id bigint, n int, node bigint, short boolean, sketch binary"
 FOUND = "kind int, sig bigint, a bigint, na int, b bigint, nb int, band int, margin int"

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 SIZE = 5
-PIECE_BYTES = 1 << 20  # bytes hashed at once; a longer text is hashed alone, in full
+PIECE_BYTES = 1 << 18  # bytes hashed at once; a longer text is hashed alone, in full
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
