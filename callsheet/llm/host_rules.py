@@ -79,9 +79,8 @@ def host_rates(scored: DataFrame) -> DataFrame:
     host) the prior is as strong as ``n`` of all hosts together, which pulls
     every host to the common rate.
     """
-    rows = F.col("rows") if "rows" in scored.columns else F.lit(1)
     hosts = scored.where(F.col("host").isNotNull()).groupBy("host").agg(
-        F.sum(rows).alias("n"), F.sum(F.when(F.col("base_failed"), rows).otherwise(0)).alias("failed"))
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
     prior = hosts.agg(
         (F.sum("failed") / F.sum("n")).alias("m"), F.sum("n").alias("total"),
         F.avg(F.pow(F.col("failed") / F.col("n"), 2)).alias("m2"), F.avg(F.col("failed") / F.col("n")).alias("m1"),
@@ -101,13 +100,17 @@ def _rejected_hosts(scored: DataFrame, max_rate: float) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, max_rate: float = MAX_RATE, host: str = "source") -> DataFrame:
-    """The documents that pass, with all their columns; the texts are measured in place and never shuffled."""
+    """The documents that pass, with all their columns.
+
+    The measured documents are written once: a filter on the counts would
+    otherwise be pushed below them and repeat their expressions. The texts are
+    never shuffled.
+    """
     scratch = Scratch(docs.sparkSession, "hosts")
     names = docs.columns
-    rates = scratch.keep(measured(docs, host, ()).groupBy("host", base_failed().alias("base_failed")).agg(
-        F.count(F.lit(1)).alias("rows")))
-    bad = _rejected_hosts(rates, max_rate)
-    good = measured(docs, host, tuple(names)).where(~base_failed())
+    scored = scratch.keep(measured(docs, host, tuple(names)).select("held", "host", base_failed().alias("base_failed")))
+    bad = _rejected_hosts(scored.select("host", "base_failed"), max_rate)
+    good = scored.where(~F.col("base_failed"))
     return good.join(bad, good["host"] == bad["bad_host"], "left_anti").select(*(F.col(f"held.`{c}`").alias(c) for c in names))
 
 
