@@ -77,5 +77,9 @@ def test_stream_reads_a_table_folder(spark):
     folder = scratch_path(spark, "folder_tables")
     for t in ("orders", "customer", "events"):
         spark.read.parquet(f"{SF_SMALL}/{t}.parquet").repartition(3).write.parquet(f"{folder}/{t}.parquet")
-    whole = sorted(map(tuple, QUERIES["stream_event_kpis"](spark, SF_SMALL).collect()))
-    assert whole == sorted(map(tuple, QUERIES["stream_event_kpis"](spark, folder).collect())) and whole
+
+    def rows(source):  # part files add their floats in another order
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                      for r in QUERIES["stream_event_kpis"](spark, source).collect())
+
+    assert rows(SF_SMALL) == rows(folder) != []
