@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--target", required=True)
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--strict", action="store_true")
+    p.add_argument("--history", help="the pipeline's dq_test_history table, for report")
     a = p.parse_args(argv)
 
     spark = build_session()
@@ -46,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
         write_table(gate, f"{a.target}/ingest_gate")
         write_table(quality.test_report(raw), f"{a.target}/dq_test_results")
         return 0 if spark.read.parquet(f"{a.target}/ingest_gate").first().passed else 1
-    for name, df in daily_report(raw, as_of).items():
+    history = spark.read.parquet(a.history) if a.history else None
+    for name, df in daily_report(raw, as_of, history).items():
         write_table(df, f"{a.target}/report_{name}")
     return 0
 

@@ -11,6 +11,7 @@ of an error.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,6 +43,13 @@ def pct(num: Column, den: Column, digits: int | None = 2) -> Column:
     return value if digits is None else F.round(value, digits)
 
 
+def unique_sql(columns: Sequence[str], key: str = "customer_id") -> str:
+    """Distinct customers of a frame with these columns: exact where the key
+    is there. A frame without it has not been numbered yet, and the number
+    that staging would give is unique by row."""
+    return f"count(DISTINCT {q(key)})" if key in columns else "count(1)"
+
+
 def as_of_sql(as_of: dt.date | None) -> str:
     if as_of is None:
         return "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
@@ -53,20 +61,19 @@ def exprs(named: dict[str, str]) -> list[Column]:
 
 
 def conversion_sql(names: dict[str, str], subscribed: str = "subscribed",
-                   amount: str = "call_duration_seconds", as_of: dt.date | None = None) -> dict[str, str]:
-    """Aggregates of one conversion roll-up, as ``{output_name: sql}``.
+                   amount: str = "call_duration_seconds", as_of: dt.date | None = None,
+                   columns: Sequence[str] = ()) -> dict[str, str]:
+    """Aggregates of one conversion roll-up over a frame that has these
+    columns, as ``{output_name: sql}``.
 
     Roles: size, unique, yes, no, rate, avg, sum, per_minute, updated. A
-    role missing from ``names`` is skipped. ``unique`` counts the surrogate
-    contact key; that key is a row number (one value per row), so the exact
-    distinct count equals the row count and no distinct aggregation is
-    planned.
+    role missing from ``names`` is skipped. ``unique``: see ``unique_sql``.
     """
     s, a = q(subscribed), q(amount)
     conv = f"count_if({s} = 'yes')"
     built = {
         "size": "count(1)",
-        "unique": "count(1)",
+        "unique": unique_sql(columns),
         "yes": conv,
         "no": f"count_if({s} = 'no')",
         "rate": pct_sql(conv, "count(1)"),
@@ -79,8 +86,9 @@ def conversion_sql(names: dict[str, str], subscribed: str = "subscribed",
 
 
 def conversion_aggs(names: dict[str, str], subscribed: str = "subscribed",
-                    amount: str = "call_duration_seconds", as_of: dt.date | None = None) -> list[Column]:
-    return exprs(conversion_sql(names, subscribed, amount, as_of))
+                    amount: str = "call_duration_seconds", as_of: dt.date | None = None,
+                    columns: Sequence[str] = ()) -> list[Column]:
+    return exprs(conversion_sql(names, subscribed, amount, as_of, columns))
 
 
 def rule_pivot_sql(axis: str, table: list[tuple[str, str]], value: str) -> dict[str, str]:

@@ -8,7 +8,7 @@ hold more than ``hot_share`` of the rows; there can be at most
 ``1 / hot_share`` of them, so their dimension rows have a proven size bound
 and are broadcast to the hot fact rows. All other rows take the ordinary
 shuffle join. Both parts are unioned; no row is dropped or duplicated (the
-dimension key is unique).
+dimension key is unique). Streams have no AQE: see ``_streamed``.
 """
 
 from __future__ import annotations
@@ -22,9 +22,31 @@ def aqe_splits_skew(spark) -> bool:
             and spark.conf.get("spark.sql.adaptive.skewJoin.enabled", "true") == "true")
 
 
+BROADCAST_ROWS = 200_000  # dimension rows up to which a stream's join broadcasts them
+SALTS = 32
+
+
+def _streamed(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
+    """A stream is planned without AQE and its hot keys are not known ahead.
+
+    A dimension that is counted to be small is broadcast. Else every stream row
+    gets one of ``SALTS`` salts from a hash of its other columns and the
+    dimension is repeated once per salt, so a key's rows spread over as many tasks.
+    """
+    if dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], "inner")
+    others = [F.col(f"`{c}`") for c in fact.columns if c != fact_key]
+    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)))
+    copies = dim.withColumn("_salt_d", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+    joined = salted.join(copies, (salted[fact_key] == copies[dim_key]) & (salted["_salt"] == copies["_salt_d"]), "inner")
+    return joined.drop("_salt", "_salt_d")
+
+
 def skew_safe_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                    hot_share: float = 0.001, force_split: bool = False) -> DataFrame:
     """Inner join ``fact.fact_key = dim.dim_key`` (``dim_key`` unique in ``dim``)."""
+    if fact.isStreaming:
+        return _streamed(fact, dim, fact_key, dim_key)
     if not force_split and aqe_splits_skew(fact.sparkSession):
         return fact.join(dim, fact[fact_key] == dim[dim_key], "inner")
     total = fact.agg(F.count(F.lit(1))).scalar()

@@ -1,50 +1,70 @@
 """Distributed surrogate keys: a global ROW_NUMBER without a single partition.
 
 ``ROW_NUMBER() OVER (ORDER BY k)`` is planned by Spark as one task holding
-every row. Here the rows are range-partitioned on the (total) order, sorted
-inside each partition, numbered locally, and shifted by the row count of all
-earlier partitions. The only non-distributed piece is the table of
-per-partition counts: one row per partition, so its size is bounded by the
-partition count, which is what gets broadcast.
-
-Both the counts and the numbered rows must see the *same* range partitions.
-Column pruning gives the two branches different plans (so no exchange
-reuse), and two range exchanges sample independently; the numbered frame is
-therefore persisted once and both branches read it. A lost cached block is
-recomputed through the same shuffle dependency (same range bounds), and the
-order is made total with tie-break columns, so a recomputed task assigns
-the same keys. A hot key value cannot pile up in one task: the range
-partitioner splits it along the tie-break columns.
+every row. Here every row derives its group from its own values alone: its
+leading keys and a bucket of its tie-break that follows the tie-break's order.
+Groups are ordered as the rows are, so a row's number is its place in its group
+plus the rows of all groups before. Those come from a count per group (combined
+map-side), summed within each value of the first key and then over these values.
+
+Nothing is cached and nothing depends on sampled range bounds: a recomputed
+task derives the same groups. A hot key value is split by the tie-break's
+buckets. Only the totals by first key meet in one task, so that column must
+have few values, whatever the number of rows (an age, for example).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BUCKETS = 256
+_GROUP, _BUCKET, _LEAD, _N, _OFF = "_sk_group", "_sk_bucket", "_sk_lead", "_sk_n", "_sk_off"
+
 
-from ..session import shuffle_partitions
+def _buckets(df: DataFrame, tie: Sequence[str]) -> tuple[Column, list[Column]]:
+    """A bucket per row and the order of rows inside equal keys that it follows.
 
-_PART, _MID, _N, _OFF = "_sk_part", "_sk_mid", "_sk_n", "_sk_off"
+    One integral column is cut into equal widths between its extremes, which a
+    scalar subquery finds. Other tie-breaks are ordered by a hash of the
+    columns, then by the columns.
+    """
+    columns = [F.col(f"`{c}`") for c in tie]
+    if len(tie) == 1 and isinstance(df.schema[tie[0]].dataType, T.IntegralType):
+        (c,) = columns
+        ends = df.agg(F.struct(F.min(c).cast("decimal(38,0)").alias("low"),
+                               F.max(c).cast("decimal(38,0)").alias("high"))).scalar()
+        width = F.floor((ends["high"] - ends["low"]) / F.lit(BUCKETS)) + 1
+        # nulls come first: they have a bucket of their own, below the others
+        return F.coalesce(F.floor((c - ends["low"]) / width).cast("int"), F.lit(-1)), [c.asc_nulls_first()]
+    code = F.xxhash64(*columns)
+    return F.shiftright(code, 56).cast("int"), [code, *[c.asc_nulls_first() for c in columns]]
 
 
-def surrogate_key(df: DataFrame, name: str, order: Sequence[str | Column],
-                  num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 1-based position of each row in ``order`` (ascending).
+def surrogate_key(df: DataFrame, name: str, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
+    """Add ``name`` = 1-based position of each row in the order of ``keys``
+    (ascending, nulls first), equal keys in the order of ``tie``.
 
-    ``order`` must be a total order for the result to be reproducible.
+    ``tie`` must tell rows apart for the result to be reproducible; only
+    rows equal in every column may swap their numbers.
     """
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    # Explicit partition count: AQE does not coalesce this exchange, so the
-    # partition id seen by both branches below is the same.
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    tagged = (ranged.withColumns({_PART: F.spark_partition_id(), _MID: F.monotonically_increasing_id()})
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    local = F.col(_MID) - F.shiftleft(F.col(_PART).cast("bigint"), 33)
-    counts = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PART, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
-    keyed = tagged.join(F.broadcast(offsets), _PART, "inner")
-    return keyed.withColumn(name, F.col(_OFF) + local + F.lit(1)).drop(_PART, _MID, _OFF)
+    bucket, order = _buckets(df, tie)
+    grouped = df.withColumn(_GROUP, F.struct(*[F.col(f"`{k}`") for k in keys], bucket.alias(_BUCKET)))
+    lead = F.col(_GROUP)[keys[0]]
+    counts = grouped.groupBy(_GROUP).agg(F.count(F.lit(1)).alias(_N)).withColumn(_LEAD, lead)
+    totals = counts.groupBy(_LEAD).agg(F.sum(_N).alias(_N))
+
+    def before(window) -> Column:
+        return F.coalesce(F.sum(_N).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    base = totals.select(F.col(_LEAD).alias("_sk_value"), before(Window.orderBy(F.asc_nulls_first(_LEAD))).alias("_sk_base"))
+    inside = counts.withColumn(_OFF, before(Window.partitionBy(_LEAD).orderBy(_GROUP)))
+    # one row per value of the first key
+    offsets = inside.join(F.broadcast(base), F.col(_LEAD).eqNullSafe(F.col("_sk_value"))).select(
+        _GROUP, (F.col(_OFF) + F.col("_sk_base")).alias(_OFF))
+    place = F.row_number().over(Window.partitionBy(_GROUP).orderBy(*order))
+    return (grouped.withColumn(_N, place).join(offsets, _GROUP)
+            .withColumn(name, (F.col(_OFF) + F.col(_N)).cast("bigint")).drop(_GROUP, _N, _OFF))

@@ -109,6 +109,24 @@ def _check_counts(checks: Sequence[Check]) -> list[Column]:
     return [F.expr(f"count_if({c.violation}) AS _v{i}") for i, c in enumerate(checks)]
 
 
+def _counted(df: DataFrame, columns: Sequence[str], group_by: Sequence[str] = ()) -> DataFrame:
+    """Distinct rows with their number ``_n``."""
+    cols = [c for c in columns if c not in group_by]
+    return df.groupBy(*group_by, *[_c(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+
+
+DUPLICATE_SQL = "coalesce(sum(_n), 0) - count(1)"
+
+
+def _weighted(violation: str) -> str:
+    """Violating rows, over rows counted by ``_counted``."""
+    return f"coalesce(sum(CASE WHEN {violation} THEN _n END), 0)"
+
+
+def _weighted_counts(checks: Sequence[Check]) -> list[Column]:
+    return [F.expr(f"{_weighted(c.violation)} AS _v{i}") for i, c in enumerate(checks)]
+
+
 def _unpivot_checks(checks: Sequence[Check]) -> Column:
     rows = ", ".join(f"named_struct('suite', {_lit(c.suite)}, 'test_name', {_lit(c.test)}, "
                      f"'column_name', {_lit(c.column)}, 'violations', _v{i})" for i, c in enumerate(checks))
@@ -130,9 +148,7 @@ def duplicates(df: DataFrame, columns: Sequence[str] | None = None,
     per group. Rows are compared on ``columns`` (default: all, NULL equal to
     NULL). Identical rows are combined map-side, so a hot duplicate group
     does not reach one reducer whole."""
-    cols = [c for c in (columns or df.columns) if c not in group_by]
-    per_row = df.groupBy(*group_by, *[_c(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
-    out = per_row.groupBy(*group_by).agg(F.sum("_n").alias("total_rows"),
+    out = _counted(df, columns or df.columns, group_by).groupBy(*group_by).agg(F.sum("_n").alias("total_rows"),
                                          F.count(F.lit(1)).alias("distinct_rows"))
     return out.withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
 
@@ -152,22 +168,22 @@ def test_report(df: DataFrame, group_by: Sequence[str] = (), columns: Sequence[s
 
     ``failures`` is the number of violations summed over a test's checks
     (for the type test: the number of mismatching columns, from the schema).
-    Exactly two passes: one aggregate holding every check, one duplicate
-    count (group by all columns, combined map-side).
+    One pass: equal rows are counted first (combined map-side, which the
+    duplicate test needs anyway), and every other check weighs a distinct row
+    by its count.
     """
     cols = list(columns or [c for c, _ in fixed.RAW_COLUMN_TYPES if c in df.columns])
     checks = runtime_checks(cols)
-    agg = df.groupBy(*group_by).agg(*_check_counts(checks))
+    counted = _counted(df, cols, group_by)
+    agg = counted.groupBy(*group_by).agg(*_weighted_counts(checks), F.expr(f"{DUPLICATE_SQL} AS _dup"))
     n_type = len(type_mismatches(df.select(*[_c(c) for c in cols])))
     entries = [f"named_struct('test_name', {_lit(fixed.TEST_DATA_TYPES)}, 'failures', CAST({n_type} AS BIGINT))"]
     for t in [fixed.TEST_NULLS, fixed.TEST_RANGES, fixed.TEST_ACCEPTED, fixed.TEST_CONSISTENCY]:
         parts = [f"_v{i}" for i, c in enumerate(checks) if c.test == t]
         total = " + ".join(parts) if parts else "CAST(0 AS BIGINT)"
         entries.append(f"named_struct('test_name', {_lit(t)}, 'failures', {total})")
-    per_test = agg.select(*group_by, F.expr(f"inline(array({', '.join(entries)}))"))
-    dup = duplicates(df.select(*group_by, *[_c(c) for c in cols]), cols, group_by).select(
-        *group_by, F.expr(f"{_lit(fixed.TEST_DUPLICATES)} AS test_name"), F.expr("duplicate_rows AS failures"))
-    report = per_test.unionByName(dup)
+    entries.append(f"named_struct('test_name', {_lit(fixed.TEST_DUPLICATES)}, 'failures', _dup)")
+    report = agg.select(*group_by, F.expr(f"inline(array({', '.join(entries)}))"))
     return report.select("*", F.expr(STATUS_SQL.format(v="failures") + " AS status"))
 
 
@@ -217,15 +233,15 @@ def ingest_gate(df: DataFrame, strict: bool = False) -> DataFrame:
     missing = [f"has_{c}" for c in fixed.LOADER_REQUIRED_COLUMNS if c not in have]
     lo, hi = fixed.LOADER_AGE_RANGE
 
-    def bad(col: str, ok: Column) -> Column:
-        return F.count_if(~F.coalesce(ok, F.lit(False))) if col in have else F.lit(0).cast("bigint")
+    def bad(col: str, ok: str) -> str:
+        return _weighted(f"NOT coalesce({_n(col)} {ok}, false)") if col in have else "CAST(0 AS BIGINT)"
 
-    stats = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        bad("age", _c("age").between(lo, hi)).alias("_age"),
-        bad("duration", _c("duration") >= fixed.LOADER_MIN_DURATION).alias("_dur"),
-        bad("campaign", _c("campaign") >= fixed.LOADER_MIN_CAMPAIGN).alias("_camp"),
-    ).withColumn("_dup", duplicates(df).select("duplicate_rows").scalar())
+    stats = _counted(df, df.columns).agg(*[F.expr(f"{sql} AS {name}") for name, sql in {
+        "total_rows": "coalesce(sum(_n), 0)",
+        "_age": bad("age", f"BETWEEN {lo} AND {hi}"),
+        "_dur": bad("duration", f">= {fixed.LOADER_MIN_DURATION}"),
+        "_camp": bad("campaign", f">= {fixed.LOADER_MIN_CAMPAIGN}"),
+        "_dup": DUPLICATE_SQL}.items()])
     critical = F.array_compact(F.array(F.when(F.col("total_rows") == 0, F.lit("total_rows")),
                                        *[F.lit(m) for m in missing]))
     optional = F.array_compact(F.array(*[F.when(F.col(src) > 0, F.lit(name)) for src, name in

@@ -84,8 +84,7 @@ def stage(raw: DataFrame, as_of: dt.date | None = None, with_key: bool = True,
 
     if with_key:
         tie = carried[:1] or [c for c in raw.columns if c not in fixed.STAGE_KEY_ORDER]
-        order = [F.col(f"`{c}`").asc_nulls_first() for c in fixed.STAGE_KEY_ORDER + tie]
-        kept = surrogate_key(kept, "customer_id", order)
+        kept = surrogate_key(kept, "customer_id", fixed.STAGE_KEY_ORDER, tie)
     head = ["customer_id"] if with_key else []
     if "processed_at" in raw.columns:
         out = kept.selectExpr(*head, *exprs, "CAST(processed_at AS TIMESTAMP_NTZ) AS processed_at", *carried)

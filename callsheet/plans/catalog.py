@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.metrics import yes as _yes
+from ..functions.time import on_day
 from ..operators import quality
 from ..operators.segments import risk_rules_v2, segment, segment_rules
 from ..operators.staging import stage
@@ -153,6 +154,30 @@ def q_dq_history_yesterday(spark, sf_dir):
     return dq_history(raw).orderBy(F.desc("test_date"), "test_name")
 
 
+def q_dq_history_scan(spark, sf_dir):
+    """Stored test history: the results of every contact day are written in
+    ranges of days, then yesterday's are scanned from that table."""
+    path = files.scratch_path(spark, "dq_test_history")
+    history = dq_history(raw_contacts(spark, sf_dir))
+    files.write_table(history.repartitionByRange("test_date"), path, sort_within=["test_date"])
+    stored = spark.read.schema(history.schema).parquet(path)
+    return stored.where(on_day("test_date", AS_OF - dt.timedelta(days=1))).orderBy(F.desc("test_date"), "test_name")
+
+
+def q_dq_summary(spark, sf_dir):
+    """The report's summary: the score with one decimal."""
+    return q_dq_score(spark, sf_dir).withColumn("quality_score", F.round("quality_score", 1))
+
+
+def q_dq_unparsable(spark, sf_dir):
+    """Cells that the loader's types turn into NULL, where durations ending in
+    07 carry their unit as text."""
+    text = raw_contacts(spark, sf_dir).select(*[F.col(f"`{c}`").cast("string").alias(c) for c in RAW21])
+    text = text.withColumn("duration", F.when(F.col("duration").endswith("07"), F.concat("duration", F.lit(" s")))
+                           .otherwise(F.col("duration")))
+    return files.unparsable(text, RAW_TYPES)
+
+
 def q_dq_relationships(spark, sf_dir):
     # the orders themselves: the contacts have already lost orders of unknown customers to a join
     return quality.relationships(read_table(spark, sf_dir, "orders"), "o_custkey",
@@ -174,6 +199,9 @@ QUERIES.update({
     "dq_report": q_dq_report,
     "dq_score": q_dq_score,
     "dq_history_yesterday": q_dq_history_yesterday,
+    "dq_history_scan": q_dq_history_scan,
+    "dq_summary": q_dq_summary,
+    "dq_unparsable": q_dq_unparsable,
     "dq_relationships": q_dq_relationships,
     "dq_unique_key": q_dq_unique_key,
 })
@@ -224,6 +252,35 @@ def q_kpi_by_timeframe(spark, sf_dir):
     return tiles.by_timeframe(_int(spark, sf_dir))
 
 
+KPI_NAMES = ["total_contacts", "successful_contacts", "conversion_rate", "avg_call_duration"]
+
+
+def _by_moment(frame: str) -> Query:
+    return lambda spark, sf_dir: tiles.measure_query(_int(spark, sf_dir), [f"created_{frame}"], KPI_NAMES)
+
+
+def q_explore_staged(spark, sf_dir):
+    staged = stage(raw_contacts(spark, sf_dir), AS_OF, with_key=False)
+    return tiles.explore("staged_contacts", staged, ["created_date", "contact_type"], KPI_NAMES, as_of=AS_OF)
+
+
+def q_explore_segmented(spark, sf_dir):
+    return tiles.explore("segmented_contacts", _int(spark, sf_dir), ["created_week", "age_group"],
+                         ["total_contacts", "conversion_rate", "professional_conversions"], as_of=AS_OF)
+
+
+def q_explore_fact(spark, sf_dir):
+    fct = marts.fct_campaigns(_int(spark, sf_dir), AS_OF, sort=False)
+    return tiles.explore("campaign_fact", fct, ["campaign_number", "campaign_date", "performance_category",
+                                                "total_conversions"], as_of=AS_OF)
+
+
+def q_explore_dimension(spark, sf_dir):
+    return tiles.explore("segment_dimension", q_dim_segments_exact(spark, sf_dir),
+                         ["age_group", "job_category", "credit_risk_profile", "segment_size",
+                          "segment_performance_category"], as_of=AS_OF)
+
+
 def _tile(fn):
     return lambda spark, sf_dir: fn(_int(spark, sf_dir), AS_OF)
 
@@ -238,6 +295,12 @@ QUERIES.update({
     "alerts": q_alerts,
     "measure_query": q_measure_query,
     "kpi_by_timeframe": q_kpi_by_timeframe,
+    "kpi_by_raw": _by_moment("raw"),
+    "kpi_by_time": _by_moment("time"),
+    "explore_staged_contacts": q_explore_staged,
+    "explore_segmented_contacts": q_explore_segmented,
+    "explore_campaign_fact": q_explore_fact,
+    "explore_segment_dimension": q_explore_dimension,
     "tile_conversion": _tile(tiles.tile_conversion),
     "tile_segmentation": _tile(tiles.tile_segmentation),
     "tile_by_age": _tile(tiles.tile_by_age),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.metrics import YES, exprs, pct_sql
+from ..functions.metrics import YES, exprs, pct_sql, unique_sql
 from ..functions.time import on_day, yesterday
 from ..operators.alerts import AlertRule, threshold_alerts, no_data_alert
 from ..session import materialize
@@ -16,14 +16,14 @@ from . import marts
 
 
 def kpi_daily(staged: DataFrame, as_of: dt.date) -> DataFrame:
-    """Yesterday's KPI row. ``unique_customers`` counts the surrogate key, a
-    row number, so it equals the row count."""
+    """Yesterday's KPI row."""
     day = yesterday(as_of)
     return (staged.where(on_day("processed_at", day))
             .groupBy(F.expr("to_date(processed_at) AS report_date"))
             .agg(*exprs({"total_contacts": "count(1)", "successful_contacts": f"count_if({YES})",
                          "conversion_rate": pct_sql(f"count_if({YES})", "count(1)"),
-                         "avg_call_duration": "avg(call_duration_seconds)", "unique_customers": "count(1)"})))
+                         "avg_call_duration": "avg(call_duration_seconds)",
+                         "unique_customers": unique_sql(staged.columns)})))
 
 
 def segment_rates(contacts: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,8 +59,9 @@ def conversion_by_campaign(contacts: DataFrame) -> DataFrame:
 
 
 def successes(contacts: DataFrame) -> DataFrame:
-    """Successful contacts and unique customers among them (row-number key)."""
-    return contacts.where(YES).agg(*exprs({"successful_contacts": "count(1)", "unique_customers": "count(1)"}))
+    """Successful contacts and unique customers among them."""
+    return contacts.where(YES).agg(*exprs({"successful_contacts": "count(1)",
+                                           "unique_customers": unique_sql(contacts.columns)}))
 
 
 def unique_clients(contacts: DataFrame, keys: list[str] | None = None) -> DataFrame:

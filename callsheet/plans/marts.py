@@ -54,7 +54,7 @@ _N_DUR = "_n_duration"
 def segment_metrics(contacts: DataFrame, as_of: dt.date | None = None, keep_count: bool = False) -> DataFrame:
     """7-key segment metrics. ``keep_count`` also keeps the count of
     non-null durations, needed to re-aggregate averages exactly."""
-    aggs = conversion_aggs(SEGMENT_METRICS, as_of=as_of)
+    aggs = conversion_aggs(SEGMENT_METRICS, as_of=as_of, columns=contacts.columns)
     if keep_count:
         aggs.append(F.expr(f"count(call_duration_seconds) AS {_N_DUR}"))
     return contacts.groupBy(*SEGMENT_KEYS).agg(*aggs)
@@ -114,7 +114,7 @@ def dim_segments_exact(contacts: DataFrame, as_of: dt.date | None = None) -> Dat
 def daily_performance(contacts: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Per day x campaign x six segments."""
     return (contacts.groupBy(F.expr("to_date(processed_at) AS campaign_date"), *DAILY_KEYS[1:])
-            .agg(*conversion_aggs(DAILY_METRICS, as_of=as_of)))
+            .agg(*conversion_aggs(DAILY_METRICS, as_of=as_of, columns=contacts.columns)))
 
 
 def campaign_summary(contacts: DataFrame, as_of: dt.date | None = None, mean_digits: int | None = 6,

@@ -12,6 +12,7 @@ combinations and is checkpointed into the shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from ..operators.segments import segment
 from ..operators.staging import as_of_timestamp, stage
 from ..schema import RAW_TYPES
 from ..session import materialize
-from ..sources.files import write_raw, write_table
+from ..sources.files import read_raw, write_day, write_raw, write_table
 from . import kpis, marts
 
 CUBE_KEYS = ["campaign_date", "campaign_number", *marts.SEGMENT_KEYS]
@@ -66,46 +67,68 @@ def marts_from_cube(cube: DataFrame, as_of: dt.date | None) -> dict[str, DataFra
 def run_pipeline(raw: DataFrame, target: str, as_of: dt.date) -> dict[str, str]:
     """Build and write every table under ``target``; returns name -> path.
 
-    The raw table is loaded first (truncate and load). With a contact
-    timestamp it is partitioned by contact month and clustered by time
-    inside each file, so day queries (``read_raw``) prune folders and row
-    groups; marts and reports are small and written whole.
+    The raw table is loaded first (truncate and load), in the only scan of
+    the source; every later step reads what has been written. With a contact
+    timestamp the raw table is partitioned by contact month and clustered by
+    time inside each file, so day queries (``read_raw``) prune folders and row
+    groups; marts and reports are small and written whole. Test results and
+    failing rows are also kept by run day, which a retry replaces.
     """
+    spark = raw.sparkSession
     paths: dict[str, str] = {}
-    if "processed_at" in raw.columns:
+    if dated := "processed_at" in raw.columns:
         paths["raw_contacts"] = write_raw(raw, f"{target}/raw_contacts")
+        loaded = read_raw(spark, paths["raw_contacts"])
     else:
         paths["raw_contacts"] = write_table(raw, f"{target}/raw_contacts")
-    raw21 = raw.select(*[F.col(f"`{c}`") for c in RAW_TYPES if c in raw.columns])
-    report = quality.test_report(raw21)
+        loaded = spark.read.parquet(paths["raw_contacts"])
+    columns = [c for c in RAW_TYPES if c in raw.columns]
+    started = time.monotonic()
+    report = quality.test_report(loaded.select(*[F.col(f"`{c}`") for c in columns]))
     paths["dq_test_results"] = write_table(report, f"{target}/dq_test_results")
-
-    contacts = segment(stage(raw, as_of, with_key=False))
+    seconds = time.monotonic() - started  # one pass computes all tests, so they share its time
+    report = spark.read.parquet(paths["dq_test_results"])
+    paths["dq_test_history"] = write_day(
+        report.select("test_name", "status", "failures", F.lit(seconds).alias("execution_time")),
+        f"{target}/dq_test_history", as_of)
+    failing = quality.failing_rows(loaded, quality.schema_checks(columns),
+                                   [c for c in ("contact_id",) if c in raw.columns])
+    paths["dq_failing_rows"] = write_day(failing, f"{target}/dq_failing_rows", as_of)
+
+    contacts = segment(stage(loaded, as_of, with_key=False))
     cube = materialize(contact_cube(contacts))
     for name, df in marts_from_cube(cube, as_of).items():
         paths[name] = write_table(df, f"{target}/{name}")
 
-    daily = kpis.kpi_daily(stage(raw, as_of, with_key=False), as_of)
+    day = yesterday(as_of)
+    day_rows = read_raw(spark, paths["raw_contacts"], day, day) if dated else loaded
+    daily = kpis.kpi_daily(stage(day_rows, as_of, with_key=False), as_of)
     paths["kpi_daily"] = write_table(daily, f"{target}/kpi_daily")
-    score = quality.quality_score(report)
-    paths["alerts"] = write_table(kpis.alerts(daily, score, as_of), f"{target}/alerts")
+    daily = spark.read.parquet(paths["kpi_daily"])
+    paths["alerts"] = write_table(kpis.alerts(daily, quality.quality_score(report), as_of), f"{target}/alerts")
     return paths
 
 
-def daily_report(raw: DataFrame, as_of: dt.date) -> dict[str, DataFrame]:
+def daily_report(raw: DataFrame, as_of: dt.date, history: DataFrame | None = None) -> dict[str, DataFrame]:
     """The four tables of the daily report for ``as_of - 1``: KPI row, top
-    age x job segments, yesterday's campaigns, and the test-result history
-    of that day. Each is a DataFrame; delivery (HTML, mail) is not built."""
+    age x job segments, yesterday's campaigns, and the test results of that
+    day: scanned from the stored ``history``, or computed from that day's
+    contacts where none is given. Each is a DataFrame; delivery (HTML, mail)
+    is not built."""
     if "processed_at" not in raw.columns:  # no contact time: load time, as staging uses
         raw = raw.withColumn("processed_at", as_of_timestamp(as_of))
     staged = stage(raw, as_of, with_key=False)
     contacts = segment(staged)
     day = yesterday(as_of)
-    day_raw = raw.where(on_day("processed_at", day))
-    dated = day_raw.withColumn("test_date", F.to_date("processed_at").cast("timestamp_ntz"))
-    cols = [c for c in RAW_TYPES if c in raw.columns]
-    tests = quality.test_report(dated, group_by=["test_date"], columns=cols).select(
-        "test_name", "status", "failures", F.lit(None).cast("double").alias("execution_time"), "test_date")
+    if history is not None:
+        tests = history.where(F.col("test_date") == F.lit(day)).select(
+            "test_name", "status", "failures", "execution_time", F.col("test_date").cast("timestamp_ntz").alias("test_date"))
+    else:
+        day_raw = raw.where(on_day("processed_at", day))
+        dated = day_raw.withColumn("test_date", F.to_date("processed_at").cast("timestamp_ntz"))
+        cols = [c for c in RAW_TYPES if c in raw.columns]
+        tests = quality.test_report(dated, group_by=["test_date"], columns=cols).select(
+            "test_name", "status", "failures", F.lit(None).cast("double").alias("execution_time"), "test_date")
     return {
         "kpis": kpis.kpi_daily(staged, as_of),
         "segments": kpis.top_segments(contacts, as_of),

@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.metrics import YES, exprs, pct_sql
+from ..functions.metrics import YES, exprs, pct_sql, unique_sql
 from ..functions.time import last_days, timeframe
 from ..operators.rollup import unpivot_columns
 from . import marts
 
 
-def measure_sql() -> dict[str, str]:
+def measure_sql(columns: Sequence[str] = ()) -> dict[str, str]:
+    """The measures as SQL over a frame that has these columns."""
     conv = f"count_if({YES})"
     return {
         "total_contacts": "count(1)",
@@ -30,8 +31,7 @@ def measure_sql() -> dict[str, str]:
         "conversion_rate": pct_sql(conv, "count(1)", None),
         "avg_call_duration": "avg(call_duration_seconds)",
         "total_call_duration_hours": "sum(call_duration_seconds) / 3600.0D",
-        # the contact key is a row number: distinct keys = rows
-        "unique_customers": "count(1)",
+        "unique_customers": unique_sql(columns),
         "young_conversions": f"count_if({YES} AND age_group = 'Young (18-24)')",
         "professional_conversions": f"count_if({YES} AND job_category = 'Professional')",
         "low_risk_conversions": f"count_if({YES} AND credit_risk_profile = 'Low Risk')",
@@ -64,7 +64,7 @@ def measure_query(df: DataFrame, dims: Sequence[str], names: Sequence[str],
         df = df.where(cond)
     dim_cols = [timeframe(date_col, d.split("_", 1)[1]).alias(d) if d.startswith("created_") else F.col(d)
                 for d in dims]
-    m = measure_sql()
+    m = measure_sql(df.columns)
     out = df.groupBy(*dim_cols).agg(*exprs({n: m[n] for n in names})) if names else \
         df.select(*dim_cols).distinct()
     if sorts:
@@ -72,17 +72,22 @@ def measure_query(df: DataFrame, dims: Sequence[str], names: Sequence[str],
     return out.limit(limit) if limit else out
 
 
-def by_timeframe(contacts: DataFrame, frames: Sequence[str] = ("date", "week", "month", "quarter", "year"),
-                 names: Sequence[str] = ("total_contacts", "successful_contacts", "conversion_rate",
-                                         "avg_call_duration")) -> DataFrame:
-    """KPIs per period for several timeframes in one pass: each contact is
-    expanded into one (timeframe, period) row per frame, then a single
-    aggregate (combined map-side) rolls them up."""
-    periods = F.array(*[F.struct(F.lit(f).alias("timeframe"), timeframe("processed_at", f).alias("period_start"))
+def by_timeframe(contacts: DataFrame,
+                 frames: Sequence[str] = ("date", "week", "month", "quarter", "year")) -> DataFrame:
+    """KPIs per period for several timeframes of a day and more in one pass:
+    contacts are first aggregated by day into additive parts, then each day
+    counts towards one period per frame. The finer frames (``raw``, ``time``)
+    are ``measure_query`` dimensions."""
+    days = contacts.groupBy(F.expr("to_date(processed_at) AS _day")).agg(*exprs({
+        "_n": "count(1)", "_yes": f"count_if({YES})", "_seconds": "sum(call_duration_seconds)",
+        "_timed": "count(call_duration_seconds)"}))
+    periods = F.array(*[F.struct(F.lit(f).alias("timeframe"), timeframe("_day", f).alias("period_start"))
                         for f in frames])
-    m = measure_sql()
-    return (contacts.select("*", F.inline(periods))
-            .groupBy("timeframe", "period_start").agg(*exprs({n: m[n] for n in names})))
+    return (days.select("*", F.inline(periods))
+            .groupBy("timeframe", "period_start").agg(*exprs({
+                "total_contacts": "sum(_n)", "successful_contacts": "sum(_yes)",
+                "conversion_rate": pct_sql("sum(_yes)", "sum(_n)", None),
+                "avg_call_duration": "CAST(sum(_seconds) AS DOUBLE) / NULLIF(sum(_timed), 0)"})))
 
 
 def _window_contacts(contacts: DataFrame, as_of: dt.date, days: int) -> DataFrame:

@@ -25,14 +25,16 @@ LAYERS = ["raw_contacts", "stg_contacts", "int_contact_segments", "dim_segments"
 def register_views(raw: DataFrame, as_of: dt.date | None = None, with_key: bool = True) -> dict[str, DataFrame]:
     """Register the layers as temp views of ``raw``'s session; returns them."""
     staged = stage(raw, as_of, with_key=with_key)
-    contacts = segment(staged)
+    # the marts don't show the contact key, so their views do without the numbering
+    plain = segment(stage(raw, as_of, with_key=False))
+    metrics = marts.segment_metrics(plain, as_of, keep_count=True)
     frames = {
         "raw_contacts": raw,
         "stg_contacts": staged,
-        "int_contact_segments": contacts,
-        "dim_segments": marts.dim_segments(contacts, as_of),
-        "dim_segments_exact": marts.dim_segments_exact(contacts, as_of),
-        "fct_campaigns": marts.fct_campaigns(contacts, as_of),
+        "int_contact_segments": segment(staged),
+        "dim_segments": marts.dimension_from_metrics(metrics, exact=False),
+        "dim_segments_exact": marts.dimension_from_metrics(metrics, exact=True),
+        "fct_campaigns": marts.fct_campaigns(plain, as_of),
     }
     for name, df in frames.items():
         df.createOrReplaceTempView(name)

@@ -85,6 +85,17 @@ def coerce_schema(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").try_cast(loader_type(c)).alias(c) for c in df.columns])
 
 
+def unparsable(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """``(column_name, cells)``: for each column that is no text by ``types``,
+    the cells that hold something which its type can't take (``try_cast``
+    makes them NULL). One aggregate over the frame as read."""
+    cols = [c for c, t in types.items() if t != "string" and c in df.columns]
+    agg = df.agg(*[F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(types[c]).isNull()).alias(f"_{i}")
+                   for i, c in enumerate(cols)])
+    return agg.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("cells"))
+                                         for i, c in enumerate(cols)])))
+
+
 def conform(df: DataFrame, schema: T.StructType = RAW_SCHEMA_WITH_LINEAGE, keep_extra: bool = False) -> DataFrame:
     """Any variant -> the canonical columns in order: dotted names renamed,
     declared types cast, missing columns as typed NULLs (e.g. the loader
@@ -128,9 +139,22 @@ PARTITION_COLUMN = "contact_month"
 def write_raw(df: DataFrame, path: str, ts: str = "processed_at", mode: str = "overwrite") -> str:
     """Load raw contacts partitioned by contact month (about 30 days per
     folder: few enough folders at any volume, small enough for a day query
-    to open one), rows clustered by contact time inside each file."""
+    to open one), rows clustered by contact time inside each file.
+
+    Rows are dealt by ranges of (month, time), so there are at most tasks +
+    months files and a large month spreads over several tasks. The sort starts
+    with the month, so the partitioned write keeps it.
+    """
     dated = df.withColumn(PARTITION_COLUMN, F.to_date(F.date_trunc("month", F.col(ts))))
-    return write_table(dated, path, partition_by=[PARTITION_COLUMN], sort_within=[ts], mode=mode)
+    spread = [PARTITION_COLUMN, ts] + [c for c in ("contact_id",) if c in df.columns]
+    dated = dated.repartitionByRange(*spread)
+    return write_table(dated, path, partition_by=[PARTITION_COLUMN], sort_within=[PARTITION_COLUMN, ts], mode=mode)
+
+
+def write_day(df: DataFrame, path: str, day: dt.date, column: str = "test_date") -> str:
+    """Load one day of a table kept by day: a retry replaces the day, other days stay."""
+    write_table(df, f"{path}/{column}={day.isoformat()}")
+    return path
 
 
 def read_raw(spark: SparkSession, path: str, first_day=None, last_day=None, ts: str = "processed_at") -> DataFrame:

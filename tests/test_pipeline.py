@@ -4,11 +4,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from callsheet.operators import quality
 from callsheet.operators.alerts import AlertRule, no_data_alert, threshold_alerts
 from callsheet.operators.segments import segment
 from callsheet.operators.staging import stage
 from callsheet.plans import marts
-from callsheet.plans.pipeline import run_pipeline
+from callsheet.plans.pipeline import daily_report, run_pipeline
+from callsheet.schema import RAW_TYPES
 from callsheet.sources.files import scratch_path
 from callsheet.sources.star import raw_contacts
 from tests.conftest import SF_SMALL
@@ -31,6 +33,13 @@ def test_pipeline_marts_equal_direct_marts(spark):
     assert _same(spark.read.parquet(paths["fct_campaigns"]), marts.fct_campaigns(contacts, AS_OF))
     assert spark.read.parquet(paths["dq_test_results"]).count() == 6
     assert spark.read.parquet(paths["raw_contacts"]).count() == raw.count()
+    run_pipeline(raw, target, AS_OF)  # a retry replaces its day
+    history = spark.read.parquet(paths["dq_test_history"])
+    assert history.count() == 6 and history.where("execution_time > 0").count() == 6
+    tests = daily_report(raw, AS_OF + dt.timedelta(days=1), history)["tests"]
+    assert tests.count() == 6
+    failing = quality.failing_rows(raw, quality.schema_checks(list(RAW_TYPES)), ["contact_id"])
+    assert spark.read.parquet(paths["dq_failing_rows"]).count() == failing.count() > 0
 
 
 def test_threshold_and_no_data_alerts(spark):

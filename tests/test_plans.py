@@ -45,3 +45,10 @@ def test_fact_uses_one_exchange_for_window_and_order(spark):
 def test_dimension_scans_contacts_once(spark):
     plan = _plan(spark, queries()["dim_segments"](spark, SF_SMALL))
     assert "orders.parquet" not in plan  # every branch reads the checkpointed segment table
+
+
+@pytest.mark.parametrize("name", ["dq_report", "dq_score", "dq_ingest_gate", "dq_history_yesterday"])
+def test_quality_report_scans_its_source_once(spark, name):
+    plan = _plan(spark, queries()[name](spark, SF_SMALL))
+    scans = [ln for ln in plan.splitlines() if ln.startswith("Location") and "orders.parquet" in ln]
+    assert len(scans) == 1

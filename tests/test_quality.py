@@ -10,11 +10,11 @@ COLS = ["age", "job", "marital", "education", "default", "housing", "loan", "con
         "duration", "campaign", "pdays", "previous", "poutcome", "emp.var.rate", "cons.price.idx",
         "cons.conf.idx", "euribor3m", "nr.employed", "y"]
 ROWS = [
-    (25, "admin.", "married", "university.degree", "yes", "cellular", "may", "mon", 261, "no"),
-    (30, "technician", "single", "high.school", "yes", "cellular", "jun", "tue", 149, "no"),
-    (35, "services", "married", "basic.9y", "no", "telephone", "jul", "wed", 226, "yes"),
-    (40, "management", "divorced", "university.degree", "yes", "cellular", "aug", "thu", 151, "no"),
-    (45, "blue-collar", "single", "basic.6y", "no", "telephone", "sep", "fri", 307, "yes"),
+    (25, "student", "single", "illiterate", "unknown", "telephone", "oct", "fri", 77, "yes"),
+    (33, "housemaid", "unknown", "basic.4y", "no", "cellular", "jan", "thu", 1200, "no"),
+    (58, "retired", "divorced", "professional.course", "yes", "telephone", "apr", "mon", 15, "no"),
+    (71, "entrepreneur", "married", "unknown", "yes", "cellular", "dec", "wed", 480, "yes"),
+    (94, "self-employed", "single", "high.school", "no", "cellular", "feb", "tue", 3600, "no"),
 ]
 SCHEMA = ", ".join(f"`{c}` {t}" for c, t in zip(COLS, [
     "bigint", "string", "string", "string", "string", "string", "string", "string", "string", "string", "bigint",
@@ -22,8 +22,8 @@ SCHEMA = ", ".join(f"`{c}` {t}" for c, t in zip(COLS, [
 
 
 def frame(spark, rows=ROWS):
-    full = [(a, j, m, e, "no", h, "no", c, mo, d, du, 1, -1, 0, "nonexistent", 1.1, 93.994, -36.4, 4.857,
-             5191.0, y) for a, j, m, e, h, c, mo, d, du, y in rows]
+    full = [(a, j, m, e, "no", h, "no", c, mo, d, du, 3, -1, 0, "nonexistent", -0.5, 93.0, -40.25, 2.5,
+             5100.5, y) for a, j, m, e, h, c, mo, d, du, y in rows]
     return normalise_names(spark.createDataFrame(full, SCHEMA))
 
 

@@ -69,3 +69,22 @@ def test_split_used_when_aqe_skew_handling_is_off(spark):
         assert raw.count() == read_table(spark, SF_MID, "orders").count()
     finally:
         spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+
+
+def test_streams_split_or_broadcast_without_aqe(spark, monkeypatch):
+    from callsheet.operators import joins
+    orders = read_table(spark, SF_MID, "orders").select("o_orderkey", "o_custkey")
+    cust = read_table(spark, SF_MID, "customer").select("c_custkey", "c_nationkey")
+    plain = orders.join(cust, orders.o_custkey == cust.c_custkey)
+    assert joins._streamed(orders, cust, "o_custkey", "c_custkey").exceptAll(plain).count() == 0
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    salted = joins._streamed(orders, cust, "o_custkey", "c_custkey")
+    plan = spark._jvm.PythonSQLUtils.explainString(salted._jdf.queryExecution(), "formatted")
+    assert "_salt" in plan and salted.columns == plain.columns
+    assert salted.exceptAll(plain).count() == 0 and salted.count() == plain.count()
+
+
+def test_unique_customers_counts_real_keys(spark):
+    from callsheet.plans import kpis
+    df = spark.createDataFrame([("a", "yes"), ("a", "yes"), ("b", "yes"), ("c", "no")], "customer_id string, subscribed string")
+    assert tuple(kpis.successes(df).first()) == (3, 2)

@@ -75,3 +75,20 @@ def test_month_partitioned_raw_prunes_folders(spark):
     got = got.select(*raw.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert files.read_raw(spark, path).count() == raw.count()
+
+
+def test_raw_files_are_few_and_sorted(spark):
+    raw = raw_contacts(spark, SF_SMALL).repartition(8)
+    path = files.scratch_path(spark, "raw_files")
+    files.write_raw(raw, path)
+    table = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    months = table.select("contact_month").distinct().count()
+    assert table.select("file").distinct().count() <= months + 8
+    for name in [r.file for r in table.select("file").distinct().limit(8).collect()]:
+        times = [r[0] for r in spark.read.parquet(name).select("processed_at").collect()]
+        assert times == sorted(times)
+
+
+def test_unparsable_cells_are_counted(spark):
+    df = spark.createDataFrame([("41", "x"), ("4o", "y"), (None, "z"), ("", "w")], "age string, job string")
+    assert [tuple(r) for r in files.unparsable(df, {"age": "bigint", "job": "string"}).collect()] == [("age", 2)]
