@@ -15,7 +15,7 @@ def test_surrogate_key_equals_global_row_number(spark):
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
         (F.col("id") * 7919 % 3001).alias("tie"))
-    got = surrogate_key(df, "sk", ["k", "tie"], num_partitions=13)
+    got = surrogate_key(df, "sk", ["k"], ["tie"])
     want = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "tie")))
     joined = got.join(want, ["k", "tie"])
     assert joined.count() == 3000
@@ -80,7 +80,7 @@ def test_surrogate_key_with_aqe_initial_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "5")
     try:
         df = spark.range(0, 500).select((F.col("id") % 7).alias("k"), F.col("id").alias("tie"))
-        got = surrogate_key(df, "sk", ["k", "tie"])
+        got = surrogate_key(df, "sk", ["k"], ["tie"])
         want = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "tie")))
         assert got.join(want, ["k", "tie"]).where("sk != rn").count() == 0
     finally:
