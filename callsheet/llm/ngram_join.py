@@ -348,35 +348,52 @@ def _linked(batches):
 
 
 def components(scratch: Scratch, links: DataFrame) -> DataFrame:
-    """(node, comp) of every node in ``links`` (a, b): comp is the smallest node reachable.
+    """(node, comp) of every node in ``links`` (a, b; no pair twice): comp is the smallest node reachable.
 
-    Alternates large-star and small-star rounds; each round is a grouped
-    minimum and a join on the node, written out, until the edges stay as
-    they are. No link or component passes through the driver.
+    Alternates large-star and small-star rounds; each round is grouped minima
+    and joins on the node, written out, until the edges are stars: every node
+    has one smaller neighbour at most, which has none. No link or component
+    passes through the driver.
     """
-    def marks(e):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(30,0)"))).first()
-
-    edges = scratch.keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = marks(edges)
-    while before[0]:
+    def open_(e):
+        ends = e.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("in")) \
+            .unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+        return not ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("in").alias("in")) \
+            .where(F.col("out") + F.col("in") > 1).where("out > 0").isEmpty()
+
+    edges, made = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), None
+    while open_(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = large.where("u <> v").distinct()
+        # as many rows as edges, repeats included
+        stars = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = stars.groupBy("u").agg(F.min("v").alias("m"))
         small = stars.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(least.select("u", F.col("m").alias("v")))
-        after_edges = scratch.keep(small.distinct())
-        after = marks(after_edges)
-        scratch.free(edges)
-        edges, done, before = after_edges, after == before, after
-        if done:
-            break
-    return edges.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("node"), "comp") \
+        edges = scratch.keep(small.distinct())
+        if made is not None:
+            scratch.free(made)
+        made = edges
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")) \
         .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
+def merged(scratch: Scratch, comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``comp`` after more links: only links between two components are followed."""
+    def labels(end):
+        return comp.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+
+    across = links.join(labels("a"), "a", "left").join(labels("b"), "b", "left") \
+        .select(F.coalesce("comp_a", "a").alias("x"), F.coalesce("comp_b", "b").alias("y")).where("x <> y")
+    across = scratch.keep(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    if across.isEmpty():
+        return comp
+    roots = scratch.keep(components(scratch, across))
+    renamed = comp.join(roots.select(F.col("node").alias("comp"), F.col("comp").alias("root")), "comp", "left") \
+        .select("node", F.coalesce("root", "comp").alias("comp"))
+    return scratch.keep(renamed.unionByName(roots.join(comp, "node", "left_anti")))
+
+
 def similar_texts(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), n_links (of its set, other sets).
 
@@ -451,7 +468,7 @@ def similar_texts(docs: DataFrame) -> DataFrame:
         open_ = hot.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("sig")
         return hot.join(open_, "sig", "left_semi").groupBy("a", "band").agg(
             F.countDistinct("sig").alias("skipped"), F.max("margin").alias("margin")) \
-            .where(F.col("skipped") * units > F.col("margin")).select(F.col("a").alias("node")).distinct()
+            .where(F.col("skipped") * units > F.col("margin")).select(F.col("a").alias("node"))
 
     links = verified(pairs, sets)
     comp = scratch.keep(components(scratch, links))
@@ -462,17 +479,18 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     again = met(short_sets.mapInArrow(_neighbour_index(first, count), "bucket int, entries binary"))
     pairs2 = scratch.keep(candidates(again).join(pairs, ["a", "b"], "left_anti"))
     links2 = verified(pairs2, short_sets)
-    links = scratch.keep(links.unionByName(links2))
-    comp = scratch.keep(components(scratch, links))
+    comp = merged(scratch, comp, links2)
 
     # what is short even then is compared by its rarest shingles, pairs of different components only
     bare = _short_of_units(short_sets).unionByName(still_short(again, comp, 2)).distinct()
     rest = scratch.keep(short_sets.join(bare, "node", "left_semi"))
-    pairs3 = scratch.keep(ordered(_by_rarest(scratch, rest, comp))
-                          .join(pairs, ["a", "b"], "left_anti").join(pairs2, ["a", "b"], "left_anti"))
-    links3 = verified(pairs3, rest)
-    links = scratch.keep(links.unionByName(links3).distinct())
-    comp = scratch.keep(components(scratch, links))
+    links = links.unionByName(links2)  # each pair was verified once
+    if not rest.isEmpty():
+        pairs3 = scratch.keep(ordered(_by_rarest(scratch, rest, comp))
+                              .join(pairs, ["a", "b"], "left_anti").join(pairs2, ["a", "b"], "left_anti"))
+        links3 = verified(pairs3, rest)
+        comp = merged(scratch, comp, links3)
+        links = links.unionByName(links3)
 
     degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))) \
         .groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callsheet.llm import chat, host_rules, ngram_join, packing, pii, quality_rank, sentencepiece_fst, shards, shingles, topk, toxicity
+from callsheet.llm.common import Scratch
 from callsheet.llm.queries import tokenizer_path
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, node bigint, host string, score double, n bigint"
@@ -66,6 +67,22 @@ def test_ngram_join_finds_every_link(spark, monkeypatch, limit, run):
     assert [got[i]["component_id"] for i in range(len(texts))] == groups
 
 
+def test_components_and_later_links(spark):
+    rng = random.Random(3)
+    pairs = {tuple(sorted(rng.sample(range(90), 2))) for _ in range(60)} | {(i, i + 1) for i in range(100, 130)}
+    later = {(0, 100), (200, 201), (129, 200), (101, 102)}
+    group = {}
+    for a, b in pairs | later:
+        low, high = sorted((group.setdefault(a, a), group.setdefault(b, b)))
+        group = {k: low if g == high else g for k, g in group.items()}
+    scratch = Scratch(spark, "test")
+    frame = lambda rows: spark.createDataFrame(sorted(rows), "a bigint, b bigint")
+    comp = scratch.keep(ngram_join.components(scratch, frame(pairs)))
+    got = ngram_join.merged(scratch, comp, frame(later)).collect()
+    assert len(got) == len(group) and {r["node"]: r["comp"] for r in got} == group
+    assert ngram_join.components(scratch, frame(pairs).limit(0)).count() == 0
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.similar_texts(table(spark, ["x"]).limit(0)).count() == 0
     assert ngram_join.first_of_each(table(spark, [None, ""])).count() == 2
