@@ -525,11 +525,29 @@ def _short_of_units(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, "node bigint")
 
 
+MARKS = [f"p{i}" for i in range(4)]
+
+
+def _marked(batches):
+    """Each set's shingles by 256 places, one bit each: whether an odd number of them falls there."""
+    for b in batches:
+        bits = np.zeros((b.num_rows, 64 * len(MARKS)), np.uint8)
+        for row, blob in zip(bits, b.column("grams").to_pylist(), strict=True):
+            grams = np.frombuffer(blob, U)
+            row += (np.bincount((grams >> U(32)).astype(np.int64) % len(row), minlength=len(row)) & 1).astype(np.uint8)
+        longs = np.packbits(bits, axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([b.column("node"), *(pa.array(longs[:, i].copy()) for i in range(len(MARKS)))],
+                                         ["a", *MARKS])
+
+
 def _by_rarest(scratch: Scratch, sets: DataFrame, comp: DataFrame) -> DataFrame:
     """Pairs of different components that share one of both sets' rarest shingles.
 
     A partner shares at least 3/4 of a set's shingles, so one of the rarest
-    n - ceil(3n / 4) + 1 is shared: both sets order their shingles alike.
+    n - ceil(3n / 4) + 1 is shared: both sets order their shingles alike. The
+    join itself leaves out pairs that can't link: if this is the first shared
+    shingle, at most the rest of either set is shared too, and the sets'
+    odd places differ in no more places than the sets in shingles.
     """
     def run(batches):
         for b in batches:
@@ -542,12 +560,17 @@ def _by_rarest(scratch: Scratch, sets: DataFrame, comp: DataFrame) -> DataFrame:
     rows = scratch.keep(sets.mapInArrow(run, "a bigint, na int, gram bigint"))
     counts = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("held"))
     order = Window.partitionBy("a").orderBy("held", "gram")
+    marks = sets.mapInArrow(_marked, ", ".join(["a bigint", *(f"{p} bigint" for p in MARKS)]))
     rare = rows.join(counts, "gram").withColumn("place", F.row_number().over(order)) \
         .where(f"place <= na - ceil({SHARE} * na / {WHOLE}) + 1 and held > 1") \
         .join(comp.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a")) \
-        .select("gram", "a", "na", "comp")
+        .join(marks, "a").select("gram", "a", "na", "comp", "place", *MARKS)
     rare = scratch.keep(rare)
     mixed = rare.groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("gram")
-    left = rare.join(mixed, "gram", "left_semi")
-    right = left.select("gram", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("comp").alias("comp_b"))
-    return left.join(right, "gram").where("a < b and comp <> comp_b").select("a", "na", "b", "nb")
+    left = rare.join(mixed, "gram", "left_semi").alias("l")
+    apart = " + ".join(f"bit_count(l.{p} ^ r.{p})" for p in MARKS)
+    may = F.expr(f"""l.gram = r.gram and l.a < r.a and l.comp <> r.comp
+        and {WHOLE} * least(l.na, r.na) >= {SHARE} * greatest(l.na, r.na)
+        and {WHOLE + SHARE} * (1 + least(l.na - l.place, r.na - r.place)) >= {SHARE} * (l.na + r.na)
+        and {WHOLE + SHARE} * ({apart}) <= {WHOLE - SHARE} * (l.na + r.na)""")
+    return left.join(rare.alias("r"), may).selectExpr("l.a as a", "l.na as na", "r.a as b", "r.na as nb")
