@@ -1,14 +1,22 @@
-"""Toxicity: cumulative-link ordinal regression over sparse word features.
+"""Toxicity: cumulative-link ordinal regression over sparse word and stem features.
 
 Labels only say toxic or not; ordered severity grades come from the labelled
 rows themselves: grade 0 is not toxic, and a toxic text is graded 1, 2 or 3 by
-how often it uses the words that the labels tie to toxicity. One weight per
-word is shared by all thresholds: P(grade > k) = sigmoid(w.x - t_k), with
-t_0 < t_1 < t_2. The output is the expected grade, the sum of these chances.
+how often it uses words or stems that are mostly found in the other toxic rows.
+One weight per feature is shared by all thresholds:
+P(grade > k) = sigmoid(w.x - t_k), with t_0 < t_1 < t_2. The output is the
+expected grade, the sum of these chances.
+
+Features are all words and their stems (first 4, 5 and 6 letters), hashed, with
+value 1 + log(count) times the strength of the feature's tie to the label: its
+log odds, shrunk towards the base rate by ``PRIOR_ROWS`` rows. None is left out;
+a ridge holds the weights down, so nothing switches on or off with the number
+of labelled rows. Both labels weigh the same in the fit. The thresholds are
+then moved so that P(grade > 0) = 0.5 lies where ``FOLDS``-fold held-out scores
+separate the labels best (F1).
 
 The model is fitted on at most ``MAX_TRAINING`` labelled rows, those with the
-lowest hash of their id; its vocabulary is what passes a test of association on
-these rows. Every text is scored whole.
+lowest hash of their id. Every text is scored whole.
 
 Defined results: null and empty texts score like a text without known words;
 null labels and labels without a document are no training rows; with no
@@ -19,9 +27,7 @@ rows are scored one by one; extra columns stay, but ``expected_severity``,
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,49 +36,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, ship
+from .shingles import U, mix
 
 MAX_TRAINING = 8000
-MAX_WORDS = 2000
-MIN_ROWS = 5  # rows that must hold a word
-MIN_ASSOCIATION = 6.5  # standard deviations from independence of the label
+STEMS = (4, 5, 6)  # first letters of a word that are a feature
+KIND_BITS = 19  # hash places of each kind of feature (stems by length, whole words)
+KINDS = len(STEMS) + 1
+PLACES = KINDS << KIND_BITS
+COUNT_BITS = 11  # a packed feature keeps a count up to 2047
+PRIOR_ROWS = 2.0  # rows of the base rate that a feature's share of toxic rows is shrunk by
 GRADE_STEPS = (3, 6)  # uses of toxic words from which a toxic text is grade 2, 3
 GRADES = 3
-RIDGE = 1e-3
+RIDGE = 0.1
+FOLDS = 5
+
+_LETTER_PLACES = [int(mix(np.array([i + 11], U))[0]) | 1 for i in range(max(STEMS))]
+_tables: dict[str, np.ndarray] = {}
 
-_LETTERS = re.compile(r"[^\W\d_]+")
-_ASCII = bytes(c if chr(c).isalpha() else 32 for c in range(128)) + bytes(range(128, 256))
 
+def _is_letter(codes: np.ndarray) -> np.ndarray:
+    if "letters" not in _tables:
+        _tables["letters"] = np.array([chr(c).isalpha() for c in range(0x110000)])
+    return _tables["letters"][codes]
 
-def text_words(text: str | None) -> list[str]:
-    """The runs of letters, lower-cased."""
-    if not text:
-        return []
-    if text.isascii():
-        return text.lower().encode().translate(_ASCII).decode().split()
-    return _LETTERS.findall(text.lower())
+
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and counts of the lower-cased text's features; a word is a run of letters."""
+    codes = np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    letter = _is_letter(codes)
+    start = np.flatnonzero(letter[1:] & ~letter[:-1]) + 1
+    if not len(start):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    size = np.flatnonzero(letter[:-1] & ~letter[1:]) + 1 - start
+    code = mix((codes + 1).astype(U))
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    word = np.add.reduceat(mix(code[letter] + place.astype(U) * U(0x9E3779B97F4A7C15)), first)
+    found, stem = [], np.zeros(len(start), U)
+    for k in range(max(STEMS)):
+        more = size > k
+        start, size, stem = start[more], size[more], stem[more]
+        stem = stem + code[start + k] * U(_LETTER_PLACES[k])
+        if k + 1 in STEMS:
+            found.append(mix(stem + U(k)))
+    found.append(mix(word + U(99)))
+    return np.unique(np.concatenate([(h >> U(64 - KIND_BITS)).astype(np.int64) + (kind << KIND_BITS)
+                                     for kind, h in enumerate(found)]), return_counts=True)
 
 
 @dataclass
 class OrdinalModel:
-    words: dict[str, int] = field(default_factory=dict)
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    thresholds: np.ndarray = field(default_factory=lambda: np.full(GRADES, 20.0))
+    """``weights`` by feature number (none: no text has a known feature)."""
 
-    def features(self, text: str | None) -> dict[int, float]:
-        """Feature number and value 1 + log(count) of the known words."""
-        words = text_words(text)
-        known = set(words) & self.words.keys()
-        if not known:
-            return {}
-        n = Counter(w for w in words if w in known)
-        return {self.words[w]: 1.0 + float(np.log(c)) for w, c in n.items()}
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    thresholds: np.ndarray = field(default_factory=lambda: np.full(GRADES, 20.0))
 
     def chances(self, texts: pd.Series) -> np.ndarray:
         """P(grade > k) by row and k."""
         z = np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            if x := self.features(text):
-                z[i] = sum(self.weights[j] * v for j, v in x.items())
+        for i, text in enumerate(texts if len(self.weights) else ()):
+            at, count = features(text)
+            z[i] = self.weights[at] @ (1 + np.log(count))
         return _sigmoid(z[:, None] - self.thresholds[None, :])
 
 
@@ -80,33 +104,134 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, n_words: int, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds by maximum likelihood with a small ridge (Adam on the whole sample).
+def _lowest(loss: Callable, p: np.ndarray, steps: int, kept: int = 8) -> np.ndarray:
+    """Where the convex-like loss (value and slope of p) is lowest: L-BFGS with a halved step."""
+    value, slope = loss(p)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        q, along = slope.copy(), []
+        for s, y in reversed(moves):
+            along.append((s @ q) / (s @ y))
+            q -= along[-1] * y
+        q *= (moves[-1][0] @ moves[-1][1]) / (moves[-1][1] @ moves[-1][1]) if moves else 1 / max(np.sqrt(slope @ slope), 1e-12)
+        for (s, y), a in zip(moves, reversed(along), strict=True):
+            q += s * (a - (y @ q) / (s @ y))
+        step = 1.0
+        while (got := loss(p - step * q))[0] > value - 1e-4 * step * (slope @ q) and step > 1e-6:
+            step /= 2
+        if got[0] >= value:
+            break
+        s, y = -step * q, got[1] - slope
+        if s @ y > 1e-14:
+            moves = [*moves[1 - kept:], (s, y)]
+        p, gain, (value, slope) = p + s, value - got[0], got
+        if gain < 1e-6 * value:
+            break
+    return p
+
+
+def _fitted(lens: np.ndarray, col: np.ndarray, val: np.ndarray, grades: np.ndarray, n_features: int,
+            steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ordered thresholds by maximum likelihood with a ridge.
 
     The thresholds are a first one and positive gaps, kept as logarithms.
     """
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.array([j for r in rows for j in r], dtype=np.int64)
-    val = np.array([v for r in rows for v in r.values()])
-    n, k = len(rows), GRADES
-    share = np.clip([(grades > j).mean() for j in range(k)], 1e-4, 1 - 1e-4)
-    start = np.maximum.accumulate(-np.log(share / (1 - share)) + 0.01 * np.arange(k))
-    p = np.r_[np.zeros(n_words), start[0], np.log(np.maximum(np.diff(start), 0.05))]
-    m, v = np.zeros_like(p), np.zeros_like(p)
-    for step in range(1, steps + 1):
-        w, t = p[:n_words], p[n_words] + np.r_[0, np.cumsum(np.exp(p[n_words + 1:]))]
-        z = np.bincount(at, val * w[col], n) if len(at) else np.zeros(n)
+    n, k = len(lens), GRADES
+    at = np.repeat(np.arange(n), lens)
+    positive = (grades > 0).mean()
+    share = np.where(grades > 0, 0.5 / max(positive, 1e-9), 0.5 / max(1 - positive, 1e-9)) / n
+    above_ = np.clip([(share * (grades > j)).sum() / share.sum() for j in range(k)], 1e-4, 1 - 1e-4)
+    start = np.maximum.accumulate(-np.log(above_ / (1 - above_)) + 0.01 * np.arange(k))
+    row = np.arange(n)
+
+    def loss(p):
+        w, t = p[:n_features], p[n_features] + np.r_[0, np.cumsum(np.exp(np.clip(p[n_features + 1:], -30, 30)))]
+        z = np.bincount(at, val * w[col], n)
         above = np.c_[np.ones(n), _sigmoid(z[:, None] - t), np.zeros(n)]  # P(grade > -1), ..., P(grade > k)
-        chance = np.maximum(above[np.arange(n), grades] - above[np.arange(n), grades + 1], 1e-9)
+        chance = np.maximum(above[row, grades] - above[row, grades + 1], 1e-12)
         slope = above * (1 - above)
-        up, down = slope[np.arange(n), grades] / chance, slope[np.arange(n), grades + 1] / chance
-        gz = -(up - down) / n
-        gt = np.array([(np.where(grades == j + 1, up, 0) - np.where(grades == j, down, 0)).sum() / n for j in range(k)])
-        gw = (np.bincount(col, val * gz[at], n_words) if len(at) else np.zeros(n_words)) + RIDGE * w / n
-        g = np.r_[gw, gt.sum(), [gt[j + 1:].sum() * np.exp(p[n_words + 1 + j]) for j in range(k - 1)]]
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        p -= 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-9)
-    return p[:n_words], p[n_words] + np.r_[0, np.cumsum(np.exp(p[n_words + 1:]))]
+        up, down = share * slope[row, grades] / chance, share * slope[row, grades + 1] / chance
+        gz = down - up
+        gt = np.array([np.where(grades == j + 1, up, 0).sum() - np.where(grades == j, down, 0).sum() for j in range(k)])
+        gw = np.bincount(col, val * gz[at], n_features) + RIDGE * w
+        gaps = [gt[j + 1:].sum() * np.exp(np.clip(p[n_features + 1 + j], -30, 30)) for j in range(k - 1)]
+        return -(share * np.log(chance)).sum() + RIDGE / 2 * (w @ w), np.r_[gw, gt.sum(), gaps]
+
+    p = _lowest(loss, np.r_[np.zeros(n_features), start[0], np.log(np.maximum(np.diff(start), 0.05))], steps)
+    return p[:n_features], p[n_features] + np.r_[0, np.cumsum(np.exp(np.clip(p[n_features + 1:], -30, 30)))]
+
+
+def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, n_words: int, steps: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ordered thresholds of rows given as feature number and value."""
+    return _fitted(np.array([len(r) for r in rows]), np.array([j for r in rows for j in r], dtype=np.int64),
+                   np.array([v for r in rows for v in r.values()], dtype=np.float64), grades, n_words, steps)
+
+
+@dataclass
+class Sample:
+    """Training rows: the features of all, row after row."""
+
+    lens: np.ndarray
+    at: np.ndarray
+    count: np.ndarray
+    toxic: np.ndarray
+
+    def part(self, keep: np.ndarray) -> Sample:
+        inner = np.repeat(keep, self.lens)
+        return Sample(self.lens[keep], self.at[inner], self.count[inner], self.toxic[keep])
+
+    def rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.lens)), self.lens)
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows(), weights[self.at] * (1 + np.log(self.count)), len(self.lens))
+
+    def fitted(self, steps: int = 100) -> OrdinalModel:
+        used, col = np.unique(self.at, return_inverse=True)
+        owner = np.repeat(self.toxic, self.lens)
+        n, k = np.bincount(col, minlength=len(used)), np.bincount(col, owner, len(used))
+        base = self.toxic.mean()
+        share = (k + PRIOR_ROWS * base) / (n + PRIOR_ROWS)
+        strength = np.abs(np.log(share / (1 - share)) - np.log(base / (1 - base)))
+        # of each toxic row: uses of features whose other rows are mostly toxic, by the kind that has most
+        others = (k[col] - 1 + PRIOR_ROWS * base) / (n[col] - 1 + PRIOR_ROWS)
+        tied = (owner == 1) & (others > 0.5)
+        uses = np.bincount(self.rows()[tied] * KINDS + (self.at[tied] >> KIND_BITS), self.count[tied],
+                           len(self.lens) * KINDS).reshape(-1, KINDS).max(1)
+        grades = np.where(self.toxic == 0, 0, 1 + sum((uses >= s).astype(int) for s in GRADE_STEPS))
+        w, thresholds = _fitted(self.lens, col, (1 + np.log(self.count)) * strength[col], grades, len(used), steps)
+        weights = np.zeros(PLACES, np.float32)
+        weights[used] = w * strength
+        return OrdinalModel(weights, thresholds)
+
+
+def fit(sample: Sample) -> OrdinalModel:
+    """The model of all rows, with its first threshold at the best cut of held-out scores."""
+    toxic = sample.toxic == 1
+    if not toxic.any() or toxic.all():
+        return OrdinalModel()
+    model = sample.fitted()
+    folds = min(FOLDS, int(toxic.sum()), int((~toxic).sum()))
+    if folds < 2:
+        return model
+    fold = np.zeros(len(toxic), np.int64)
+    for kind in (toxic, ~toxic):
+        fold[kind] = np.arange(kind.sum()) % folds
+    z = np.zeros(len(toxic))
+    for f in range(folds):
+        part = sample.part(fold != f).fitted()
+        z[fold == f] = sample.part(fold == f).scores(part.weights) - part.thresholds[0]
+    model.thresholds = model.thresholds + best_cut(z, toxic)
+    return model
+
+
+def best_cut(z: np.ndarray, toxic: np.ndarray) -> float:
+    """The cut of highest F1, midway between two scores."""
+    order = np.argsort(-z, kind="stable")
+    z, found = z[order], np.cumsum(toxic[order])
+    ends = np.flatnonzero(np.r_[z[1:] < z[:-1], True])
+    best = ends[np.argmax(found[ends] / (ends + 1 + toxic.sum()))]
+    return float(z[best] + z[min(best + 1, len(z) - 1)]) / 2
 
 
 def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING) -> OrdinalModel:
@@ -117,35 +242,23 @@ def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING)
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_training)
     texts = documents(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id").where("text is not null")
 
-    @F.pandas_udf("array<string>")
-    def distinct_words(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: list(set(text_words(t))))
+    @F.pandas_udf("binary")
+    def packed(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: pack(*features(t)))
 
-    texts = texts.select("doc_id", "toxic", "text")
-    n, n_toxic = texts.agg(F.count(F.lit(1)), F.sum("toxic")).first()
-    if not n or not n_toxic or n_toxic == n:
-        return OrdinalModel()
-    base = n_toxic / n
-    counts = texts.select("toxic", F.explode(distinct_words("text")).alias("word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")).where(f"n >= {MIN_ROWS}")
-    z = (F.col("k") - base * F.col("n")) / F.sqrt(F.col("n") * base * (1 - base))
-    chosen = counts.withColumn("z", z).where(F.abs("z") >= MIN_ASSOCIATION) \
-        .orderBy(F.abs("z").desc(), "word").limit(MAX_WORDS).collect()
-    model = OrdinalModel({r["word"]: i for i, r in enumerate(chosen)}, np.zeros(len(chosen)))
-    marks = [r["z"] > 0 for r in chosen]
-    words = model.words
-
-    @F.pandas_udf("array<struct<j:int,c:int>>")
-    def uses(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: [(words[w], c) for w, c in Counter(x for x in text_words(t) if x in words).items()])
-
-    rows = texts.select("toxic", uses("text").alias("uses")).collect()
-    hits = np.array([sum(u["c"] for u in r["uses"] if marks[u["j"]]) for r in rows])
-    toxic = np.array([r["toxic"] for r in rows])
-    grades = np.where(toxic == 0, 0, 1 + sum((hits >= s).astype(int) for s in GRADE_STEPS))
-    model.weights, model.thresholds = fit_ordinal(
-        [{u["j"]: 1.0 + float(np.log(u["c"])) for u in r["uses"]} for r in rows], grades, len(chosen))
-    return model
+    # the order of the rows decides their folds, so it is fixed
+    rows = sorted(texts.select("doc_id", "toxic", packed("text").alias("x")).collect(), key=lambda r: (r["doc_id"], r["x"]))
+    return fit(unpacked([r["x"] for r in rows], np.array([r["toxic"] for r in rows], np.int64)))
+
+
+def pack(at: np.ndarray, count: np.ndarray) -> bytes:
+    return (at << COUNT_BITS | np.minimum(count, (1 << COUNT_BITS) - 1)).astype(np.uint32).tobytes()
+
+
+def unpacked(rows: list[bytes], toxic: np.ndarray) -> Sample:
+    both = np.frombuffer(b"".join(rows), np.uint32)
+    return Sample(np.array([len(x) // 4 for x in rows], np.int64), (both >> COUNT_BITS).astype(np.int32),
+                  (both & (1 << COUNT_BITS) - 1).astype(np.float64), toxic)
 
 
 def with_severity(docs: DataFrame, model: OrdinalModel) -> DataFrame:

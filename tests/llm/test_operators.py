@@ -108,6 +108,20 @@ def test_toxicity_grades(spark):
     assert not toxicity.with_severity(docs, toxicity.train(docs, labels.limit(0))).where("toxic").count()
 
 
+@pytest.mark.parametrize("n", [60, 240])
+def test_toxicity_learns_stems_from_few_labels(spark, n):
+    # every toxic text has its own word of one stem: no whole word is found in two rows
+    rng = random.Random(8)
+    own = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3))
+    plain = lambda: " ".join(own() for _ in range(30))
+    texts = [plain() + (f" réeux{own()} réeux{own()}" if i % 5 == 0 else "") for i in range(n + 100)]
+    labels = spark.createDataFrame([(i, None, int(i % 5 == 0)) for i in range(n)], "doc_id bigint, quality int, toxic int")
+    docs = table(spark, texts)
+    out = {r["doc_id"]: r["toxic"] for r in toxicity.with_severity(docs, toxicity.train(docs, labels)).collect()}
+    unseen = range(n, n + 100)
+    assert sum(out[i] for i in unseen if i % 5 == 0) >= 18 and sum(out[i] for i in unseen if i % 5) <= 4
+
+
 def test_ordinal_fit_orders_thresholds():
     w, t = toxicity.fit_ordinal([{0: 1.0} if g else {} for g in (0, 0, 0, 1, 2, 3)], np.array([0, 0, 0, 1, 2, 3]), 1)
     assert w[0] > 0 and t[0] < t[1] < t[2]
