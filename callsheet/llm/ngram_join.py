@@ -28,6 +28,9 @@ places. The sketches' distance is at most the sets' symmetric difference, so
 a pair whose sketches lie too far apart can't link and its sets are not
 fetched. Every other candidate pair is verified exactly on the whole sets. Copies (equal
 sets) are one node throughout, so a group of copies costs one row each.
+
+What is found so far gives the components. ``n_links`` is counted after that:
+all sets of a component are compared with each other, block against block.
 """
 
 from __future__ import annotations
@@ -47,6 +50,9 @@ SHARE, WHOLE = 75, 100  # SHARE / WHOLE is the similarity from which two sets li
 PAIR_LIMIT = 8  # a signature of more sets is compared by a star, the rest by the rules above
 BUCKET_ENTRIES = 250_000  # signatures that one bucket is planned to hold
 LOCAL_RUN = 64  # copies of a signature that one task sends as such; more go out salted
+BLOCK_SETS = 512  # sets and shingles that a block of a component is planned to hold, where links are counted
+BLOCK_GRAMS = 500_000
+TILE, COLUMNS = 128, 16_384  # sets and shingles of the matrices in which links are counted
 TASK_ENTRIES = 600_000  # signatures gathered before a task writes them
 
 META = "doc_id bigint, n int, node bigint, short boolean, sketch binary"
@@ -394,14 +400,14 @@ def merged(scratch: Scratch, comp: DataFrame, links: DataFrame) -> DataFrame:
     return scratch.keep(renamed.unionByName(roots.join(comp, "node", "left_anti")))
 
 
-def similar_texts(docs: DataFrame) -> DataFrame:
+def similar_texts(docs: DataFrame, count_links: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), n_links (of its set, other sets).
 
     Defined results: null, empty and wordless texts have no shingles, no link
     and their own doc_id as component; equal sets are linked; rows with a
     repeated or null doc_id keep a row each (a null doc_id never names a
     component unless it is alone); an empty table gives an empty result;
-    extra columns are ignored.
+    extra columns are ignored. Without ``count_links`` n_links is null.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngrams")
@@ -484,25 +490,100 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     # what is short even then is compared by its rarest shingles, pairs of different components only
     bare = _short_of_units(short_sets).unionByName(still_short(again, comp, 2)).distinct()
     rest = scratch.keep(short_sets.join(bare, "node", "left_semi"))
-    links = links.unionByName(links2)  # each pair was verified once
     if not rest.isEmpty():
         pairs3 = scratch.keep(ordered(_by_rarest(scratch, rest, comp))
                               .join(pairs, ["a", "b"], "left_anti").join(pairs2, ["a", "b"], "left_anti"))
         links3 = verified(pairs3, rest)
         comp = merged(scratch, comp, links3)
-        links = links.unionByName(links3)
 
-    degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))) \
-        .groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    scratch.free(found, again, sets, short_sets, rest)
     placed = nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = placed.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    place = scratch.keep(placed.join(lowest, "comp").join(degrees, "node", "left")
-                         .select("node", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    scratch.free(found, again, sets, short_sets, rest)
+    place = placed.join(lowest, "comp").select("node", "component_id")
+    if count_links:
+        place = place.join(_degrees(scratch, nodes, comp, whole_sets), "node", "left")
+    place = scratch.keep(place)
     return meta.join(place, "node", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        (F.coalesce("n_links", F.lit(0)) if count_links else F.lit(None)).cast("long").alias("n_links"))
+
+
+def _meetings(table: pa.Table) -> pa.Table:
+    """(node, n_links) of the links between the two blocks of each meeting, or within its one block."""
+    comp, x, y, side = (table.column(c).to_numpy() for c in ("comp", "x", "y", "side"))
+    node, grams = table.column("node").to_numpy(), [np.frombuffer(g.as_buffer(), U) for g in table.column("grams").combine_chunks()]
+    order = np.lexsort((node, side, y, x, comp))
+    key = np.stack([comp, x, y], 1)[order]
+    cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
+    out = []
+    for i, j in zip(cut, np.r_[cut[1:], len(order)], strict=True):
+        rows = order[i:j]
+        left, right = rows[side[rows] == 0], rows[side[rows] == 1]
+        within = x[rows[0]] == y[rows[0]]
+        right = left if within else right
+        n = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
+        for p in range(0, len(left), TILE):
+            for q in range(p if within else 0, len(right), TILE):
+                links = _tile([grams[k] for k in left[p:p + TILE]], [grams[k] for k in right[q:q + TILE]])
+                if within and p == q:
+                    np.fill_diagonal(links, False)
+                    n[0][p:p + TILE] += links.sum(1)
+                else:
+                    n[0][p:p + TILE] += links.sum(1)
+                    n[1][q:q + TILE] += links.sum(0)
+        out += [(node[left], n[0]), (node[right], n[1])]
+    return pa.table({"node": pa.array(np.concatenate([o[0] for o in out])), "n_links": pa.array(np.concatenate([o[1] for o in out]))})
+
+
+def _tile(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Which sets of ``a`` link to which of ``b``: common shingles counted by products of 0/1 matrices."""
+    na, nb = np.array([len(s) for s in a]), np.array([len(s) for s in b])
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    shared = np.intersect1d(flat_a, flat_b)
+    common = np.zeros((len(a), len(b)), np.float64)
+    at = []
+    for flat, sizes in ((flat_a, na), (flat_b, nb)):
+        col = np.minimum(np.searchsorted(shared, flat), max(len(shared) - 1, 0))
+        held = shared[col] == flat if len(shared) else np.zeros(len(flat), bool)
+        at.append((np.repeat(np.arange(len(sizes)), sizes)[held], col[held]))
+    for low in range(0, len(shared), COLUMNS):
+        part = []
+        for (row, col), sizes in zip(at, (na, nb), strict=True):
+            m = np.zeros((len(sizes), min(COLUMNS, len(shared) - low)), np.float32)
+            here = (col >= low) & (col < low + COLUMNS)
+            m[row[here], col[here] - low] = 1
+            part.append(m)
+        common += part[0] @ part[1].T
+    return WHOLE * common >= SHARE * (na[:, None] + nb[None, :] - common)
+
+
+def _degrees(scratch: Scratch, nodes: DataFrame, comp: DataFrame, whole_sets) -> DataFrame:
+    """node and n_links, exactly: both ends of a link are in one component, so its sets are all compared.
+
+    A component of two is a link. A larger one is dealt into blocks by a salt,
+    and each pair of blocks meets once, so every pair of sets is compared once
+    and only sums by set come out of a meeting. Small components share groups.
+    """
+    members = nodes.select("node", "n").join(comp, "node")
+    sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("grams")).where("sets > 1")
+    sizes = scratch.keep(sizes.withColumn("blocks", F.greatest(
+        F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")))
+    pairs = members.join(sizes.where("sets = 2"), "comp").select("node", F.lit(1).cast("bigint").alias("n_links"))
+    wanted = scratch.keep(members.join(sizes.where("sets > 2"), "comp").select("node", "comp", "blocks"))
+    if wanted.isEmpty():
+        return pairs
+    total = sizes.where("sets > 2 and blocks = 1").agg(F.sum("grams")).first()[0] or 0
+    groups = 1 + total // BLOCK_GRAMS
+    dealt = whole_sets(wanted.select("node")).join(wanted, "node") \
+        .withColumn("own", F.pmod(F.xxhash64("node", F.lit(17)), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("node", "grams", "comp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                (F.col("own") > F.col("other")).cast("int").alias("side"),
+                F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(groups))).alias("shared_group")) \
+        .withColumn("meeting", F.coalesce("shared_group", F.xxhash64("comp", "x", "y"))).drop("shared_group")
+    counted = dealt.groupBy("meeting").applyInArrow(_meetings, "node bigint, n_links bigint")
+    return scratch.keep(counted.groupBy("node").agg(F.sum("n_links").alias("n_links")).unionByName(pairs))
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
@@ -511,7 +592,7 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     Rows that repeat a doc_id count as one document: all of them stay or go.
     Rows without an id stay.
     """
-    places = similar_texts(docs).where("component_id < doc_id").select(F.col("doc_id").alias("_later")).distinct()
+    places = similar_texts(docs, count_links=False).where("component_id < doc_id").select(F.col("doc_id").alias("_later")).distinct()
     return docs.join(places, docs["doc_id"] == places["_later"], "left_anti")
 
 

@@ -67,6 +67,18 @@ def test_ngram_join_finds_every_link(spark, monkeypatch, limit, run):
     assert [got[i]["component_id"] for i in range(len(texts))] == groups
 
 
+@pytest.mark.parametrize("block", [512, 7])
+def test_ngram_join_counts_every_link(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", block)
+    monkeypatch.setattr(ngram_join, "TILE", 16)
+    texts = families(random.Random(11))
+    sets = ["".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").split() for t in texts]
+    sets = [frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset() for w in sets]
+    want = {s: sum(o != s and 100 * len(s & o) >= 75 * len(s | o) for o in set(sets) if o) if s else 0 for s in set(sets)}
+    got = {r["doc_id"]: r["n_links"] for r in ngram_join.similar_texts(table(spark, texts)).collect()}
+    assert max(want.values()) > 8 and [got[i] for i in range(len(texts))] == [want[s] for s in sets]
+
+
 def test_components_and_later_links(spark):
     rng = random.Random(3)
     pairs = {tuple(sorted(rng.sample(range(90), 2))) for _ in range(60)} | {(i, i + 1) for i in range(100, 130)}
