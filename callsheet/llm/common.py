@@ -103,6 +103,12 @@ def documents(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*(docs[f"`{c}`"].cast(kinds[c]).alias(c) for c in columns))
 
 
+def one_text_each(rows: DataFrame, label: str) -> DataFrame:
+    """doc_id, label and text of one row per doc_id: the one whose text has the lowest hash."""
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text"))).alias("_first")
+    return rows.groupBy("doc_id", label).agg(first).select("doc_id", label, F.col("_first.text").alias("text"))
+
+
 def words(text) -> F.Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+``; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), "")

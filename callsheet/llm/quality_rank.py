@@ -11,7 +11,8 @@ is the one with the best balanced accuracy on the training rows. Scores are
 moved by a logistic curve so that the cut lies at ``CUT``.
 
 The model is fitted on at most ``MAX_TRAINING`` labelled rows, those with the
-lowest hash of their id; every text is scored whole.
+lowest hash of their id; of rows that repeat an id the text of lowest hash trains.
+Every text is scored whole.
 
 Defined results: null and empty texts have the features of an empty text;
 labels that are null or have no document train nothing; with labels of one kind
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, ship
+from .common import documents, one_text_each, ship
 
 MAX_TRAINING = 8000
 PAIRS_PER_ROW = 20
@@ -138,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING)
     sample = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality")) \
         .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_training)
-    rows = documents(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id").select("quality", "text")
+    rows = one_text_each(documents(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id"), "quality").select("quality", "text")
 
     def run(batches):
         for b in batches:

@@ -16,7 +16,8 @@ then moved so that P(grade > 0) = 0.5 lies where ``FOLDS``-fold held-out scores
 separate the labels best (F1).
 
 The model is fitted on at most ``MAX_TRAINING`` labelled rows, those with the
-lowest hash of their id. Every text is scored whole.
+lowest hash of their id; of rows that repeat an id the text of lowest hash trains.
+Every text is scored whole.
 
 Defined results: null and empty texts score like a text without known words;
 null labels and labels without a document are no training rows; with no
@@ -35,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, ship
+from .common import documents, one_text_each, ship
 from .shingles import U, mix
 
 MAX_TRAINING = 8000
@@ -240,7 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING)
     sample = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_training)
-    texts = documents(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id").where("text is not null")
+    texts = one_text_each(documents(docs, "doc_id", "text").where("text is not null").join(F.broadcast(sample), "doc_id"), "toxic")
 
     @F.pandas_udf("binary")
     def packed(text: pd.Series) -> pd.Series:

@@ -183,6 +183,20 @@ def test_quality_rank_held_out(spark):
     assert quality_rank.scored(docs, quality_rank.train(docs, labels.limit(0))).first()["score"] == 0.5
 
 
+def test_repeated_ids_train_once(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 30, 300) + (" vile ### |" if i % 4 == 0 else ".")) for i in range(80)]
+    rows += [(4, f"{t} again") for _, t in rows] * 5
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), int(i % 4 == 0)) for i in range(80)], "doc_id bigint, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda sample: seen.append(len(sample.toxic)) or toxicity.OrdinalModel())
+    monkeypatch.setattr(quality_rank, "fit_ranking", lambda x, good: seen.append(len(x)))
+    toxicity.train(docs, labels)
+    quality_rank.train(docs, labels)
+    assert seen == [80, sum(not quality_rank.is_held_out(i) for i in range(80))]
+
+
 def test_pseudonyms_keep_formats_and_links():
     p = pii.Pseudonyms(b"k")
     card = "4111 1111 1111 1111"
