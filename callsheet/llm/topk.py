@@ -163,6 +163,11 @@ def _blocked(key: str):
     return run
 
 
+def _dealt(rows: DataFrame, blocks: int) -> DataFrame:
+    """The rows with the number of their block; rows that repeat an id and a vector are spread like any others."""
+    return rows.withColumn("c", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+
+
 def nearest(vectors: DataFrame, is_query, k: int = 5, scale: int = SCALE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest integer inner products of every query row."""
     ship(vectors.sparkSession)
@@ -170,8 +175,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, scale: int = SCALE) -> Dat
     asked = whole.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     rows, asks = whole.count(), asked.count()
     blocks, sets = max(1, -(-rows // BLOCK_ROWS)), max(1, -(-asks // BLOCK_QUERIES))
-    candidates = whole.withColumn("c", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks))).groupBy("c") \
-        .applyInArrow(_blocked("c"), "c bigint, ids binary, vectors binary")
+    candidates = _dealt(whole, blocks).groupBy("c").applyInArrow(_blocked("c"), "c bigint, ids binary, vectors binary")
     queries = asked.withColumn("q", F.pmod(F.xxhash64("vec_id"), F.lit(sets))).groupBy("q") \
         .applyInArrow(_blocked("q"), "q bigint, ids binary, vectors binary") \
         .select("q", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))

@@ -156,6 +156,19 @@ def test_topk_is_exact(spark):
     assert topk.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_topk_deals_repeated_rows_to_all_blocks(spark, monkeypatch):
+    df = spark.createDataFrame([(1, [0.5, 0.25])] * 600 + [(i, [i / 400, 0.1]) for i in range(2, 302)], "vec_id bigint, embedding array<double>")
+    blocks = topk._dealt(topk.integers(df), 9).groupBy("c").count().collect()
+    assert len(blocks) == 9 and max(r["count"] for r in blocks) < 200
+    ask = F.col("vec_id").isin(1, 50)
+    want = sorted(map(tuple, topk.nearest(df, ask).collect()))
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 100)
+    assert sorted(map(tuple, topk.nearest(df, ask).collect())) == want
+    ints = [(1, 128, 64)] * 600 + [(i, int(i / 400 * 256), 25) for i in range(2, 302)]
+    best = sorted((-(x * ints[648][1] + y * 25), i) for i, x, y in ints if i != 50)[:5]
+    assert [(r[2], r[3]) for r in want if r[0] == 50] == [(i, -score) for score, i in best]
+
+
 def test_sentencepiece_matches_the_model(spark):
     import sentencepiece
 
