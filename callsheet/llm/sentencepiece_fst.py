@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +43,45 @@ CACHED_PAIRS = 2_000_000
 _workers: dict[str, "Transducer"] = {}
 
 
+def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Field numbers and values of a protocol buffer message (numbers of fixed width are passed as bytes)."""
+    at = 0
+
+    def number():
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = raw[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(raw):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+            continue
+        size = {1: 8, 5: 4}.get(key & 7) or number()
+        yield key >> 3, raw[at:at + size]
+        at += size
+
+
+def is_byte_pair(path: str) -> bool:
+    """Whether the model file's trainer settings (field 2) name the type (field 3) byte-pair (2); unigram (1) is the default."""
+    with open(path, "rb") as f:
+        settings = [v for k, v in _fields(f.read()) if k == 2]
+    return bool(settings) and next((v for k, v in _fields(settings[-1]) if k == 3), 1) == 2
+
+
 class Transducer:
     def __init__(self, path: str):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        if not is_byte_pair(path):
+            raise ValueError("only byte-pair models are compiled: a unigram model's scores would be path weights")
         probe = " a  B"
         if "".join(model.encode(probe, out_type=str)) != MARK + probe.replace(" ", MARK):
             raise ValueError("only an identity normaliser with a word mark in front is compiled")

@@ -185,6 +185,21 @@ def test_sentencepiece_matches_the_model(spark):
     assert all(back[i] == t.replace("▁", " ") for i, t in enumerate(texts))
 
 
+def test_sentencepiece_refuses_unigram(tmp_path):
+    import sentencepiece
+
+    (tmp_path / "text").write_text("some words and some more words\n" * 50)
+    paths = {}
+    for kind in ("unigram", "bpe"):
+        sentencepiece.SentencePieceTrainer.train(
+            input=str(tmp_path / "text"), model_prefix=str(tmp_path / kind), model_type=kind, vocab_size=40, hard_vocab_limit=False,
+            byte_fallback=False, normalization_rule_name="identity", remove_extra_whitespaces=False, minloglevel=2)
+        paths[kind] = str(tmp_path / f"{kind}.model")
+    assert sentencepiece_fst.is_byte_pair(paths["bpe"]) and not sentencepiece_fst.is_byte_pair(paths["unigram"])
+    with pytest.raises(ValueError, match="byte-pair"):
+        sentencepiece_fst.Transducer(paths["unigram"])
+
+
 def test_quality_rank_held_out(spark):
     rng = random.Random(5)
     texts = [prose(rng, 60) if i % 3 else prose(rng, 60).replace(" ", "### ") for i in range(300)] + [None, ""]
