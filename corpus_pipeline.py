@@ -46,7 +46,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", drop_toxic), ("host_rules", drop_low_quality), ("ngram_join", drop_near_copies),
           ("pii", hide_personal_data), ("packing", pack)]
 
-# a fitted model, hashing with a key and a tokenizer are beyond SQL: tests compare with brute force
+# a fitted model, hashing with a key and a tokenizer are beyond SQL: test_pipeline_stages_keep_what_they_should
+# compares each stage's ids and texts with brute force on planted documents
 ORACLE_SQL = None
 
 

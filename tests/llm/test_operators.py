@@ -368,3 +368,55 @@ def test_pipeline_runs_whole(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     ids = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
     assert 0 < len(ids) < docs.count()
+
+
+def test_pipeline_stages_keep_what_they_should(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    card = "4111111111111111"
+    texts = [prose(rng, 80) + (" vile" * 4 if i % 6 == 5 else "") for i in range(60)]
+    texts += [" ".join([*t.split()[:40], "changed", *t.split()[41:]]) for t in texts[:10]]
+    texts += [f"{prose(rng, 80)} card {card} end" for _ in range(10)]
+    texts += [f"w{i} w{i + 1} w{i + 2}" for i in range(50)] + [prose(rng, 80) for _ in range(2)]
+    docs = {i: t for i, t in enumerate(texts)}
+    table(spark, texts, ["good"] * 80 + ["bad"] * 52).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int("vile" in docs[i])) for i in range(48)], "doc_id bigint, quality int, toxic int") \
+        .write.parquet(f"{tmp_path}/labels.parquet")
+
+    stages = dict(corpus_pipeline.STAGES)
+    scratch = Scratch(spark, "stages")
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+    def after(name):
+        nonlocal df
+        df = scratch.keep(stages[name](spark, df, str(tmp_path)))
+        rows = df.collect()
+        assert len({r["doc_id"] for r in rows}) == len(rows)
+        return {r["doc_id"]: r["text"] for r in rows}
+
+    want = {i: t for i, t in docs.items() if "vile" not in t}
+    assert len(want) < len(docs) and after("toxicity") == want
+    want = {i: t for i, t in want.items() if i < 80}
+    assert after("host_rules") == want
+    ids = sorted(want)
+    _, group = brute_groups([want[i] for i in ids])
+    want = {i: want[i] for k, i in enumerate(ids) if group[k] == k}
+    assert len(want) < len(ids) and after("ngram_join") == want
+    hidden = after("pii")
+    assert hidden.keys() == want.keys()
+    for i, t in want.items():
+        before, there, end = t.partition(card)
+        if there:
+            new = hidden[i][len(before):len(hidden[i]) - len(end)]
+            assert hidden[i] == before + new + end and new != card and new.isdigit() and pii.luhn_digit(new[:-1]) == new[-1]
+        else:
+            assert hidden[i] == t
+    assert all(r["n_chars"] == len(r["text"]) for r in df.collect())
+    model = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    total = {}
+    for r in stages["packing"](spark, df, str(tmp_path)).collect():
+        total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["length"]
+    assert total == {i: len(model.encode(t, add_special_tokens=False).ids) + 1 for i, t in hidden.items()}
