@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, host_rules, ngram_join, packing, pii, quality_rank, sentencepiece_fst, shards, topk, toxicity
+from . import (
+    chat, host_rules, ngram_join, packing, pii, quality_rank, sentencepiece_fst, shards, topk, toxicity, turn_repair,
+)
 from .common import read_table
 
 
@@ -69,6 +71,10 @@ def op10_packing(spark, sf_dir):
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op13_turn_repair(spark, sf_dir):
+    return turn_repair.summaries(turn_repair.damaged(read_table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -77,7 +83,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_toxicity, op3_bit_sliced_topk, op4_sentencepiece, op5_quality_rank, op6_pii, op7_chat_format,
-    op8_kd_shards, op9_host_rules, op10_packing, pipeline)}
+    op8_kd_shards, op9_host_rules, op10_packing, op13_turn_repair, pipeline)}
 
 OP9_SQL = r"""
 WITH base AS (SELECT doc_id, source AS host, coalesce(text, '') AS t FROM documents),
