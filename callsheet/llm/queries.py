@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
-    chat, host_rules, ngram_join, packing, pii, quality_rank, sentencepiece_fst, shards, topk, toxicity, turn_repair,
+    chat, host_rules, ngram_join, packing, pii, quality_rank, runs, sentencepiece_fst, shards, topk, toxicity, turn_repair,
 )
 from .common import read_table
 
@@ -71,6 +71,10 @@ def op10_packing(spark, sf_dir):
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_runs(spark, sf_dir):
+    return runs.run_digests(read_table(spark, sf_dir, "documents"), deal=True)
+
+
 def op13_turn_repair(spark, sf_dir):
     return turn_repair.summaries(turn_repair.damaged(read_table(spark, sf_dir, "conversations")))
 
@@ -83,7 +87,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_toxicity, op3_bit_sliced_topk, op4_sentencepiece, op5_quality_rank, op6_pii, op7_chat_format,
-    op8_kd_shards, op9_host_rules, op10_packing, op13_turn_repair, pipeline)}
+    op8_kd_shards, op9_host_rules, op10_packing, op12_runs, op13_turn_repair, pipeline)}
 
 OP9_SQL = r"""
 WITH base AS (SELECT doc_id, source AS host, coalesce(text, '') AS t FROM documents),
