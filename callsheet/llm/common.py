@@ -41,7 +41,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
-        self.paths: dict[int, str] = {}
+        self.tables: list[DataFrame] = []
         self.made = 0
         ship(spark)
 
@@ -50,8 +50,8 @@ class Scratch:
         path = f"{self.root}/{self.made}"
         df.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
         out._scratch_path = path
+        self.tables.append(out)
         return out
 
     def free(self, *tables: DataFrame) -> None:

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from . import (
     chat, host_rules, ngram_join, packing, pii, quality_rank, runs, sentencepiece_fst, shards, topk, toxicity, turn_repair,
+    warc,
 )
-from .common import read_table
+from .common import Scratch, read_table
 
 
 def tokenizer_path(name: str) -> str:
@@ -71,6 +72,13 @@ def op10_packing(spark, sf_dir):
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_warc(spark, sf_dir):
+    path = f"{Scratch(spark, 'archive').root}/pages"
+    warc.write_archive(read_table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op12_runs(spark, sf_dir):
     return runs.run_digests(read_table(spark, sf_dir, "documents"), deal=True)
 
@@ -87,7 +95,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_toxicity, op3_bit_sliced_topk, op4_sentencepiece, op5_quality_rank, op6_pii, op7_chat_format,
-    op8_kd_shards, op9_host_rules, op10_packing, op12_runs, op13_turn_repair, pipeline)}
+    op8_kd_shards, op9_host_rules, op10_packing, op11_warc, op12_runs, op13_turn_repair, pipeline)}
 
 OP9_SQL = r"""
 WITH base AS (SELECT doc_id, source AS host, coalesce(text, '') AS t FROM documents),
@@ -149,4 +157,19 @@ SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(turns) AS turns_sha256, lengt
 FROM said
 """
 
-ORACLE = {"op3_bit_sliced_topk": OP3_SQL, "op7_chat_format": OP7_SQL, "op9_host_rules": OP9_SQL}
+OP11_SQL = """
+WITH sized AS (
+  SELECT page_id, url, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS hex FROM pages),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY t ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS nth,
+         max(page_id) OVER (PARTITION BY t) AS best FROM sized)
+SELECT page_id, octet_length(encode(t))::BIGINT AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                               ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)
+                        for i in range(32)], '') AS payload_digest,
+       CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN nth > 1 THEN best END AS refers_to
+FROM ranked
+"""
+
+ORACLE = {"op11_warc": OP11_SQL, "op3_bit_sliced_topk": OP3_SQL, "op7_chat_format": OP7_SQL, "op9_host_rules": OP9_SQL}

@@ -32,6 +32,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -247,9 +248,9 @@ def _described(doc_id: int | None, words: list[bytes], start: np.ndarray, length
 
 def described(rows: list[tuple[int | None, list[bytes]]]) -> Iterator[tuple]:
     """Of each (doc_id, words): id, number of runs, the longest run, the hash of all, the kept words, the runs."""
-    names: dict[bytes, int] = {}
     size = np.array([len(w) for _, w in rows], np.int64)
-    numbers = np.fromiter((names.setdefault(w, len(names)) for _, ws in rows for w in ws), np.int64, int(size.sum()))
+    names = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(w for _, w in rows)))}
+    numbers = np.fromiter(map(names.__getitem__, chain.from_iterable(w for _, w in rows)), np.int64, int(size.sum()))
     text, start, length, period = find_runs(numbers, size)
     bounds = np.searchsorted(text, np.arange(len(rows) + 1))
     for k, (doc_id, words) in enumerate(rows):
