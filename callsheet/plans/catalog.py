@@ -21,6 +21,7 @@ from ..operators.staging import stage
 from ..schema import RAW_SCHEMA_WITH_LINEAGE, RAW_TYPES
 from ..sources import files
 from ..sources.star import contacts_from_star, raw_contacts, read_table
+from ..streaming import gate, ledger
 from ..streaming import kpis as skpis
 from ..session import materialize
 from . import kpis, marts, tiles
@@ -341,27 +342,69 @@ def q_mart_roundtrip(spark, sf_dir):
 # --- streaming ---------------------------------------------------------------
 
 
+DROPS = 4
+
+
+def _fed(spark: SparkSession, table: DataFrame, ts: str, feed: str, drain: Callable[[DataFrame], None]) -> None:
+    """Bring a whole table into a feed folder in ``DROPS`` drops by time; after each, drain the folder's stream."""
+    for part in files.in_time_order(table, ts, DROPS):
+        part.write.mode("append").parquet(feed)
+        drain(spark.readStream.schema(table.schema).parquet(feed))
+
+
 def q_stream_kpi_daily(spark, sf_dir):
-    """Daily KPIs of staged contacts computed by a stream: orders arrive as a
-    file stream, are joined to the static customer table, staged, and
-    aggregated per one-day event-time window (complete mode)."""
-    orders_static = read_table(spark, sf_dir, "orders")
-    orders = skpis.file_stream(spark, sf_dir, "orders.parquet", orders_static.schema)
-    staged = stage(contacts_from_star(orders, read_table(spark, sf_dir, "customer")), AS_OF, with_key=False)
-    out = skpis.daily_kpis_stream(staged, "processed_at", _yes(), F.col("call_duration_seconds"))
-    sink = files.scratch_path(spark, "stream_kpi_daily")
-    skpis.run_to_parquet(out, sink, sink + "_ckpt", output_mode="complete")
-    return spark.read.parquet(sink)
+    """Daily KPIs of staged contacts by a stream over several triggers: orders
+    arrive in a feed folder, are joined to the static customer table, staged,
+    and counted into days that close once event time has passed them."""
+    path = files.scratch_path(spark, "stream_kpi_daily")
+    customer = read_table(spark, sf_dir, "customer")
+
+    def drain(orders):
+        staged = stage(contacts_from_star(orders, customer), AS_OF, with_key=False)
+        ledger.run_daily_kpis(staged, f"{path}/days", f"{path}/checkpoint", "processed_at", _yes(), F.col("call_duration_seconds"))
+
+    _fed(spark, read_table(spark, sf_dir, "orders"), "o_orderdate", f"{path}/feed", drain)
+    ledger.close_open_days(spark, f"{path}/days")
+    return ledger.closed_days(spark, f"{path}/days").drop("batch_id")
 
 
 def q_stream_event_kpis(spark, sf_dir):
-    """The same windowed KPIs over the event stream (purchase = success)."""
-    schema = read_table(spark, sf_dir, "events").schema
-    events = skpis.file_stream(spark, sf_dir, "events.parquet", schema)
-    out = skpis.daily_kpis_stream(events, "ts", F.col("event_type") == "purchase", F.col("value"))
-    sink = files.scratch_path(spark, "stream_event_kpis")
-    skpis.run_to_parquet(out, sink, sink + "_ckpt", output_mode="complete")
-    return spark.read.parquet(sink)
+    """The same KPIs over the event stream (purchase = success)."""
+    path = files.scratch_path(spark, "stream_event_kpis")
+    _fed(spark, read_table(spark, sf_dir, "events"), "ts", f"{path}/feed", lambda events: ledger.run_daily_kpis(
+        events, f"{path}/days", f"{path}/checkpoint", "ts", F.col("event_type") == "purchase", F.col("value")))
+    ledger.close_open_days(spark, f"{path}/days")
+    return ledger.closed_days(spark, f"{path}/days").drop("batch_id")
+
+
+def _gated(spark, sf_dir, path: str, onward=None) -> None:
+    customer = read_table(spark, sf_dir, "customer")
+    _fed(spark, read_table(spark, sf_dir, "orders"), "o_orderdate", f"{path}/feed", lambda orders: gate.run_gate(
+        contacts_from_star(orders, customer), f"{path}/gate", f"{path}/checkpoint", quality.runtime_checks(RAW21), onward))
+
+
+def q_stream_gate(spark, sf_dir):
+    """Every contact of the feed with the gate's verdict and reasons, passed and quarantined."""
+    path = files.scratch_path(spark, "stream_gate")
+    _gated(spark, sf_dir, path)
+    schema = "contact_id bigint"
+    held = gate.quarantined_rows(spark, f"{path}/gate", schema)
+    return (gate.passed_rows(spark, f"{path}/gate", schema)
+            .select("contact_id", F.lit(gate.PASSED).alias("verdict"), F.lit("").alias("reasons"))
+            .unionByName(held.select("contact_id", F.lit(gate.QUARANTINED).alias("verdict"), F.array_join("reasons", ", ").alias("reasons"))))
+
+
+def q_stream_gated_kpis(spark, sf_dir):
+    """Daily KPIs of the contacts that pass the gate: its batches go on into the days of the ledger."""
+    path = files.scratch_path(spark, "stream_gated_kpis")
+
+    def count(passed, batch_id):
+        staged = stage(passed, AS_OF, with_key=False)
+        ledger.take_batch(staged, batch_id, f"{path}/days", "processed_at", _yes(), F.col("call_duration_seconds"))
+
+    _gated(spark, sf_dir, path, count)
+    ledger.close_open_days(spark, f"{path}/days")
+    return ledger.closed_days(spark, f"{path}/days").drop("batch_id")
 
 
 def q_stream_dq(spark, sf_dir):
@@ -381,6 +424,8 @@ QUERIES.update({
     "stream_kpi_daily": q_stream_kpi_daily,
     "stream_event_kpis": q_stream_event_kpis,
     "stream_dq": q_stream_dq,
+    "stream_gate": q_stream_gate,
+    "stream_gated_kpis": q_stream_gated_kpis,
 })
 
 

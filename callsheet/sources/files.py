@@ -171,3 +171,14 @@ def read_raw(spark: SparkSession, path: str, first_day=None, last_day=None, ts:
         df = df.where((F.col(PARTITION_COLUMN) <= F.lit(last_day.replace(day=1))) &
                       (F.col(ts) < F.lit(nxt.isoformat()).cast("timestamp_ntz")))
     return df.drop(PARTITION_COLUMN)
+
+
+def in_time_order(df: DataFrame, ts: str, parts: int) -> list[DataFrame]:
+    """The whole table in ``parts`` slices of time, about equal in rows; rows without a time are in the last."""
+    edges = df.agg(F.percentile_approx(ts, [k / parts for k in range(1, parts)], 1000)).first()[0] or []
+    edges = sorted(set(edges))
+    time = F.col(ts)
+    if not edges:
+        return [df]
+    middle = [df.where((time >= F.lit(a)) & (time < F.lit(b))) for a, b in zip(edges, edges[1:], strict=False)]
+    return [df.where(time < F.lit(edges[0])), *middle, df.where((time >= F.lit(edges[-1])) | time.isNull())]
