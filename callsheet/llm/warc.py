@@ -10,8 +10,9 @@ Writing, for pages of (page_id, url, html):
    before, cut the order into shards of ``shard_bytes``. Range bounds come from a
    sample, shards don't: they follow from the rows alone.
 3. Headers and digests are made anew for each response and the record is
-   compressed to a gzip member of its own; one shuffle brings it to its digest's
-   record and one to its shard.
+   compressed to a gzip member of its own, which is the only form in which a
+   payload moves, once, to its shard. The shards' first keys, of at most
+   ``MAX_SHARDS`` shards, tell a page its shard.
 4. A shard's task streams its records in order into files, rolled when the
    compressed size would pass ``file_bytes``. Files get temporary names of the
    task's attempt; those of attempts that Spark committed are renamed, and the
@@ -39,6 +40,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -53,6 +55,7 @@ from .common import Memo, Scratch, ship
 
 MIN_REVISIT_BYTES = 0
 SHARD_BYTES = 128 << 20  # of records before compression: what a task writes
+MAX_SHARDS = 65_536  # beyond, shards grow
 FILE_BYTES = 16 << 20  # of compressed records
 HOT_SHARE = 0.001
 COPIES = 1000
@@ -164,42 +167,52 @@ def _sharded(scratch: Scratch, records: DataFrame, shard_bytes: int) -> DataFram
     kept = scratch.keep(ranged.mapInArrow(summed, f"{kinds}, part bigint, before bigint"))
     # a row for each range: as many as shuffle partitions
     parts = kept.groupBy("part").agg(F.max(F.col("before") + F.col("weight")).alias("_sum"))
+    total = parts.agg(F.sum("_sum")).first()[0] or 0
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
-    shard = F.floor((F.col("_base") + F.col("before")) / shard_bytes).cast("bigint")
+    shard = F.floor((F.col("_base") + F.col("before")) / max(shard_bytes, -(-total // MAX_SHARDS))).cast("bigint")
     return scratch.keep(kept.join(F.broadcast(parts), "part").select(*_ORDER, "last", "size", "small", "refers", shard.alias("shard")))
 
 
-def _responses(base: DataFrame, best: DataFrame, min_bytes: int, date: str) -> DataFrame:
-    """The responses' compressed records by digest; other rows of the digest may be there too, a row more than once.
+def _key(page_id: int | None, url: str | None, digest: bytes, copy: int = 0) -> tuple:
+    """A record's place in the order, as Spark sorts: nulls first, texts by their bytes."""
+    return page_id is not None, page_id or 0, url is not None, (url or "").encode("utf-8", "surrogatepass"), digest, copy
 
-    Rows of hot digests that aren't the response's are left out before any payload moves.
+
+def _members(base: DataFrame, best: DataFrame, plan: DataFrame, min_bytes: int, date: str) -> DataFrame:
+    """Each large payload as the compressed response of its page, in the shard where that would stand.
+
+    Rows of hot digests that aren't the response's are left out before. Of the
+    others, revisits' payloads come along and are left out by the writer; a
+    repeated row may come more than once.
     """
     total = best.agg(F.sum("rows")).first()[0] or 0
     hot = best.where(F.col("rows") > total * HOT_SHARE).select("_digest", "best")
     large = base.where(F.col("size") >= min_bytes).join(F.broadcast(hot), F.col("digest") == F.col("_digest"), "left")
     large = large.where(F.col("_digest").isNull() | (F.col("page_id").eqNullSafe(F.col("best.page_id"))
                                                      & F.col("url").eqNullSafe(F.col("best.url"))))
+    # at most MAX_SHARDS rows
+    first = plan.groupBy("shard").agg(F.min(F.struct(*_ORDER)).alias("key")).collect()
+    starts = sorted((_key(r["key"]["page_id"], r["key"]["url"], bytes(r["key"]["digest"]), r["key"]["copy"]), r["shard"]) for r in first)
+    keys, shards = [k for k, _ in starts], [n for _, n in starts]
 
     def sealed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Memo(50_000)
         for b in batches:
-            digests, ids, urls, members = [], [], [], []
+            rows = []
             for page_id, url, payload, digest in zip(*b.columns, strict=True):
                 key = page_id.as_py(), url.as_py(), digest.as_py()
                 new: list = []
                 seen.get(key, lambda _: new.append(1) or True)  # noqa: B023
                 if new:
                     payload = payload.as_py()
-                    ids.append(key[0])
-                    urls.append(key[1])
-                    digests.append(key[2])
-                    members.append(page_record(*key, 0, len(payload), payload, None, date))
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(ids, pa.int64()), pa.array(urls, pa.string()),
-                                              pa.array(members, pa.binary())], ["_digest", "_page", "_url", "member"])
+                    rows.append((shards[bisect_right(keys, _key(*key)) - 1], *key, page_record(*key, 0, len(payload), payload, None, date)))
+            kinds = pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
+                                             ["shard", "page_id", "url", "digest", "member"])
 
     return large.select("page_id", "url", "payload", "digest").mapInArrow(
-        sealed, "_digest binary, _page bigint, _url string, member binary")
+        sealed, "shard bigint, page_id bigint, url string, digest binary, member binary")
 
 
 # --- writing ------------------------------------------------------------------
@@ -245,38 +258,47 @@ class _Roll:
                               "bytes": self.size, "sha256": self.sha.hexdigest()})
 
 
-def _written(records: DataFrame, path: str, file_bytes: int, date: str) -> DataFrame:
-    """The records' files below ``_staging``: a row for each file of this attempt."""
+def _written(plan: DataFrame, members: DataFrame, path: str, min_bytes: int, file_bytes: int, date: str) -> DataFrame:
+    """The records' files below ``_staging``: a row for each file of this attempt.
+
+    A shard's planned records and compressed responses are sorted together: a
+    response's payload stands right before its record.
+    """
     schema = pa.schema([("shard", pa.int64()), ("name", pa.string()), ("attempt", pa.string()), ("records", pa.int64()),
                         ("bytes", pa.int64()), ("sha256", pa.string())])
+    rows = plan.unionByName(members, allowMissingColumns=True).withColumn("copy", F.coalesce("copy", F.lit(0).cast("bigint")))
+    order = ("shard", *_ORDER)
+    names = (*order, "last", "size", "small", "refers", "member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = uuid.uuid4().hex
-        roll, before = None, None
+        roll, held = None, (None, None)
         for b in batches:
-            for shard, page_id, url, digest, copy, last, size, small, refers, sealed in zip(
-                    *(b.column(c) for c in ("shard", *_ORDER, "last", "size", "small", "refers", "member")), strict=True):
-                shard, key, size = shard.as_py(), (page_id.as_py(), url.as_py(), digest.as_py()), size.as_py()
-                refers = refers.as_py()
-                if (*key, copy.as_py()) == before:
-                    continue  # the payload of a repeated row came from several tasks
-                before = (*key, copy.as_py())
+            for row in zip(*(b.column(c) for c in names), strict=True):
+                shard, page_id, url, digest, copy, last, size, small, refers = (x.as_py() for x in row[:-1])
+                key = page_id, url, digest
+                if last is None:
+                    held = key, row[-1]
+                    continue
                 if roll is None or roll.shard != shard:
                     if roll is not None:
                         roll.close()
                         yield pa.RecordBatch.from_pylist(roll.done, schema)
                     roll = _Roll(path, shard, attempt, file_bytes, date)
-                if sealed.is_valid:
-                    roll.add(sealed.as_py())
+                if refers is None and size >= min_bytes:
+                    if held[0] != key:
+                        raise ValueError(f"the payload of page {page_id} is missing")
+                    roll.add(held[1].as_py())
                     continue
-                for n in range(copy.as_py(), last.as_py() + 1):
-                    roll.add(page_record(*key, n, size, small.as_py(), (refers["page_id"], refers["url"]) if refers else None, date))
+                for n in range(copy, last + 1):
+                    roll.add(page_record(*key, n, size, small, (refers["page_id"], refers["url"]) if refers else None, date))
         if roll is not None:
             roll.close()
             yield pa.RecordBatch.from_pylist(roll.done, schema)
 
     kinds = "shard bigint, name string, attempt string, records bigint, bytes bigint, sha256 string"
-    return records.repartition("shard").sortWithinPartitions("shard", *_ORDER).mapInArrow(run, kinds)
+    dealt = rows.select(*names).repartition("shard").sortWithinPartitions(*order, F.col("last").isNotNull())
+    return dealt.mapInArrow(run, kinds)
 
 
 def _renamed(staged: DataFrame, path: str) -> DataFrame:
@@ -316,13 +338,8 @@ def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REVI
     base = _payloads(pages)
     plan, best = _planned(scratch, base, min_revisit_bytes)
     plan = _sharded(scratch, plan, shard_bytes)
-    sealed = F.col("refers").isNull() & (F.col("size") >= min_revisit_bytes)
-    members = _responses(base, best, min_revisit_bytes, date)
-    whole = plan.where(sealed)
-    whole = whole.join(members, (whole["digest"] == members["_digest"]) & whole["page_id"].eqNullSafe(members["_page"])
-                       & whole["url"].eqNullSafe(members["_url"])).drop("_digest", "_page", "_url")
-    records = whole.unionByName(plan.where(~sealed).withColumn("member", F.lit(None).cast("binary")))
-    staged = scratch.keep(_written(records, path, file_bytes, date))
+    members = _members(base, best, plan, min_revisit_bytes, date)
+    staged = scratch.keep(_written(plan, members, path, min_revisit_bytes, file_bytes, date))
     _renamed(staged, path).write.mode("overwrite").json(f"{path}/_manifest")
     files.rename(child(root, "_manifest"), child(root, "manifest"))
     files.delete(child(root, "_staging"), True)
@@ -418,5 +435,6 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                 if rows:
                     yield batch(rows)
 
-    manifest = read_manifest(spark, path)
-    return manifest.select("name", "records").repartition("name").mapInArrow(run, PAGES)
+    manifest = read_manifest(spark, path).select("name", "records")
+    # a task for each file: their rows are few, and would be joined into one task by size
+    return manifest.repartition(max(1, manifest.count())).mapInArrow(run, PAGES)
