@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, words
+from .common import Scratch, few, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
@@ -89,14 +89,14 @@ def host_rates(scored: DataFrame) -> DataFrame:
     excess = F.col("m2") - F.pow("m1", 2) - noise * F.col("inv")
     strength = F.when(excess > 0, F.least(F.greatest(noise / excess - 1, F.lit(1e-3)), F.col("total").cast("double"))) \
         .otherwise(F.col("total").cast("double"))
-    prior = prior.select(F.lit(1).alias("one"), "m", strength.alias("strength"))
-    return hosts.withColumn("one", F.lit(1)).join(prior, "one").select(
-        "host", "n", "failed",
-        ((F.col("failed") + F.col("m") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("rate"))
+    prior = prior.select(F.struct("m", strength.alias("strength"))).scalar()
+    return hosts.select("host", "n", "failed", (
+        (F.col("failed") + prior["m"] * prior["strength"]) / (F.col("n") + prior["strength"])).alias("rate"))
 
 
-def _rejected_hosts(scored: DataFrame, max_rate: float) -> DataFrame:
-    return host_rates(scored).where(F.col("rate") >= max_rate).select(F.col("host").alias("bad_host"))
+def _rejected_hosts(scratch: Scratch, scored: DataFrame, max_rate: float) -> DataFrame:
+    """The rejected hosts, written once; broadcast where they are counted to be few, so no document moves."""
+    return few(scratch.keep(host_rates(scored).where(F.col("rate") >= max_rate).select(F.col("host").alias("bad_host"))))
 
 
 def kept_documents(docs: DataFrame, max_rate: float = MAX_RATE, host: str = "source") -> DataFrame:
@@ -109,7 +109,7 @@ def kept_documents(docs: DataFrame, max_rate: float = MAX_RATE, host: str = "sou
     scratch = Scratch(docs.sparkSession, "hosts")
     names = docs.columns
     scored = scratch.keep(measured(docs, host, tuple(names)).select("held", "host", base_failed().alias("base_failed")))
-    bad = _rejected_hosts(scored.select("host", "base_failed"), max_rate)
+    bad = _rejected_hosts(scratch, scored.select("host", "base_failed"), max_rate)
     good = scored.where(~F.col("base_failed"))
     return good.join(bad, good["host"] == bad["bad_host"], "left_anti").select(*(F.col(f"held.`{c}`").alias(c) for c in names))
 
@@ -118,7 +118,7 @@ def verdicts(docs: DataFrame, max_rate: float = MAX_RATE, host: str = "source")
     """One row per document: counts, base_failed, the host's shrunken rate and the verdict ``kept``."""
     scratch = Scratch(docs.sparkSession, "hosts")
     scored = scratch.keep(measured(docs, host).withColumn("base_failed", base_failed()))
-    bad = _rejected_hosts(scored, max_rate)
+    bad = _rejected_hosts(scratch, scored, max_rate)
     joined = scored.join(bad, scored["host"] == bad["bad_host"], "left")
     return joined.select(F.col("held.doc_id").cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & F.col("bad_host").isNull()).alias("kept"))
