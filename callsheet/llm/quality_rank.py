@@ -139,14 +139,16 @@ def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING)
     sample = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality")) \
         .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_training)
-    rows = one_text_each(documents(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id"), "quality").select("quality", "text")
+    rows = one_text_each(documents(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id"), "quality").select("doc_id", "quality", "text")
 
     def run(batches):
         for b in batches:
             x = _matrix(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("quality"), pa.array(list(x), pa.list_(pa.float64()))], ["quality", "x"])
+            columns = [b.column("doc_id"), b.column("quality"), pa.array(list(x), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "x"])
 
-    got = rows.mapInArrow(run, "quality int, x array<double>").collect()
+    # pairs are drawn by the rows' places, so their order is fixed; ids are there once
+    got = sorted(rows.mapInArrow(run, "doc_id bigint, quality int, x array<double>").collect(), key=lambda r: r["doc_id"])
     good = np.array([r["quality"] == 1 for r in got], dtype=bool)
     if not good.any() or good.all():
         return None
