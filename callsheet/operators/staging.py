@@ -57,7 +57,7 @@ def _normalise_sql(col: str, whitespace: bool) -> str:
 
 
 def stage(raw: DataFrame, as_of: dt.date | None = None, with_key: bool = True,
-          whitespace: bool = False) -> DataFrame:
+          whitespace: bool = False, eager_key: bool = True) -> DataFrame:
     """Staged contacts (23 columns plus carried lineage columns).
 
     ``customer_id`` is the 1-based position in (age, job, marital) order of
@@ -65,6 +65,7 @@ def stage(raw: DataFrame, as_of: dt.date | None = None, with_key: bool = True,
     every remaining column. ``with_key=False`` skips it: marts that only
     count rows do not need it, and without it filters on staged columns
     still reach the source scan (a filter cannot cross the numbering).
+    ``eager_key=False`` numbers without a job of its own, for lazy views.
     ``processed_at`` is the contact timestamp when the source carries one,
     otherwise the load time.
     """
@@ -84,7 +85,7 @@ def stage(raw: DataFrame, as_of: dt.date | None = None, with_key: bool = True,
 
     if with_key:
         tie = carried[:1] or [c for c in raw.columns if c not in fixed.STAGE_KEY_ORDER]
-        kept = surrogate_key(kept, "customer_id", fixed.STAGE_KEY_ORDER, tie)
+        kept = surrogate_key(kept, "customer_id", fixed.STAGE_KEY_ORDER, tie, eager=eager_key)
     head = ["customer_id"] if with_key else []
     if "processed_at" in raw.columns:
         out = kept.selectExpr(*head, *exprs, "CAST(processed_at AS TIMESTAMP_NTZ) AS processed_at", *carried)

@@ -24,7 +24,7 @@ LAYERS = ["raw_contacts", "stg_contacts", "int_contact_segments", "dim_segments"
 
 def register_views(raw: DataFrame, as_of: dt.date | None = None, with_key: bool = True) -> dict[str, DataFrame]:
     """Register the layers as temp views of ``raw``'s session; returns them."""
-    staged = stage(raw, as_of, with_key=with_key)
+    staged = stage(raw, as_of, with_key=with_key, eager_key=False)
     # the marts don't show the contact key, so their views do without the numbering
     plain = segment(stage(raw, as_of, with_key=False))
     metrics = marts.segment_metrics(plain, as_of, keep_count=True)

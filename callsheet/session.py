@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +80,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A table written once below the shared folder and read back: columns are pruned, the lineage is cut."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/callsheet/{name}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a reused intermediate once and cut its lineage.
 

@@ -1,8 +1,10 @@
 """Staging filter, normalisation and the distributed surrogate key."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from callsheet.operators import keys
 from callsheet.operators.keys import surrogate_key
 from callsheet.operators.staging import stage
 from callsheet.schema import RAW_SCHEMA_WITH_LINEAGE
@@ -96,3 +98,50 @@ def test_keys_reproducible_across_recomputation(spark):
     b = stage(raw_contacts(spark, SF_SMALL), ).select("contact_id", F.col("customer_id").alias("b"))
     second = {r.contact_id: r.b for r in b.collect()}
     assert first == second
+
+
+def _numbered(rows):
+    def low(x):
+        return (x is not None, x or 0)
+    order = sorted(range(len(rows)), key=lambda i: (low(rows[i][0]), (rows[i][1] is not None, rows[i][1] or ""), low(rows[i][2])))
+    return {i: n + 1 for n, i in enumerate(order)}
+
+
+@pytest.mark.parametrize("eager", [True, False])
+@pytest.mark.parametrize("per_group", [1, 40, 10 ** 6])
+def test_surrogate_key_with_hot_keys_and_outlying_ties(spark, eager, per_group):
+    import random
+    rng = random.Random(3)
+    rows = [(rng.choice((30, 30, 30, None, 41)), rng.choice(("a", "a", None, "b")), t) for t in
+            [*range(700), 10 ** 17, -10 ** 17, 2 ** 63 - 1, -2 ** 63, None]]
+    want = _numbered(rows)
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "k bigint, j string, tie bigint, i int").repartition(5)
+    got = surrogate_key(df, "sk", ["k", "j"], ["tie"], rows_per_group=per_group, eager=eager)
+    assert {r.i: r.sk for r in got.collect()} == want and got.columns == ["k", "j", "tie", "i", "sk"]
+
+
+def test_one_outlying_id_does_not_crowd_a_slice(spark):
+    df = spark.range(0, 20_000).select(F.lit(30).alias("k"), F.col("id").alias("tie"))
+    df = df.unionByName(spark.createDataFrame([(30, 2 ** 62)], "k int, tie bigint"))
+    narrow = df.withColumnRenamed("tie", keys._TIE)
+    edges = keys._hot_edges(narrow, ["k"], narrow.groupBy("k").agg(F.count(F.lit(1)).alias(keys._N)), 500)
+    sizes = [r["count"] for r in keys._with_groups(df, ["k"], F.col("tie"), edges).groupBy(keys._GROUP).count().collect()]
+    assert sum(sizes) == 20_001 and 30 <= len(sizes) <= 60 and max(sizes) < 1000
+    got = surrogate_key(df, "sk", ["k"], ["tie"], rows_per_group=500)
+    assert got.where("tie < 20000 and sk != tie + 1 or tie > 20000 and sk != 20001").count() == 0
+
+
+def test_key_of_several_tie_columns_and_of_nothing(spark):
+    df = spark.range(0, 300).select((F.col("id") % 3).alias("k"), (F.col("id") % 7).alias("a"), F.col("id").cast("string").alias("b"))
+    one = {tuple(r) for r in surrogate_key(df, "sk", ["k"], ["a", "b"], rows_per_group=20).collect()}
+    two = {tuple(r) for r in surrogate_key(df.repartition(9), "sk", ["k"], ["a", "b"]).collect()}
+    assert one == two and sorted(r[-1] for r in one) == list(range(1, 301))
+    assert [r[0] for r in sorted(one, key=lambda r: r[-1])] == [0] * 100 + [1] * 100 + [2] * 100
+    assert surrogate_key(df.limit(0), "sk", ["k"], ["a", "b"]).count() == 0
+
+
+def test_the_source_is_read_twice(spark):
+    """Once for the narrow table, which is written before, and once in the plan of the rows."""
+    plan = spark._jvm.PythonSQLUtils.explainString(stage(raw_contacts(spark, SF_SMALL))._jdf.queryExecution(), "formatted")
+    scans = [ln for ln in plan.splitlines() if ln.startswith("Location") and "orders.parquet" in ln]
+    assert len(scans) == 1
