@@ -161,13 +161,15 @@ def type_mismatches(df: DataFrame, expected: dict[str, str] | None = None) -> li
             if c in actual and actual[c] != t]
 
 
-def test_report(df: DataFrame, group_by: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+def test_report(df: DataFrame, group_by: Sequence[str] = (), columns: Sequence[str] | None = None,
+                as_read: DataFrame | None = None) -> DataFrame:
     """The six runtime tests as rows ``(*groups, test_name, status, failures)``.
 
     Every row is checked.
 
     ``failures`` is the number of violations summed over a test's checks
-    (for the type test: the number of mismatching columns, from the schema).
+    (for the type test: the number of mismatching columns, from the schema; of
+    ``as_read``, the source before its columns were cast, where it is given).
     One pass: equal rows are counted first (combined map-side, which the
     duplicate test needs anyway), and every other check weighs a distinct row
     by its count.
@@ -176,7 +178,7 @@ def test_report(df: DataFrame, group_by: Sequence[str] = (), columns: Sequence[s
     checks = runtime_checks(cols)
     counted = _counted(df, cols, group_by)
     agg = counted.groupBy(*group_by).agg(*_weighted_counts(checks), F.expr(f"{DUPLICATE_SQL} AS _dup"))
-    n_type = len(type_mismatches(df.select(*[_c(c) for c in cols])))
+    n_type = len(type_mismatches(as_read if as_read is not None else df.select(*[_c(c) for c in cols])))
     entries = [f"named_struct('test_name', {_lit(fixed.TEST_DATA_TYPES)}, 'failures', CAST({n_type} AS BIGINT))"]
     for t in [fixed.TEST_NULLS, fixed.TEST_RANGES, fixed.TEST_ACCEPTED, fixed.TEST_CONSISTENCY]:
         parts = [f"_v{i}" for i, c in enumerate(checks) if c.test == t]

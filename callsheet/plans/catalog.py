@@ -18,7 +18,7 @@ from ..functions.time import on_day
 from ..operators import quality
 from ..operators.segments import risk_rules_v2, segment, segment_rules
 from ..operators.staging import stage
-from ..schema import RAW_SCHEMA_WITH_LINEAGE, RAW_TYPES
+from ..schema import DOTTED_NAMES, RAW_SCHEMA_WITH_LINEAGE, RAW_TYPES
 from ..sources import files
 from ..sources.star import contacts_from_star, raw_contacts, read_table
 from ..streaming import gate, ledger
@@ -325,6 +325,32 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_contacts(spark, path, schema=RAW_SCHEMA_WITH_LINEAGE)
 
 
+def _mixed_files(spark, sf_dir, path: str) -> str:
+    """Raw contacts as delimited files of three layouts: as they are; columns turned round, with dotted names; and
+    sorted by name, with a unit after durations that end in 07."""
+    raw = raw_contacts(spark, sf_dir)
+    dotted = {v: k for k, v in DOTTED_NAMES.items()}
+    turned = raw.select(*[F.col(f"`{c}`").alias(dotted.get(c, c)) for c in reversed(raw.columns)])
+    text = F.col("duration").cast("string")
+    units = raw.withColumn("duration", F.when(text.endswith("07"), F.concat(text, F.lit(" s"))).otherwise(text))
+    for n, part in enumerate((raw, turned, units.select(*[F.col(f"`{c}`") for c in sorted(raw.columns)]))):
+        files.write_contacts_csv(part.where(F.col("contact_id") % 3 == n), f"{path}/{n}")
+    return path
+
+
+def q_csv_mixed_headers(spark, sf_dir):
+    """One load of files in three column orders: every cell in its column, unreadable ones NULL."""
+    path = _mixed_files(spark, sf_dir, files.scratch_path(spark, "csv_mixed"))
+    return files.read_contacts(spark, path, schema=RAW_SCHEMA_WITH_LINEAGE)
+
+
+def q_csv_rejected_cells(spark, sf_dir):
+    """The cells of that load that their types can't take, counted by column and value."""
+    path = _mixed_files(spark, sf_dir, files.scratch_path(spark, "csv_rejected"))
+    cells = files.rejected_cells(files.as_read(spark, path))
+    return cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cells"))
+
+
 def q_coerce_schema(spark, sf_dir):
     """Raw contacts as untyped text, coerced by the loader's type-by-name rule."""
     text = raw_contacts(spark, sf_dir).select(*[F.col(f"`{c}`").cast("string").alias(c) for c in RAW21])
@@ -419,6 +445,8 @@ def q_stream_dq(spark, sf_dir):
 
 QUERIES.update({
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_mixed_headers": q_csv_mixed_headers,
+    "csv_rejected_cells": q_csv_rejected_cells,
     "coerce_schema": q_coerce_schema,
     "mart_roundtrip": q_mart_roundtrip,
     "stream_kpi_daily": q_stream_kpi_daily,

@@ -24,7 +24,7 @@ from ..operators.segments import segment
 from ..operators.staging import as_of_timestamp, stage
 from ..schema import RAW_TYPES
 from ..session import materialize
-from ..sources.files import read_raw, write_day, write_raw, write_table
+from ..sources.files import read_raw, rejected_cells, typed_columns, write_day, write_raw, write_table
 from . import kpis, marts
 
 CUBE_KEYS = ["campaign_date", "campaign_number", *marts.SEGMENT_KEYS]
@@ -64,7 +64,7 @@ def marts_from_cube(cube: DataFrame, as_of: dt.date | None) -> dict[str, DataFra
     }
 
 
-def run_pipeline(raw: DataFrame, target: str, as_of: dt.date) -> dict[str, str]:
+def run_pipeline(raw: DataFrame, target: str, as_of: dt.date, as_read: DataFrame | None = None) -> dict[str, str]:
     """Build and write every table under ``target``; returns name -> path.
 
     The raw table is loaded first (truncate and load), in the only scan of
@@ -72,7 +72,9 @@ def run_pipeline(raw: DataFrame, target: str, as_of: dt.date) -> dict[str, str]:
     timestamp the raw table is partitioned by contact month and clustered by
     time inside each file, so day queries (``read_raw``) prune folders and row
     groups; marts and reports are small and written whole. Test results and
-    failing rows are also kept by run day, which a retry replaces.
+    failing rows are also kept by run day, which a retry replaces. With the
+    source ``as_read`` (before its columns were cast) the type test looks at its
+    schema, and the cells that the types can't take are kept by run day too.
     """
     spark = raw.sparkSession
     paths: dict[str, str] = {}
@@ -83,8 +85,11 @@ def run_pipeline(raw: DataFrame, target: str, as_of: dt.date) -> dict[str, str]:
         paths["raw_contacts"] = write_table(raw, f"{target}/raw_contacts")
         loaded = spark.read.parquet(paths["raw_contacts"])
     columns = [c for c in RAW_TYPES if c in raw.columns]
+    if as_read is not None:
+        paths["rejected_cells"] = write_day(rejected_cells(as_read), f"{target}/rejected_cells", as_of, "load_date")
     started = time.monotonic()
-    report = quality.test_report(loaded.select(*[F.col(f"`{c}`") for c in columns]))
+    report = quality.test_report(loaded.select(*[F.col(f"`{c}`") for c in columns]),
+                                 as_read=typed_columns(as_read))
     paths["dq_test_results"] = write_table(report, f"{target}/dq_test_results")
     seconds = time.monotonic() - started  # one pass computes all tests, so they share its time
     report = spark.read.parquet(paths["dq_test_results"])

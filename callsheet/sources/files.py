@@ -1,15 +1,17 @@
 """Delimited-file sources, schema variants and table sinks.
 
-Nothing is inferred: CSV is read with an explicit schema (the canonical one
-unless given), so the scan is a single pass with no sampling job. Schema
-variants are conformed by projection only (rename, cast, typed NULL for a
+Nothing is inferred: CSV is read as text, bound to columns by each file's own
+header and typed by name in the same pass, with no sampling job; the cells that
+a type can't take are a table of their own. Schema variants are conformed by projection only (rename, cast, typed NULL for a
 missing column), which Catalyst folds into the scan.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,35 +34,136 @@ CSV_OPTIONS = {
 _LINEAGE_TYPES = {"contact_id": "bigint", "client_key": "bigint", "processed_at": "timestamp_ntz"}
 
 
-def header_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Typed schema from a delimited file's header: declared types for the
-    canonical columns (dotted names included), lineage types, and the
-    loader's type-by-name rule for anything else. Only the header is read."""
-    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
-    types = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType(),
-             "timestamp_ntz": T.TimestampNTZType()}
+_TYPES = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType(), "timestamp_ntz": T.TimestampNTZType()}
+FILE, LINE = "_file", "_line"  # of a frame as read: where a row comes from, and its text if it has too few or too many cells
+WHOLE_LINE = "(line)"
 
-    def type_of(name: str) -> str:
-        canon = DOTTED_NAMES.get(name, name)
-        return RAW_TYPES.get(canon) or _LINEAGE_TYPES.get(canon) or loader_type(canon)
 
-    return T.StructType([T.StructField(n, types[type_of(n)], True) for n in names])
+def declared_type(name: str) -> str:
+    """Type by column name: the declared one for canonical columns (dotted names included), lineage types, and
+    the loader's rule for anything else."""
+    canon = DOTTED_NAMES.get(name, name)
+    return RAW_TYPES.get(canon) or _LINEAGE_TYPES.get(canon) or loader_type(canon)
+
+
+def _data_files(spark: SparkSession, path: str) -> list:
+    """The files below a path or glob, hidden ones left out, in the order of their names."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.globStatus(root) or []:
+        listed = fs.listFiles(status.getPath(), True)
+        while listed.hasNext():
+            f = listed.next().getPath()
+            inner = f.toString()[len(status.getPath().toString()):]
+            if not any(part[:1] in ("_", ".") for part in inner.split("/")):
+                found.append(f)
+    return sorted(found, key=lambda f: f.toString())
+
+
+def _first_line(spark: SparkSession, file) -> str | None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    raw = file.getFileSystem(conf).open(file)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(raw) if codec else raw, "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def header_groups(spark: SparkSession, path: str, sep: str = ";") -> list[tuple[list[str], list[str]]]:
+    """``(column names, files)`` for each header among the files: what a name binds is said by each file itself.
+
+    Only first lines are read, one open per file, a few at a time (the driver
+    does as much per file to list them). Files without a line are left out.
+    """
+    files = _data_files(spark, path)
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        if line is not None:
+            (names,) = csv.reader([line.removeprefix("\ufeff")], delimiter=sep, escapechar="\\")
+            canon = [DOTTED_NAMES.get(n, n) for n in names]
+            if len(set(canon)) < len(canon):
+                raise ValueError(f"{file.toString()} names a column twice: {line}")
+            groups.setdefault(tuple(canon), []).append(file.toString())
+    return [(list(names), found) for names, found in groups.items()]
+
+
+def as_read(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
+    """The files' columns as they are, with canonical names, and ``_file``.
+
+    Delimited cells stay text, bound to columns by the header of their own
+    file, so files of one load may differ in order and in columns (a column
+    that a file lacks is NULL). ``_line`` holds the text of lines with too few
+    or too many cells; their readable cells are kept. One scan, nothing inferred.
+    """
+    place = F.col("_metadata.file_path").alias(FILE)
+    if fmt != "csv":
+        frame = spark.read.format(fmt).options(**options).load(path)
+        return frame.select(*[F.col(f"`{c}`").alias(DOTTED_NAMES.get(c, c)) for c in frame.columns], place)
+    # without pruning, a line's cells are counted whichever columns are read
+    how = {**CSV_OPTIONS, **options, "columnNameOfCorruptRecord": LINE, "columnPruning": "false"}
+    out = None
+    for names, found in header_groups(spark, path, how["sep"]):
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, LINE)])
+        part = spark.read.options(**how).schema(schema).csv(found).select("*", place)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no file with a header below {path}")
+    return out
+
+
+def _columns(frame: DataFrame) -> list[str]:
+    return [c for c in frame.columns if c not in (FILE, LINE)]
+
+
+def typed(frame: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """A frame as read in its declared types, or in a schema's columns and types; what a type can't take is NULL."""
+    have = _columns(frame)
+    fields = schema.fields if schema else [T.StructField(c, _TYPES[declared_type(c)]) for c in have]
+    return frame.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+                          for f in fields])
+
+
+def typed_columns(frame: DataFrame | None) -> DataFrame | None:
+    """A frame as read for the type test, without ``_file``. Delimited cells have no type of their own: theirs
+    is the declared one, and what it can't take is found cell by cell."""
+    if frame is None or LINE in frame.columns:
+        return None if frame is None else typed(frame)
+    return frame.drop(FILE)
+
+
+def rejected_cells(frame: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """``(file, column_name, value)``: a row for every cell that ``typed`` makes NULL, and one named ``(line)`` for
+    every line with too few or too many cells. A generator over one scan; nothing moves."""
+    have = _columns(frame)
+    types = {f.name: f.dataType for f in schema.fields} if schema else {c: _TYPES[declared_type(c)] for c in have}
+    entries = [F.when(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull(),
+                      F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")))
+               for c, t in types.items() if c in have and not isinstance(t, T.StringType)]
+    if LINE in frame.columns:
+        entries.append(F.when(F.col(LINE).isNotNull(), F.struct(F.lit(WHOLE_LINE).alias("column_name"), F.col(LINE).alias("value"))))
+    if not entries:
+        return frame.select(F.col(FILE).alias("file"), F.lit("").alias("column_name"), F.lit("").alias("value")).limit(0)
+    return frame.select(F.col(FILE).alias("file"), F.inline(F.array_compact(F.array(*entries))))
 
 
 def read_contacts(spark: SparkSession, path: str, fmt: str = "csv",
                   schema: T.StructType | None = None, **options) -> DataFrame:
     """Read raw contacts (``;``-separated with a header by default).
 
-    Without an explicit schema the columns are taken from the header and
-    typed by name (never inferred from the data), so files with lineage
-    columns, dotted names or the loader's columns read correctly.
+    Columns are bound by each file's own header and typed by name (never
+    inferred from the data), so files in any column order, with lineage
+    columns, dotted names or the loader's columns read correctly. With an
+    explicit schema they come in its order and types.
     """
-    reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS).schema(schema or header_schema(spark, path))
-    elif schema is not None:
-        reader = reader.schema(schema)
-    return reader.options(**options).load(path)
+        return typed(as_read(spark, path, fmt, **options), schema)
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema is not None else reader).options(**options).load(path)
 
 
 def write_contacts_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:

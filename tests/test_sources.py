@@ -92,3 +92,85 @@ def test_raw_files_are_few_and_sorted(spark):
 def test_unparsable_cells_are_counted(spark):
     df = spark.createDataFrame([("41", "x"), ("4o", "y"), (None, "z"), ("", "w")], "age string, job string")
     assert [tuple(r) for r in files.unparsable(df, {"age": "bigint", "job": "string"}).collect()] == [("age", 2)]
+
+
+def _same(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _put(spark, path, name, text, opener=open):
+    """A file as a foreign tool would leave it."""
+    import os
+    folder = path.removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    with opener(f"{folder}/{name}", "wt", encoding="utf-8") as f:
+        f.write(text)
+
+
+def test_columns_are_bound_by_each_files_header(spark):
+    path = files.scratch_path(spark, "test_headers")
+    _put(spark, path, "a.csv", "age;job;duration\n41;admin.;90\n")
+    _put(spark, path, "b.csv", "job;age;duration\nretired;30;45\n")
+    _put(spark, path, "c.csv", "﻿duration;nr.employed;\"job\"\n7;5191.0;student\n")
+    _put(spark, path, "_hidden.csv", "x;y\n1;2\n")
+    _put(spark, path, "empty.csv", "")
+    got = files.read_contacts(spark, path)
+    assert {f.name: f.dataType.simpleString() for f in got.schema} == {
+        "age": "bigint", "job": "string", "duration": "bigint", "nr_employed": "double"}
+    assert {tuple(r) for r in got.select("age", "job", "duration", "nr_employed").collect()} == {
+        (41, "admin.", 90, None), (30, "retired", 45, None), (None, "student", 7, 5191.0)}
+    assert files.rejected_cells(files.as_read(spark, path)).count() == 0
+
+
+def test_packed_files_have_headers_too(spark):
+    import gzip
+    path = files.scratch_path(spark, "test_gz")
+    _put(spark, path, "a.csv.gz", "age;job\n41;admin.\n", gzip.open)
+    _put(spark, path, "b.csv", "job;age\nretired;x\n")
+    assert {tuple(r) for r in files.read_contacts(spark, path).select("age", "job").collect()} == {(41, "admin."), (None, "retired")}
+
+
+def test_every_bad_cell_is_a_row(spark):
+    path = files.scratch_path(spark, "test_bad_cells")
+    _put(spark, path, "a.csv", "age;job;duration\n4o;admin.;90\n41;;n/a\n;x;\n50;y\n51;z;9;8\n")
+    _put(spark, path, "b.csv", "duration;age\n1 s;30\n2;31\n")
+    read = files.as_read(spark, path)
+    cells = {(r.file.rsplit("/", 1)[1], r.column_name, r.value) for r in files.rejected_cells(read).collect()}
+    assert cells == {("a.csv", "age", "4o"), ("a.csv", "duration", "n/a"), ("b.csv", "duration", "1 s"),
+                     ("a.csv", "(line)", "50;y"), ("a.csv", "(line)", "51;z;9;8")}
+    rows = {tuple(r) for r in files.typed(read).select("age", "job", "duration").collect()}
+    assert {(None, "admin.", 90), (41, None, None), (None, "x", None), (50, "y", None), (30, None, None)} <= rows
+    assert files.typed(read).count() == 7
+
+
+def test_twice_named_column_and_no_file_are_errors(spark):
+    import pytest
+    path = files.scratch_path(spark, "test_twice")
+    _put(spark, path, "a.csv", "age;job;age\n1;2;3\n")
+    with pytest.raises(ValueError, match="twice"):
+        files.as_read(spark, path)
+    with pytest.raises(ValueError, match="no file"):
+        files.as_read(spark, files.scratch_path(spark, "test_none"))
+
+
+def test_mixed_files_load_as_one_table(spark):
+    raw = raw_contacts(spark, SF_SMALL)
+    path = files.scratch_path(spark, "test_mixed")
+    parts = [raw.columns, raw.columns[::-1], sorted(raw.columns)]
+    for n, names in enumerate(parts):
+        files.write_contacts_csv(raw.where(F.col("contact_id") % 3 == n).select(*[F.col(f"`{c}`") for c in names]), f"{path}/{n}")
+    assert len(files.header_groups(spark, path)) == 3
+    assert _same(files.read_contacts(spark, path, schema=RAW_SCHEMA_WITH_LINEAGE), raw)
+
+
+def test_type_test_looks_at_the_schema_as_read(spark):
+    from callsheet.operators import quality
+    raw = raw_contacts(spark, SF_SMALL)
+    path = files.scratch_path(spark, "test_types")
+    raw.withColumn("age", F.when(F.col("age") == 40, "forty").otherwise(F.col("age").cast("string"))).write.parquet(path)
+    source = files.as_read(spark, path, "parquet")
+    report = quality.test_report(files.conform(source.drop(files.FILE)), as_read=files.typed_columns(source))
+    assert report.where("test_name = 'Data Types Check'").select("status", "failures").first() == ("FAILED", 1)
+    cells = files.rejected_cells(source, RAW_SCHEMA_WITH_LINEAGE).select("column_name", "value").distinct().collect()
+    assert [tuple(r) for r in cells] == [("age", "forty")]
