@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions.metrics import yes as _yes
 from ..functions.time import on_day
 from ..operators import quality
@@ -23,8 +24,8 @@ from ..sources import files
 from ..sources.star import contacts_from_star, raw_contacts, read_table
 from ..streaming import gate, ledger
 from ..streaming import kpis as skpis
-from ..session import materialize
-from . import kpis, marts, tiles
+from ..session import materialize, stored
+from . import kpis, marts, navigation, pipeline, tiles, views
 
 AS_OF = dt.date(1998, 6, 10)
 
@@ -249,6 +250,41 @@ def q_measure_query(spark, sf_dir):
                                sorts=[F.desc("total_contacts"), "age_group", "call_duration_category"])
 
 
+def _with_cube(spark, sf_dir, sketch: bool = False) -> tuple[DataFrame, DataFrame]:
+    contacts = _int(spark, sf_dir)
+    return contacts, stored(pipeline.contact_cube(contacts, sketch=sketch), "contact_cube")
+
+
+def q_measure_query_cube(spark, sf_dir):
+    """The measure query by week, campaign and segment, answered from the stored cube."""
+    contacts, cube = _with_cube(spark, sf_dir)
+    return navigation.measure_query(contacts, cube, ["created_week", "campaign_number", "age_group", "call_duration_category"],
+                                    list(tiles.measures()), filters={"credit_risk_profile": ["High Risk"], "job_category": []})
+
+
+def q_explore_from_cube(spark, sf_dir):
+    """The segmented explore with its mandatory window, from the stored cube."""
+    contacts, cube = _with_cube(spark, sf_dir)
+    return navigation.explore("segmented_contacts", contacts, cube, ["created_week", "age_group"],
+                              ["total_contacts", "conversion_rate", "professional_conversions"], as_of=AS_OF)
+
+
+def q_clients_by_axis(spark, sf_dir):
+    """Exact distinct clients by label of each axis, and whether the estimate from the cube's sketches is within 5 %."""
+    return navigation.clients_by_axis(*_with_cube(spark, sf_dir, sketch=True)).drop("estimated_clients")
+
+
+def q_explore_sql(spark, sf_dir):
+    """The segmented explore as a SQL user asks for it, through the table function that holds the window."""
+    views.register_views(raw_contacts(spark, sf_dir), AS_OF, with_key=False)
+    views.register_explores(spark)
+    return spark.sql(f"""
+        SELECT CAST(date_trunc('week', processed_at) AS DATE) AS created_week, age_group, count(*) AS total_contacts,
+               count_if(subscribed = 'yes') * 100.0D / count(*) AS conversion_rate,
+               count_if(subscribed = 'yes' AND job_category = '{fixed.JOB_PIVOT[0][0]}') AS professional_conversions
+        FROM explore_segmented_contacts(DATE'{AS_OF.isoformat()}') GROUP BY 1, 2""")
+
+
 def q_kpi_by_timeframe(spark, sf_dir):
     return tiles.by_timeframe(_int(spark, sf_dir))
 
@@ -295,6 +331,10 @@ QUERIES.update({
     "unique_clients": q_unique_clients,
     "alerts": q_alerts,
     "measure_query": q_measure_query,
+    "measure_query_cube": q_measure_query_cube,
+    "explore_from_cube": q_explore_from_cube,
+    "explore_sql": q_explore_sql,
+    "clients_by_axis": q_clients_by_axis,
     "kpi_by_timeframe": q_kpi_by_timeframe,
     "kpi_by_raw": _by_moment("raw"),
     "kpi_by_time": _by_moment("time"),

@@ -30,13 +30,18 @@ from . import kpis, marts
 CUBE_KEYS = ["campaign_date", "campaign_number", *marts.SEGMENT_KEYS]
 
 
-def contact_cube(contacts: DataFrame) -> DataFrame:
+SKETCH, SKETCH_BITS = "clients", 12
+
+
+def contact_cube(contacts: DataFrame, sketch: bool = False) -> DataFrame:
+    """The cube; with ``sketch`` each cell also keeps a mergeable sketch of its clients (at most 2 ** SKETCH_BITS bytes)."""
     yes = F.col("subscribed") == "yes"
+    clients = [F.hll_sketch_agg("client_key", SKETCH_BITS).alias(SKETCH)] if sketch else []
     return (contacts.withColumn("campaign_date", F.to_date("processed_at"))
             .groupBy(*CUBE_KEYS)
             .agg(F.count(F.lit(1)).alias("n"), F.count_if(yes).alias("yes"),
                  F.count_if(F.col("subscribed") == "no").alias("no"),
-                 F.sum("call_duration_seconds").alias("dur"), F.count("call_duration_seconds").alias("n_dur")))
+                 F.sum("call_duration_seconds").alias("dur"), F.count("call_duration_seconds").alias("n_dur"), *clients))
 
 
 def _rollup(cube: DataFrame, keys: list[str], names: dict[str, str], as_of: dt.date | None,
