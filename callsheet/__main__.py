@@ -24,6 +24,7 @@ from .operators import quality
 from .plans.pipeline import daily_report, run_pipeline
 from .session import build_session
 from .sources.files import FILE, as_read, conform, rejected_cells, typed, typed_columns, write_table
+from .sources.tables import publish
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -34,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--target", required=True)
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--strict", action="store_true")
+    p.add_argument("--namespace", help="also load the pipeline's tables into this namespace of the catalog")
     p.add_argument("--history", help="the pipeline's dq_test_history table, for report")
     a = p.parse_args(argv)
 
@@ -46,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
         paths = run_pipeline(raw, a.target, as_of, source)
         for name, path in paths.items():
             print(f"{name}\t{path}")
+        if a.namespace:
+            publish(paths, spark, a.namespace)
         bad = spark.read.parquet(paths["rejected_cells"]).where(F.col("load_date") == F.lit(as_of)).count()
         print(f"{bad} cells could not be read in their types" + (f": see {paths['rejected_cells']}" if bad else ""))
         return 0

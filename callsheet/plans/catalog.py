@@ -20,7 +20,7 @@ from ..operators import quality
 from ..operators.segments import risk_rules_v2, segment, segment_rules
 from ..operators.staging import stage
 from ..schema import DOTTED_NAMES, RAW_SCHEMA_WITH_LINEAGE, RAW_TYPES
-from ..sources import files
+from ..sources import files, tables
 from ..sources.star import contacts_from_star, raw_contacts, read_table
 from ..streaming import gate, ledger
 from ..streaming import kpis as skpis
@@ -405,6 +405,15 @@ def q_mart_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_mart_catalog(spark, sf_dir):
+    """The campaign fact as a table of a namespace, loaded twice (the second load takes the first one's place)."""
+    place = files.scratch_path(spark, "namespace")
+    database = "callsheet_" + place.rsplit("/", 1)[1]
+    fct = marts.fct_campaigns(_int(spark, sf_dir), AS_OF, sort=False)
+    tables.load_table(fct.limit(0), database, "fct_campaigns", location=place)
+    return tables.load_table(fct, database, "fct_campaigns")
+
+
 # --- streaming ---------------------------------------------------------------
 
 
@@ -489,6 +498,7 @@ QUERIES.update({
     "csv_rejected_cells": q_csv_rejected_cells,
     "coerce_schema": q_coerce_schema,
     "mart_roundtrip": q_mart_roundtrip,
+    "mart_catalog": q_mart_catalog,
     "stream_kpi_daily": q_stream_kpi_daily,
     "stream_event_kpis": q_stream_event_kpis,
     "stream_dq": q_stream_dq,

@@ -15,6 +15,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # choices rest on a table's statistics where the catalog has them
+    "spark.sql.cbo.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # no Python call-site capture per Column call (three JVM round trips each)

@@ -212,11 +212,6 @@ def conform(df: DataFrame, schema: T.StructType = RAW_SCHEMA_WITH_LINEAGE, keep_
     return df.select(*cols, *extra)
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    """Create the namespace if missing (catalog metadata only)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
-
-
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 sort_within: list[str] | None = None, mode: str = "overwrite") -> str:
     """Truncate-and-load a table as Parquet.
