@@ -29,7 +29,8 @@ from .common import Scratch, documents
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 32_768  # pieces that one group is planned to hold
-CACHED_WORDS = 500_000  # words in a generation of a worker's memory; there are two
+CACHED_WORDS = 300_000  # words in a generation of a worker's memory; there are two
+CACHED_PARTS = 100_000  # letters without their punctuation, likewise
 
 _CLOSERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _workers: dict[str, "WordTokenizer"] = {}
@@ -68,7 +69,7 @@ class WordTokenizer:
         """Adds words to the young generation; their parts are encoded in one batch."""
         if len(self.words) + len(new) > CACHED_WORDS:
             self.words, self.old_words = {"": b""}, self.words
-        if len(self.parts) > CACHED_WORDS:
+        if len(self.parts) > CACHED_PARTS:
             self.parts, self.old_parts = {}, self.parts
         known, parts = self.old_words, self.parts
         split = {w: self.split(w) for w in new if w not in known}
@@ -112,6 +113,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = SE
     end, step = np.array([end_id], "<u4").tobytes(), 4 * sequence_tokens
 
     def run(batches):
+        # a reused worker gives back what earlier stages left in it
+        pa.default_memory_pool().release_unused()
         model = _tokenizer(tokenizer_path)
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
