@@ -6,9 +6,18 @@ check digit, dates stay dates, addresses stay addresses. A permutation maps
 equal values to equal pseudonyms in every document and different values to
 different ones, whatever separators they are written with.
 
-Kinds: e-mail (name permuted, host kept), card number (check digit right),
-telephone number, IPv4 address, US social security number, IBAN (mod 97
-right), calendar dates from 1900 to 2099. What fails its validation stays.
+No value is its own pseudonym: a value goes to the next one in a keyed order
+of all values of its format, which is one cycle.
+
+Kinds: e-mail (name permuted within the letters of its own scripts, equal for
+upper and lower case; host kept), card number (check digit right), telephone
+number with a + or separators, IPv4 address, IPv6 address of four groups and
+more, US social security number, IBAN (mod 97 right), calendar dates from 1900
+to 2099. What fails its validation stays.
+
+The key is the caller's secret, or the setting ``SETTING``; without either a
+random one holds for the application, so nobody can undo its pseudonyms and
+links end with it.
 
 Defined results: null text stays null, empty text empty; n_values is then 0;
 repeated rows are replaced one by one; an empty table gives an empty result;
@@ -19,18 +28,22 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import ipaddress
 import re
+import secrets
 from collections.abc import Callable, Iterator
+from functools import cache
 from math import isqrt
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ship
 
 ROUNDS = 8
-KEY = b"callsheet-pseudonyms"  # the default; a production run passes its own secret
+SETTING = "spark.callsheet.pii.secret"  # a name that Spark hides in its listings
+_own_keys: dict[str, bytes] = {}
 
 
 class Feistel:
@@ -54,19 +67,35 @@ class Feistel:
                 left = (left + self._round(tweak, i, n, right)) % a
         return left * b + right
 
+    def back(self, x: int, n: int, tweak: str) -> int:
+        """The value that ``once`` takes to x."""
+        a = isqrt(n - 1) + 1
+        b = -(-n // a)
+        left, right = divmod(x, b)
+        for i in reversed(range(ROUNDS)):
+            if i % 2:
+                right = (right - self._round(tweak, i, n, left)) % b
+            else:
+                left = (left - self._round(tweak, i, n, right)) % a
+        return left * b + right
+
     def permute(self, x: int, n: int, tweak: str, allowed: Callable[[int], bool] = lambda _: True) -> int:
-        """Walks on until the value is below n and allowed, which keeps it a permutation of the allowed values."""
-        while True:
-            x = self._walk(x, n, tweak)
-            if allowed(x):
-                return x
+        """The next allowed value after x in the network's order of 0 .. n - 1, taken as a ring.
 
-    def _walk(self, x: int, n: int, tweak: str) -> int:
+        A permutation of the allowed values, and x itself only where it is the one allowed.
+        """
         if n < 2:
             return x
-        while (x := self.once(x, n, tweak)) >= n:
+        place = x
+        while (place := self.once(place, n, tweak)) >= n:
             pass
-        return x
+        while True:
+            place = (place + 1) % n
+            y = place
+            while (y := self.back(y, n, tweak)) >= n:
+                pass
+            if allowed(y):
+                return y
 
 
 def _digits(text: str) -> str:
@@ -92,19 +121,44 @@ def _iban_rest(text: str) -> int:
 
 
 _LOW, _HIGH = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
-_RADIX = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789",
-          "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7), "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)]
+_BLOCK = 256  # code points among which a letter beyond ASCII is permuted: those of its script's table
+
+
+def _simple_case(c: str) -> bool:
+    return len(c.upper()) == 1 and c.upper() != c and c.upper().lower() == c
 
-_EMAIL = re.compile(r"(?<![\w.%+-])([\w%+-]+(?:\.[\w%+-]+)*)(@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})(?![\w-])")
+
+@cache
+def _alphabet(kind: str) -> str:
+    """The characters that one of them may become: ASCII letters, digits, or a block's letters that have, or
+    haven't, an upper case."""
+    if kind in ("a", "0"):
+        return "abcdefghijklmnopqrstuvwxyz" if kind == "a" else "0123456789"
+    first, cased = int(kind[1:]) * _BLOCK, kind[0] == "c"
+    letters = (chr(x) for x in range(max(first, 0x80), first + _BLOCK) if chr(x).isalpha())
+    return "".join(c for c in letters if (_simple_case(c) if cased else c.lower() == c and not _simple_case(c)))
+
+
+def _kind(c: str) -> str | None:
+    """The alphabet of a character in lower case; None: it stays."""
+    if c.isascii():
+        return "a" if c.isalpha() else "0" if c.isdigit() else None
+    if not c.isalpha() or c.lower() != c:
+        return None
+    return f"{'c' if _simple_case(c) else 'l'}{ord(c) // _BLOCK}"
+
+
+_EMAIL = re.compile(r"(?<![\w.%+-])([\w%+-]+(?:\.[\w%+-]+)*)(@(?:[^\W_](?:(?:[^\W_]|-)*[^\W_])?\.)+[^\W\d_]{2,})(?![\w-])")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:(?::?[0-9A-Fa-f]{1,4}:?){2,7})(?![\w:.])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?![A-Za-z0-9])")
 _NUMBER = re.compile(
     r"(?<![0-9A-Za-z_.+-])(?:"
     r"(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\.?[0-9])"
-    r"|(?P<iso>(?:19|20)[0-9]{2}(?P<s1>[-/.])[0-9]{2}(?P=s1)[0-9]{2})(?![0-9])"
+    r"|(?P<iso>(?:19|20)[0-9]{2}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2})(?!(?P=s1)?[0-9])"
     r"|(?P<day>[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)(?:19|20)[0-9]{2})(?![0-9])"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?!-?[0-9])"
     r"|(?P<card>[0-9]{4}(?P<s3>[ -])[0-9]{4}(?P=s3)[0-9]{4}(?P=s3)[0-9]{4}|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})(?![0-9])"
-    r"|(?P<us>(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4})(?![0-9])"
+    r"|(?P<us>(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4})(?![-.]?[0-9])"
     r")|(?<![0-9+])(?P<intl>\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4})(?![0-9])")
 
 
@@ -120,17 +174,20 @@ class Pseudonyms:
         return str(to).zfill(n)
 
     def email(self, name: str) -> str:
-        places = [next((r for r in _RADIX if c in r), None) for c in name]
+        """The permutation is of the name in lower case; a letter's case is put back at its place."""
+        low = [c.lower() if _simple_case(c.lower()) else c for c in name]
+        kinds = [_kind(c) for c in low]
         size, x = 1, 0
-        for c, r in zip(name, places, strict=True):
-            if r:
-                size, x = size * len(r), x * len(r) + r.index(c)
-        x = self.feistel.permute(x, size, "email" + "".join("x" if r is None else str(_RADIX.index(r)) for r in places))
+        for c, k in zip(low, kinds, strict=True):
+            if k:
+                letters = _alphabet(k)
+                size, x = size * len(letters), x * len(letters) + letters.index(c)
+        x = self.feistel.permute(x, size, "email" + ",".join(k or "-" for k in kinds))
         out = []
-        for c, r in zip(reversed(name), reversed(places), strict=True):
-            if r:
-                x, i = divmod(x, len(r))
-                c = r[i]
+        for c, was, k in zip(reversed(name), reversed(low), reversed(kinds), strict=True):
+            if k:
+                x, i = divmod(x, len(_alphabet(k)))
+                c = _alphabet(k)[i].upper() if c != was else _alphabet(k)[i]
             out.append(c)
         return "".join(reversed(out))
 
@@ -155,6 +212,14 @@ class Pseudonyms:
         x = self.feistel.permute(int.from_bytes(bytes(map(int, parts)), "big"), 1 << 32, "ip")
         return ".".join(map(str, x.to_bytes(4, "big")))
 
+    def ip6(self, shape: str) -> str | None:
+        """Written in full, as the compressed form tells where zeros are."""
+        try:
+            x = int(ipaddress.IPv6Address(shape))
+        except ValueError:
+            return None
+        return ipaddress.IPv6Address(self.feistel.permute(x, 1 << 128, "ip6")).exploded
+
     def ssn(self, shape: str) -> str | None:
         def valid(d: str) -> bool:
             return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
@@ -180,9 +245,13 @@ class Pseudonyms:
         return dt.date.fromordinal(_LOW + x)
 
     def iso(self, shape: str) -> str | None:
-        d = _digits(shape)
-        day = self._date(_calendar(d[:4], d[4:6], d[6:]), "date")
-        return day and _refill(shape, day.strftime("%Y%m%d"))
+        sep = shape[4]
+        parts = shape.split(sep)
+        to = self._date(_calendar(*parts), "date")
+        if to is None:
+            return None
+        wide = 2 if all(len(p) == 2 for p in parts[1:]) else 1
+        return f"{to.year:04d}{sep}{to.month:0{wide}d}{sep}{to.day:0{wide}d}"
 
     def day(self, shape: str) -> str | None:
         """Month first where that is a date, else day first; each permutes among its own."""
@@ -204,13 +273,15 @@ class Pseudonyms:
 
         def put(match: re.Match, new: str | None) -> str:
             nonlocal made
-            made += new is not None
+            made += new is not None and new != match[0]
             return match[0] if new is None else new
 
         if "@" in text:
             text = _EMAIL.sub(lambda m: put(m, self.email(m[1]) + m[2]), text)
         if not _ANY_DIGIT.search(text):
             return text, made
+        if text.count(":") > 2:
+            text = _IPV6.sub(lambda m: put(m, self.ip6(m[0])), text)
 
         def numbers(part: str) -> str:
             taken = [m.span() for m in _EMAIL.finditer(part)] if "@" in part else []
@@ -241,8 +312,18 @@ def _calendar(y: str, m: str, d: str) -> dt.date | None:
         return None
 
 
-def pseudonymised(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """The documents with the values in ``text`` replaced, and n_values replaced in each."""
+def application_key(spark: SparkSession) -> bytes:
+    """The secret of the setting, else a random one that holds for this application."""
+    said = spark.conf.get(SETTING, None)
+    if said:
+        return said.encode()
+    return _own_keys.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
+def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
+    """The documents with the values in ``text`` replaced, and in n_values how many were."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
     ship(docs.sparkSession)
 
     @F.pandas_udf("text string, n_values int")

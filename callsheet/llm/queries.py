@@ -45,7 +45,7 @@ def op5_quality_rank(spark, sf_dir):
 
 def op6_pii(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymised(docs)
+    return pii.pseudonymised(docs, pii.application_key(spark))
 
 
 def op7_chat_format(spark, sf_dir):

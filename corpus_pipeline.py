@@ -34,7 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal data."""
-    out = pii.pseudonymised(docs.select(*COLUMNS)).select(*COLUMNS)
+    out = pii.pseudonymised(docs.select(*COLUMNS), pii.application_key(spark)).select(*COLUMNS)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
