@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -135,10 +136,86 @@ def test_toxicity_learns_stems_from_few_labels(spark, n):
 
 
 def test_ordinal_fit_orders_thresholds():
-    w, t = toxicity.fit_ordinal([{0: 1.0} if g else {} for g in (0, 0, 0, 1, 2, 3)], np.array([0, 0, 0, 1, 2, 3]), 1)
+    grades = np.array([0, 0, 0, 1, 2, 3])
+    sample = toxicity.unpacked([toxicity.pack(np.arange(g > 0), np.ones(int(g > 0), int)) for g in grades], (grades > 0).astype(int))
+    w, t = toxicity.fit_ordinal(sample, np.ones(6, bool), grades, np.ones(1))
     assert w[0] > 0 and t[0] < t[1] < t[2]
 
 
+def counted_rows(rng, n, features=30):
+    rows = []
+    for i in range(n):
+        at = np.sort(rng.choice(features, rng.integers(0, 9), replace=False)) * 7
+        rows.append((at, rng.choice([1, 2, 3, 254, 255, 256, 2047, 2048, 70_000], len(at))))
+    return rows
+
+
+@pytest.mark.parametrize("block", [1 << 19, 5])
+def test_ordinal_fit_finds_the_lowest_loss(monkeypatch, block):
+    """The loss of the fit, worked out row by row with plain formulas, can't be lowered along any weight or threshold."""
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    rng = np.random.default_rng(4)
+    rows = counted_rows(rng, 60)
+    grades = np.array([min(3, int(x[1].sum() > 300) + int(3 in x[0] // 7) + int(5 in x[0] // 7)) for x in rows])
+    sample = toxicity.unpacked([toxicity.pack(*x) for x in rows], (grades > 0).astype(int))
+    keep = np.arange(60) % 5 != 2
+    scale = rng.random(len(sample.used)) + 0.1
+    w, t = toxicity.fit_ordinal(sample, keep, grades, scale, steps=2000)
+    column = {f: i for i, f in enumerate(sample.used)}
+    toxic = [g > 0 for g, k in zip(grades, keep, strict=True) if k]
+
+    def loss(w, t):
+        total = toxicity.RIDGE / 2 * (w @ w)
+        for (at, count), grade, kept in zip(rows, grades, keep, strict=True):
+            if kept:
+                z = sum(w[column[f]] * scale[column[f]] * (1 + np.log(c)) for f, c in zip(at, count, strict=True))
+                above = [1, *(1 / (1 + np.exp(x - z)) for x in t), 0]
+                total -= 0.5 / (sum(toxic) if grade else len(toxic) - sum(toxic)) * np.log(max(above[grade] - above[grade + 1], 1e-12))
+        return total
+
+    best = loss(w, t)
+    for i in range(len(w)):
+        for d in (-0.02, 0.02):
+            assert loss(w + d * (np.arange(len(w)) == i), t) > best - 1e-5
+    for j in range(3):
+        for d in (-0.02, 0.02):
+            assert loss(w, t + d * (np.arange(3) == j)) > best - 1e-5
+
+
+def test_counts_are_kept_whole():
+    rows = counted_rows(np.random.default_rng(2), 40)
+    sample = toxicity.unpacked([toxicity.pack(*x) for x in rows], np.zeros(40, int))
+    ends = np.cumsum(sample.lens)
+    for (at, count), n, end in zip(rows, sample.lens, ends, strict=True):
+        assert sample.used[sample.col[end - n:end]].tolist() == at.tolist() and sample.count[end - n:end].tolist() == count.tolist()
+    weights = np.random.default_rng(3).random(len(sample.used))
+    plain = [sum(weights[np.searchsorted(sample.used, f)] * (1 + np.log(c)) for f, c in zip(*x, strict=True)) for x in rows]
+    assert np.allclose(sample.scores(weights), plain)
+
+
+def test_one_toxic_row_moves_no_threshold(spark):
+    rng = random.Random(2)
+    docs = table(spark, [prose(rng, 30, 300) + (" vile" * 9 if i == 7 else "") for i in range(60)])
+    labels = spark.createDataFrame([(i, None, int(i == 7)) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    out = toxicity.with_severity(docs, toxicity.train(docs, labels)).where("toxic").collect()
+    assert len(out) <= 1
+
+
+def test_toxicity_memory_follows_blocks(monkeypatch):
+    rng = np.random.default_rng(1)
+    monkeypatch.setattr(toxicity, "BLOCK", 1 << 14)
+    found = [np.unique(rng.integers(0, 20_000, 700)) for _ in range(2000)]
+    rows = [toxicity.pack(at, np.ones(len(at), int)) for at in found]
+    del found
+    tracemalloc.start()
+    model = toxicity.fit(toxicity.unpacked(rows, (np.arange(2000) % 9 == 0).astype(int)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.weights) == toxicity.PLACES
+    # five bytes a feature, the model and its place table, and what the fit keeps for each used feature
+    assert peak < 5 * 2000 * 700 + 3 * 4 * toxicity.PLACES + 8 * 30 * 20_000 + 10_000_000
+
+
 def test_topk_is_exact(spark):
     rng = np.random.default_rng(0)
     vectors = rng.normal(0, 0.2, (400, 16))
@@ -211,6 +288,41 @@ def test_quality_rank_held_out(spark):
     assert quality_rank.scored(docs, quality_rank.train(docs, labels.limit(0))).first()["score"] == 0.5
 
 
+def test_quality_scores_do_not_depend_on_partitions(spark):
+    rng = random.Random(12)
+    docs = table(spark, [prose(rng, rng.randrange(5, 90)) + "### |" * rng.randrange(6) for _ in range(300)])
+    labels = spark.createDataFrame([(i, int(rng.random() < 0.7), 0) for i in range(300)], "doc_id bigint, quality int, toxic int")
+    found = []
+    for width in (1, 5, 13):
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        try:
+            model = quality_rank.train(docs.repartition(width, F.rand(width)), labels.repartition(width))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+        found.append({r["doc_id"]: (r["score"], r["predicted"]) for r in quality_rank.scored(docs, model).collect()})
+    assert found[0] == found[1] == found[2]
+
+
+def test_quality_pairs_have_a_low_loss():
+    """The logistic loss over all pairs of a good and a bad row, pair by pair, against small moves of every weight."""
+    rng = np.random.default_rng(7)
+    x = rng.random((80, 3))
+    good = x[:, 0] + 0.3 * rng.random(80) > 0.6
+    model = quality_rank.fit_ranking(x, good, rounds=3000)
+    s = model.steps(x).astype(float)
+
+    def loss(w):
+        z = s @ w
+        return np.mean([np.log1p(np.exp(z[b] - z[a])) for a in np.flatnonzero(good) for b in np.flatnonzero(~good)])
+
+    flat = loss(np.zeros_like(model.weights))
+    assert loss(model.weights) < 0.4 * flat
+    # pairs are drawn, so the fit is near the lowest loss over all of them, not at it
+    for i in range(len(model.weights)):
+        for d in (-0.5, 0.5):
+            assert loss(model.weights + d * (np.arange(len(model.weights)) == i)) > loss(model.weights) - 0.02 * flat
+
+
 def test_repeated_ids_train_once(spark, monkeypatch):
     rng = random.Random(9)
     rows = [(i, prose(rng, 30, 300) + (" vile ### |" if i % 4 == 0 else ".")) for i in range(80)]
@@ -249,8 +361,112 @@ def test_feistel_is_a_permutation():
     assert len({p.iso(d) for d in days}) == 500
 
 
+def test_no_value_is_its_own_pseudonym():
+    f = pii.Feistel(b"k")
+    for n in (2, 3, 10, 97, 1000):
+        assert all(f.permute(x, n, "t") != x for x in range(n))
+        odd = {x: f.permute(x, n, "t", lambda y: y % 2 == 1 or n < 4) for x in range(n) if x % 2 == 1 or n < 4}
+        assert sorted(odd.values()) == sorted(odd) and (len(odd) < 2 or all(a != b for a, b in odd.items()))
+    p = pii.Pseudonyms(b"k")
+    for c in "abcdefghijklmnopqrstuvwxyz0123456789жя":
+        text, n = p.replace(f"{c}@example.com")
+        assert n == 1 and text != f"{c}@example.com" and text.endswith("@example.com")
+
+
+def test_names_of_all_scripts_are_replaced():
+    p = pii.Pseudonyms(b"k")
+    names = ["田中", "иван", "ivan.петров", "josé.núñez", "ÅSA", "straße", "Ελένη", "שלום", "x_1+tag", "José"]
+    for name in names:
+        for domain in ("example.jp", "пример.com", "bücher.example.org"):
+            out, n = p.replace(f"to {name}@{domain}, please")
+            got = out.removeprefix("to ").removesuffix(f"@{domain}, please")
+            assert n == 1 and len(got) == len(name) and p.replace(f"{got}@{domain}")[1] == 1
+            assert all(a.isalpha() == b.isalpha() and a.isupper() == b.isupper() for a, b in zip(name, got, strict=True))
+            assert all(part not in out for part in name.replace("+", ".").replace("_", ".").split(".") if len(part) > 2 and part != "tag")
+    # equal but for case: one pseudonym, the case put back
+    low, mixed = (p.replace(f"{x}@a.com")[0] for x in ("jo.émile", "Jo.ÉMILE"))
+    assert low != mixed and low == mixed.lower()
+    assert len({p.email(f"ab{c}") for c in "abcdefghij"}) == 10
+
+
+def test_short_dates_and_long_addresses():
+    p = pii.Pseudonyms(b"k")
+    out, n = p.replace("2003/2/1 2003/02/01 2003-02-01 12:30:45 std::vector a::b 2001:db8:0:0:1:0:0:1 2001:0db8:0::1:0:0:1 fe80::1")
+    short, padded, dashed, *rest = out.split()
+    year, month, day = map(int, short.split("/"))
+    assert n == 5 and (year, month, day) != (2003, 2, 1)
+    assert padded == f"{year:04d}/{month:02d}/{day:02d}" and dashed == padded.replace("/", "-")
+    assert rest[:3] == ["12:30:45", "std::vector", "a::b"] and rest[3] == rest[4] != "2001:0db8:0000:0000:0001:0000:0000:0001"
+    assert rest[5] == "fe80::1"  # too short to tell from other text
+
+
+def plain_finder(text):
+    """Personal data by other means: every stretch between blanks, judged as a whole."""
+    found = set()
+    for part in text.split():
+        part = part.strip(",;()")
+        name, at, domain = part.rpartition("@")
+        if at and name and "." in domain and all(x.isalnum() for x in domain.replace("-", "").split(".")):
+            found.add(part)
+        if part.isdigit() and 13 <= len(part) <= 19:
+            doubled = sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(part)))
+            if doubled % 10 == 0 and len(set(part)) > 1:
+                found.add(part)
+        try:
+            if 1900 <= dt.date.fromisoformat(part).year <= 2099 and part[4] == "-" and len(part) == 10:
+                found.add(part)
+        except ValueError:
+            pass
+        four = part.split(".")
+        if len(four) == 4 and all(x.isdigit() and int(x) < 256 and x == str(int(x)) for x in four):
+            found.add(part)
+    return found
+
+
+def test_no_planted_value_survives_in_long_texts():
+    rng = random.Random(4)
+    p, planted = pii.Pseudonyms(b"k"), []
+    words = []
+    for _ in range(60_000):
+        kind = rng.randrange(40)
+        if kind == 0:
+            body = "".join(rng.choice("0123456789") for _ in range(rng.randrange(12, 18)))
+            words.append(body + pii.luhn_digit(body))
+        elif kind == 1:
+            words.append((dt.date(1950, 1, 1) + dt.timedelta(rng.randrange(40_000))).isoformat())
+        elif kind == 2:
+            words.append(".".join(str(rng.randrange(256)) for _ in range(4)))
+        elif kind == 3:
+            words.append("".join(rng.choice("abcdéжя中A") for _ in range(rng.randrange(1, 9))) + "@mail.example.com")
+        else:
+            words.append(rng.choice(("plain", "word,", "3.14", "x9", "201", "(see)", "a:b", "10:30")))
+    text = " ".join(words)
+    planted = plain_finder(text)
+    out, n = p.replace(text)
+    after = out.split(" ")
+    assert len(planted) > 4000 and len(after) == len(words)
+    changed = [(a, b) for a, b in zip(words, after, strict=True) if a != b]
+    assert n == len(changed) and {a.strip(",;()") for a, _ in changed} == planted
+    links = {}
+    assert all(links.setdefault(a, b) == b for a, b in changed)
+
+
+def test_pseudonyms_need_a_key(spark):
+    docs = table(spark, ["4111111111111111"])
+    with pytest.raises(ValueError, match="key"):
+        pii.pseudonymised(docs, b"")
+    own = pii.application_key(spark)
+    assert own == pii.application_key(spark) and len(own) == 32
+    spark.conf.set(pii.SETTING, "said")
+    try:
+        assert pii.application_key(spark) == b"said"
+    finally:
+        spark.conf.unset(pii.SETTING)
+
+
 def test_pii_table(spark):
-    rows = pii.pseudonymised(table(spark, ["4111111111111111", "x 4111111111111111", None, ""])).orderBy("doc_id").collect()
+    rows = pii.pseudonymised(table(spark, ["4111111111111111", "x 4111111111111111", None, ""]).withColumn("n_values", F.lit("old")), b"k") \
+        .orderBy("doc_id").collect()
     assert rows[1]["text"] == "x " + rows[0]["text"] and rows[2]["text"] is None and [r["n_values"] for r in rows] == [1, 1, 0, 0]
 
 
