@@ -12,6 +12,8 @@ from ..session import checkpoint_dir
 
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 # the contract's word: everything between the six ASCII blanks
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -31,6 +33,13 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, env.get("PYTHONPATH", "")) if x)
 
 
+def cut_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of few bytes, where the session names no size: what executors hold beside
+    their heap stays small."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
+
+
 class Scratch:
     """Intermediate tables of one operator call, written below ``spark.checkpoint.dir``.
 

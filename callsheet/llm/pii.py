@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import cut_batches, ship
 
 ROUNDS = 8
 SETTING = "spark.callsheet.pii.secret"  # a name that Spark hides in its listings
@@ -325,6 +325,7 @@ def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
     if not key:
         raise ValueError("pseudonyms need a key")
     ship(docs.sparkSession)
+    cut_batches(docs.sparkSession)
 
     @F.pandas_udf("text string, n_values int")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

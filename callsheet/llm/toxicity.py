@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, one_text_each, ship
+from .common import cut_batches, documents, one_text_each, ship
 from .shingles import U, mix
 
 MAX_TRAINING = 8000
@@ -277,6 +277,7 @@ def best_cut(z: np.ndarray, toxic: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING) -> OrdinalModel:
     """The model from a bounded sample of labelled rows."""
     ship(docs.sparkSession)
+    cut_batches(docs.sparkSession)
     sample = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_training)
