@@ -24,13 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents
+from .common import Scratch, cut_batches, documents
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 32_768  # pieces that one group is planned to hold
-CACHED_WORDS = 300_000  # words in a generation of a worker's memory; there are two
-CACHED_PARTS = 100_000  # letters without their punctuation, likewise
+CACHED_WORDS = 600_000  # words and their parts in a generation of a worker's memory; there are two
 
 _CLOSERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _workers: dict[str, "WordTokenizer"] = {}
@@ -54,8 +53,6 @@ class WordTokenizer:
         self.model = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {"": b""}
         self.old_words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.old_parts: dict[str, bytes] = {}
 
     @staticmethod
     def split(word: str) -> tuple[str, str]:
@@ -66,25 +63,24 @@ class WordTokenizer:
         return (core.lower() if core.isascii() else core), word[len(core):]
 
     def learn(self, new: list[str]) -> None:
-        """Adds words to the young generation; their parts are encoded in one batch."""
+        """Adds words to the young generation; their parts are encoded in one batch.
+
+        A part is a word that is its own part, so both are kept in one place.
+        """
         if len(self.words) + len(new) > CACHED_WORDS:
             self.words, self.old_words = {"": b""}, self.words
-        if len(self.parts) > CACHED_PARTS:
-            self.parts, self.old_parts = {}, self.parts
-        known, parts = self.old_words, self.parts
+        known, words = self.old_words, self.words
         split = {w: self.split(w) for w in new if w not in known}
-        unknown = set()
-        for p in {p for s in split.values() for p in s if p}.difference(parts):
-            if (ids := self.old_parts.get(p)) is None:
-                unknown.add(p)
+        unknown = []
+        for p in {p for s in split.values() for p in s}.difference(words):
+            if (ids := known.get(p)) is None:
+                unknown.append(p)
             else:
-                parts[p] = ids
-        unknown = list(unknown)
+                words[p] = ids
         for p, e in zip(unknown, self.model.encode_batch(unknown, add_special_tokens=False) if unknown else (), strict=True):
-            parts[p] = array("I", e.ids).tobytes()
-        parts[""] = b""
+            words[p] = array("I", e.ids).tobytes()
         for w in new:
-            self.words[w] = parts[split[w][0]] + parts[split[w][1]] if w in split else known[w]
+            words[w] = words[split[w][0]] + words[split[w][1]] if w in split else known[w]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
@@ -110,6 +106,7 @@ def _tokenizer(path: str) -> WordTokenizer:
 def token_pieces(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = SEQUENCE_TOKENS,
                  end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every document, with its ids if asked for."""
+    cut_batches(docs.sparkSession)
     end, step = np.array([end_id], "<u4").tobytes(), 4 * sequence_tokens
 
     def run(batches):
