@@ -11,18 +11,23 @@ bound of the k-th is resolved by its exact integer product; ties go to the
 smaller id. The result is exact for any data; only the number of rows resolved
 depends on it.
 
-Queries are a stated set; query blocks meet candidate blocks by an explode and
-a join, each meeting keeps k rows, and a ranked window keeps k of all.
+Queries are a stated set. Blocks of candidates meet blocks of queries, each
+meeting in one task that builds its index once and answers all its queries. So
+a row is shuffled once per BLOCK_QUERIES queries and a query once per
+BLOCK_ROWS rows. Each meeting keeps k rows and a ranked window keeps k of all.
 
 Defined results: vectors that are null, empty or hold null or non-finite
 components, and rows without an id, take no part; a row with the query's id
 is its own; of queries with the same id the smallest vector asks; vectors of
-other lengths than the query's score over the components both have; an
+other lengths than the query's score over the components both have; integer
+components and scores beyond the range of a long count as its nearest end; an
 empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +39,10 @@ from .common import ship
 SCALE = 256
 SLICES = 6  # bits of an attribute
 WEIGHT_BITS = 5  # bits of a query weight
-BLOCK_ROWS = 65_536
-BLOCK_QUERIES = 64
+BLOCK_ROWS = 16_384
+BLOCK_QUERIES = 16_384
+MOST_PARTS = 20_000
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 U = np.uint64
 
@@ -130,14 +137,34 @@ def _added(columns: list[list[np.ndarray]], words: int) -> list[np.ndarray]:
     return out
 
 
+def _beyond(x: np.ndarray, limit: int) -> np.ndarray:
+    return (x > limit) | (x < -limit)
+
+
 def block_top(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """(query_id, vec_id, score) of each query's k best in the block."""
-    index = BitSlices(vectors)
+    """(query_id, vec_id, score) of each query's k best in the block.
+
+    Products of components up to ``limit`` fit a long. Rows with larger ones stay out of the index and are resolved
+    for every query, in unbounded integers; a query with larger ones resolves all rows so.
+    """
+    limit = math.isqrt((1 << 62) // max(1, vectors.shape[1]))
+    large = _beyond(vectors, limit).any(1)
+    indexed, others = np.flatnonzero(~large), np.flatnonzero(large)
+    index = BitSlices(vectors[indexed]) if len(indexed) else None
     for qid, q in zip(query_ids, queries, strict=True):
-        rows = index.top(q, k + int((ids == qid).sum()))
+        if _beyond(q, limit).any():
+            rows, fits = np.arange(len(ids)), False
+        else:
+            found = indexed[index.top(q, k + int((ids[indexed] == qid).sum()))] if index else indexed
+            rows, fits = np.concatenate([found, others]), not len(others)
         rows = rows[ids[rows] != qid]
-        scores = vectors[rows] @ q
-        best = np.lexsort((ids[rows], -scores))[:k]
+        if fits:
+            scores = vectors[rows] @ q
+        else:
+            exact = (sum(int(x) * int(y) for x, y in zip(vectors[i], q, strict=True)) for i in rows)
+            scores = np.array([min(max(s, LEAST), MOST) for s in exact], np.int64)
+        best = sorted(range(len(rows)), key=lambda i: (-int(scores[i]), ids[rows[i]]))[:k] if not fits \
+            else np.lexsort((ids[rows], -scores))[:k]
         yield from ((int(qid), int(ids[rows[i]]), int(scores[i])) for i in best)
 
 
@@ -149,18 +176,14 @@ def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
         .select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * scale)).alias("v"))
 
 
-def _blocked(key: str):
-    def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("vec_id").to_numpy(), kind="stable")
-        ids = table.column("vec_id").to_numpy()[order]
-        v = table.column("v").combine_chunks()
-        wide = max(v.value_lengths().to_pylist())
-        flat, lengths = v.flatten().to_numpy(), v.value_lengths().to_numpy()
-        full = np.zeros((len(ids), wide), np.int64)
-        full[np.arange(wide)[None, :] < lengths[:, None]] = flat
-        return pa.table({key: pa.array([table.column(key)[0].as_py()], pa.int64()), "ids": pa.array([ids.tobytes()], pa.binary()),
-                         "vectors": pa.array([full[order].tobytes()], pa.binary())})
-    return run
+def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a group's rows, short vectors filled with zeros."""
+    v = table.column("v").combine_chunks()
+    lengths = v.value_lengths().to_numpy(zero_copy_only=False)
+    wide = int(lengths.max(initial=0))
+    full = np.zeros((len(lengths), wide), np.int64)
+    full[np.arange(wide)[None, :] < lengths[:, None]] = v.flatten().to_numpy()
+    return table.column("vec_id").to_numpy(), full
 
 
 def _dealt(rows: DataFrame, blocks: int) -> DataFrame:
@@ -175,25 +198,26 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, scale: int = SCALE) -> Dat
     asked = whole.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     rows, asks = whole.count(), asked.count()
     blocks, sets = max(1, -(-rows // BLOCK_ROWS)), max(1, -(-asks // BLOCK_QUERIES))
-    candidates = _dealt(whole, blocks).groupBy("c").applyInArrow(_blocked("c"), "c bigint, ids binary, vectors binary")
-    queries = asked.withColumn("q", F.pmod(F.xxhash64("vec_id"), F.lit(sets))).groupBy("q") \
-        .applyInArrow(_blocked("q"), "q bigint, ids binary, vectors binary") \
-        .select("q", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    meetings = candidates.withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(sets - 1).cast("bigint")))) \
-        .join(queries, "q").select("ids", "vectors", "q_ids", "q_vectors")
-
-    def run(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                ids, q_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
-                v = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), -1)
-                q = np.frombuffer(row["q_vectors"], np.int64).reshape(len(q_ids), -1)
-                d = min(v.shape[1], q.shape[1])
-                found = list(block_top(ids, np.ascontiguousarray(v[:, :d]), q_ids, q[:, :d], k))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[i] for x in found], pa.int64()) for i in range(3)], ["query_id", "vec_id", "score"])
-
-    found = meetings.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    parts = min(4 * blocks * sets, MOST_PARTS)
+
+    def each(n):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+    def side(dealt: DataFrame):
+        met = dealt.select((F.col("c") * sets + F.col("q")).alias("meeting"), "vec_id", "v")
+        return met.repartition(parts, "meeting").groupBy("meeting")
+
+    def meet(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        found: list = []
+        if rows.num_rows and queries.num_rows:
+            (ids, v), (q_ids, q) = _matrix(rows), _matrix(queries)
+            d = min(v.shape[1], q.shape[1])
+            found = list(block_top(ids, np.ascontiguousarray(v[:, :d]), q_ids, q[:, :d], k))
+        return pa.table({n: pa.array([x[i] for x in found], pa.int64()) for i, n in enumerate(("query_id", "vec_id", "score"))})
+
+    candidates = side(_dealt(whole, blocks).withColumn("q", each(sets)))
+    queries = side(asked.withColumn("q", F.pmod(F.xxhash64("vec_id"), F.lit(sets))).withColumn("c", each(blocks)))
+    found = candidates.cogroup(queries).applyInArrow(meet, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

@@ -1,6 +1,7 @@
 """Each operator against brute force, and on nulls, empty tables, ties, repeats and clashing columns."""
 
 import datetime as dt
+import math
 import random
 import tracemalloc
 import zlib
@@ -241,11 +242,34 @@ def test_topk_deals_repeated_rows_to_all_blocks(spark, monkeypatch):
     want = sorted(map(tuple, topk.nearest(df, ask).collect()))
     monkeypatch.setattr(topk, "BLOCK_ROWS", 100)
     assert sorted(map(tuple, topk.nearest(df, ask).collect())) == want
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 1)
+    assert sorted(map(tuple, topk.nearest(df, ask).collect())) == want
     ints = [(1, 128, 64)] * 600 + [(i, int(i / 400 * 256), 25) for i in range(2, 302)]
     best = sorted((-(x * ints[648][1] + y * 25), i) for i, x, y in ints if i != 50)[:5]
     assert [(r[2], r[3]) for r in want if r[0] == 50] == [(i, -score) for score, i in best]
 
 
+def test_topk_defines_large_and_odd_vectors(spark):
+    vectors = {0: [3e17, 1.0], 1: [2e16, 1.0], 2: [-2e16, 0.5], 3: [0.25, 0.5, 9.0], 4: [0.5], 5: [1e6, -1e6], 6: [], 7: [0.5, None],
+               8: [float("inf"), 0.0], 50: [0.5, 0.25]}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<double>")
+    end = 2**63 - 1
+    ints = {i: [max(-end - 1, min(end, math.floor(x * 256))) for x in v] for i, v in vectors.items() if i < 6 or i == 50}
+    want = []
+    for q in (0, 50):
+        scores = {i: max(-end - 1, min(end, sum(x * y for x, y in zip(v, ints[q])))) for i, v in ints.items() if i != q}
+        want += [(q, r + 1, i, scores[i]) for r, i in enumerate(sorted(scores, key=lambda i: (-scores[i], i))[:5])]
+    assert sorted(map(tuple, topk.nearest(df, F.col("vec_id") % 50 == 0).collect())) == sorted(want)
+
+
+def test_topk_moves_the_table_once(spark):
+    df = spark.createDataFrame([(i, [i / 400, 0.1]) for i in range(300)], "vec_id bigint, embedding array<double>")
+    plan = topk.nearest(df, F.col("vec_id") % 50 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("FlatMapCoGroupsInArrow") == 1
+    # rows to their meetings, queries by id and to their meetings, found rows by query
+    assert plan.count("Exchange") <= 4
+
+
 def test_sentencepiece_matches_the_model(spark):
     import sentencepiece
 
