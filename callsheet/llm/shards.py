@@ -10,7 +10,8 @@ shards x BINS rows. DataFrame functions only.
 A dimension's value is scaled to 20 bits; 40 bits that break ties follow,
 first from the text's checksum, then from the row, so that any two rows can
 be parted (a hot source or a large group of copies does not unbalance the
-shards) while equal texts stay neighbours.
+shards). Equal texts of equal metadata are neighbours in that order; a cut may
+still part them, and equal texts of other metadata lie anywhere.
 
 Defined results: null text has size OVERHEAD and checksum 0; null metadata
 counts as the lowest value; repeated rows are rows of their own; an empty
