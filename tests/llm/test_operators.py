@@ -591,7 +591,7 @@ def test_queries_match_sql(spark):
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations", "labels"):
+    for t in ("documents", "embeddings", "conversations", "labels", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     for name, sql in ORACLE.items():
         df = QUERIES[name](spark, sf)
