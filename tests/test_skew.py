@@ -1,13 +1,15 @@
 """A third of all rows on one key: the plans stay distributed and exact."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from callsheet.operators.segments import segment
 from callsheet.operators.staging import stage
 from callsheet.plans import marts
+from callsheet.plans.catalog import QUERIES
 from callsheet.sources.star import contacts_from_star, read_table
-from tests.conftest import SF_MID
+from tests.conftest import SF_MID, SF_SMALL
 
 
 def _skewed_contacts(spark):
@@ -84,6 +86,31 @@ def test_streams_split_or_broadcast_without_aqe(spark, monkeypatch):
     assert salted.exceptAll(plain).count() == 0 and salted.count() == plain.count()
 
 
+def test_a_streams_copies_are_merged_whatever_their_estimate(spark, monkeypatch):
+    """The files of the dimension fit a broadcast by their size; the copies made of them need not."""
+    from callsheet.operators import joins
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    orders = spark.createDataFrame([(n, n % 3) for n in range(40)] + [(40, None), (41, 99)], "o_orderkey long, o_custkey long")
+    cust = spark.range(20).selectExpr("id AS c_custkey", "id + 7 AS nk")
+    salted = joins._streamed(orders, cust, "o_custkey", "c_custkey")
+    plan = spark._jvm.PythonSQLUtils.explainString(salted._jdf.queryExecution(), "formatted")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(map(tuple, salted.collect())) == [(n, n % 3, n % 3, n % 3 + 7) for n in range(40)]
+
+
+@pytest.mark.parametrize("name", ["stream_dq"])
+def test_streams_with_many_customers_broadcast_nothing(spark, monkeypatch, name):
+    from callsheet.operators import joins
+    rows = lambda: sorted(map(tuple, QUERIES[name](spark, SF_SMALL).collect()), key=repr)
+    usual = rows()
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1k")  # a larger one is an error
+    try:
+        assert usual and rows() == usual
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
 def test_unique_customers_counts_real_keys(spark):
     from callsheet.plans import kpis
     df = spark.createDataFrame([("a", "yes"), ("a", "yes"), ("b", "yes"), ("c", "no")], "customer_id string, subscribed string")
