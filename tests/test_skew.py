@@ -98,7 +98,7 @@ def test_a_streams_copies_are_merged_whatever_their_estimate(spark, monkeypatch)
     assert sorted(map(tuple, salted.collect())) == [(n, n % 3, n % 3, n % 3 + 7) for n in range(40)]
 
 
-@pytest.mark.parametrize("name", ["stream_dq", "stream_gate", "stream_gated_kpis"])
+@pytest.mark.parametrize("name", ["stream_dq", "stream_gate", "stream_gated_kpis", "stream_kpi_daily"])
 def test_streams_with_many_customers_broadcast_nothing(spark, monkeypatch, name):
     from callsheet.operators import joins
     rows = lambda: sorted(map(tuple, QUERIES[name](spark, SF_SMALL).collect()), key=repr)
