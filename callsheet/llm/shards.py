@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -80,10 +81,14 @@ def keyed(rows: DataFrame) -> DataFrame:
 
 
 def _state(rows: DataFrame, nodes: list[Node], *columns: str) -> DataFrame:
-    """The nodes' state as a table; there are fewer nodes than shards, so it can be broadcast."""
-    table = rows.sparkSession.createDataFrame(
-        [(n.first, n.dim, n.lo, n.hi, -(-(n.hi - n.lo + 1) // BINS), n.cut, n.count // 2) for n in nodes],
-        "node int, dim int, lo bigint, hi bigint, width bigint, cut bigint, half int")
+    """The nodes' state as a table; there are fewer nodes than shards, so it can be broadcast.
+
+    From Arrow it is a local relation; from a list of rows, executors would run Python to read it.
+    """
+    state = pa.Table.from_pylist([
+        {"node": n.first, "dim": n.dim, "lo": n.lo, "hi": n.hi, "width": -(-(n.hi - n.lo + 1) // BINS), "cut": n.cut,
+         "half": n.count // 2} for n in nodes])
+    table = rows.sparkSession.createDataFrame(state, "node int, dim int, lo bigint, hi bigint, width bigint, cut bigint, half int")
     return F.broadcast(table.select("node", "dim", *columns))
 
 
