@@ -17,3 +17,11 @@ def spark():
     checkpoint_dir(s)  # only sets a scratch folder when the session has none
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_views_of_other_modules(spark):
+    """The catalog lists temp views beside the tables of any namespace."""
+    for t in spark.catalog.listTables():
+        if t.isTemporary:
+            spark.catalog.dropTempView(t.name)
