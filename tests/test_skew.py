@@ -111,6 +111,25 @@ def test_streams_with_many_customers_broadcast_nothing(spark, monkeypatch, name)
         spark.conf.unset("spark.sql.maxBroadcastTableSize")
 
 
+@pytest.mark.parametrize("name", ["stream_gate"])
+def test_streams_with_many_customers_copy_none(spark, monkeypatch, name):
+    """Each batch is joined as a plain frame: a stream's join would repeat a large dimension once per salt."""
+    from callsheet.operators import joins
+    rows = lambda: sorted(map(tuple, QUERIES[name](spark, SF_SMALL).collect()), key=repr)
+    usual, joined, real = rows(), [], joins.skew_safe_join
+
+    def join(fact, dim, *more, **named):
+        joined.append((fact.isStreaming, real(fact, dim, *more, **named)))
+        return joined[-1][1]
+
+    monkeypatch.setattr("callsheet.sources.star.skew_safe_join", join)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    assert rows() == usual and joined
+    for streaming, frame in joined:
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert not streaming and "_salt" not in plan and "strategy=merge" in plan
+
+
 def test_unique_customers_counts_real_keys(spark):
     from callsheet.plans import kpis
     df = spark.createDataFrame([("a", "yes"), ("a", "yes"), ("b", "yes"), ("c", "no")], "customer_id string, subscribed string")
