@@ -111,7 +111,7 @@ def test_streams_with_many_customers_broadcast_nothing(spark, monkeypatch, name)
         spark.conf.unset("spark.sql.maxBroadcastTableSize")
 
 
-@pytest.mark.parametrize("name", ["stream_gate", "stream_gated_kpis"])
+@pytest.mark.parametrize("name", ["stream_gate", "stream_gated_kpis", "stream_kpi_daily"])
 def test_streams_with_many_customers_copy_none(spark, monkeypatch, name):
     """Each batch is joined as a plain frame: a stream's join would repeat a large dimension once per salt."""
     from callsheet.operators import joins
