@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, cut_batches, documents
+from .common import Scratch, cut_batches, documents, kept_by
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
@@ -32,7 +32,6 @@ GROUP_PIECES = 32_768  # pieces that one group is planned to hold
 CACHED_WORDS = 600_000  # words and their parts in a generation of a worker's memory; there are two
 
 _CLOSERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_workers: dict[str, "WordTokenizer"] = {}
 
 
 class WordTokenizer:
@@ -98,9 +97,10 @@ class WordTokenizer:
 
 
 def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _workers:
-        _workers[path] = WordTokenizer(path)
-    return _workers[path]
+    models = kept_by("packing")
+    if path not in models:
+        models[path] = WordTokenizer(path)
+    return models[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = SEQUENCE_TOKENS,

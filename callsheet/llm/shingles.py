@@ -13,6 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .common import kept_by
+
 SIZE = 5
 PIECE_BYTES = 1 << 18  # bytes hashed at once; a longer text is hashed alone, in full
 
@@ -41,18 +43,18 @@ _TABLE = _bytes_table()
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _PLACES = [int(mix(np.array([i + 1], U))[0]) | 1 for i in range(SIZE)]
-_powers: dict = {}
 
 
 def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if n > _powers.get("n", 0):
+    powers = kept_by("shingles")
+    if n > powers.get("n", 0):
         with np.errstate(over="ignore"):
             for k, base in (("up", _BASE), ("down", _BASE_INVERSE)):
                 p = np.full(n, U(base))
                 p[0] = 1
-                _powers[k] = np.multiply.accumulate(p)
-        _powers["n"] = n
-    return _powers["up"], _powers["down"]
+                powers[k] = np.multiply.accumulate(p)
+        powers["n"] = n
+    return powers["up"], powers["down"]
 
 
 def _hashed(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_batches, documents, one_text_each, ship
+from .common import cut_batches, documents, kept_by, one_text_each, ship
 from .shingles import U, mix
 
 MAX_TRAINING = 8000
@@ -52,13 +52,13 @@ RIDGE = 0.1
 FOLDS = 5
 
 _LETTER_PLACES = [int(mix(np.array([i + 11], U))[0]) | 1 for i in range(max(STEMS))]
-_tables: dict[str, np.ndarray] = {}
 
 
 def _is_letter(codes: np.ndarray) -> np.ndarray:
-    if "letters" not in _tables:
-        _tables["letters"] = np.array([chr(c).isalpha() for c in range(0x110000)])
-    return _tables["letters"][codes]
+    tables = kept_by("toxicity")
+    if "letters" not in tables:
+        tables["letters"] = np.array([chr(c).isalpha() for c in range(0x110000)])
+    return tables["letters"][codes]
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:

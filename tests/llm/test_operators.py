@@ -1,12 +1,15 @@
 """Each operator against brute force, and on nulls, empty tables, ties, repeats and clashing columns."""
 
 import datetime as dt
+import gc
 import math
 import random
 import tracemalloc
+import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -558,6 +561,23 @@ def test_bad_host_loses_all_its_documents(spark):
     assert kept == set(range(60))
 
 
+@pytest.mark.parametrize("later", ["shingles", "toxicity"])
+def test_a_reused_worker_drops_what_packing_kept(later):
+    """The words that packing remembers don't stay beside the next stage's memory; within the stage they do."""
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = ["one two three four five six", "one more"]
+    before = [packing._tokenizer(path).encode(t) for t in texts]
+    kept = weakref.ref(packing._tokenizer(path))
+    assert kept() is packing._tokenizer(path)
+    if later == "shingles":
+        assert [len(s) for s in shingles.shingle_sets(pa.array(texts))] == [2, 1]
+    else:
+        assert len(toxicity.features(texts[0])[0])
+    gc.collect()
+    assert kept() is None
+    assert [packing._tokenizer(path).encode(t) for t in texts] == before
+
+
 def test_packing_is_whole_and_tight(spark):
     from tokenizers import Tokenizer
 
