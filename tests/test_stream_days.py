@@ -103,6 +103,28 @@ def test_longer_delay_keeps_days_open(spark):
     assert [(r.id, r.late_reason) for r in rows] == [(52, "no time")]
 
 
+def test_ledger_rows_start_no_python_on_executors(spark, monkeypatch):
+    """The row of a batch is an aggregate of its days: local rows would start a Python worker on the executors for each batch."""
+    path = scratch_path(spark, "ledger_row")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    batches = [events(spark, b) for b in BATCHES[:4]] + [events(spark, [(70, day(9).replace(microsecond=5))])]
+
+    def local_rows(*_, **__):
+        raise AssertionError("rows of the driver")
+
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        with monkeypatch.context() as m:
+            m.setattr(type(spark), "createDataFrame", local_rows)
+            for n, batch in enumerate(batches):
+                ledger.take_batch(batch, n, path, "ts", F.col("ok"), F.col("value"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    rows = [tuple(r) for r in ledger.ledger(spark, path).orderBy("batch_id").drop("batch_id").collect()]
+    assert rows == [(20, 0, day(2), day(1).date(), 2, 1), (24, 0, day(4), day(3).date(), 2, 2), (5, 3, day(9), day(8).date(), 1, 2),
+                    (0, 0, day(9), day(8).date(), 1, 0), (1, 0, day(9).replace(microsecond=5), day(8).date(), 1, 0)]
+
+
 def test_stream_goes_on_from_its_checkpoint(spark):
     path = scratch_path(spark, "test_ledger_stream")
     table = read_table(spark, SF_SMALL, "events")
