@@ -15,12 +15,15 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
 from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,18 +32,32 @@ from .common import Scratch, cut_batches, documents, kept_by
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 32_768  # pieces that one group is planned to hold
-CACHED_WORDS = 600_000  # words and their parts in a generation of a worker's memory; there are two
+CACHED_PARTS = 250_000  # parts of words in a generation of a worker's memory; there are two
+ENCODED_PARTS = 512  # parts given to the tokenizer at once
 
 _CLOSERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# letters that lower-case one by one and that NFC leaves as they are
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[{_LETTERS}]+")
+_WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _gathered(values: np.ndarray, begin: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slices ``which`` of ``values`` in a row, and where each of them begins there (and the last one ends)."""
+    lengths = np.diff(begin)[which]
+    at = np.zeros(len(which) + 1, np.int64)
+    np.cumsum(lengths, out=at[1:])
+    return values[np.repeat(begin[which] - at[:-1], lengths) + np.arange(at[-1])], at
 
 
 class WordTokenizer:
-    """Ids of whole texts by ``tokenizers``, remembering the ids of each word.
+    """Ids of whole texts by ``tokenizers``, remembering the ids of parts of words.
 
     The tokenizer's rules never join characters across an ASCII blank, and
     letters never join with a run of ASCII punctuation behind them, so a
-    text's ids are its words' ids in a row. Only words not met before are
-    given to the tokenizer, in one batch.
+    text's ids are its words' ids in a row, and a word's those of its letters
+    and of the punctuation. Texts come in batches: each different word of a batch is
+    cut once, and only parts not met before are given to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -50,50 +67,73 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {"": b""}
-        self.old_words: dict[str, bytes] = {}
+        self.letters = self._of_letters(path) or self.model
+        self.parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     @staticmethod
-    def split(word: str) -> tuple[str, str]:
-        """The word's letters and the ASCII punctuation behind them, or the whole word."""
-        core = word.rstrip(_CLOSERS)
-        if not core.isalpha():
-            return word, ""
-        return (core.lower() if core.isascii() else core), word[len(core):]
-
-    def learn(self, new: list[str]) -> None:
-        """Adds words to the young generation; their parts are encoded in one batch.
-
-        A part is a word that is its own part, so both are kept in one place.
-        """
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words, self.old_words = {"": b""}, self.words
-        known, words = self.old_words, self.words
-        split = {w: self.split(w) for w in new if w not in known}
-        unknown = []
-        for p in {p for s in split.values() for p in s}.difference(words):
-            if (ids := known.get(p)) is None:
-                unknown.append(p)
-            else:
-                words[p] = ids
-        for p, e in zip(unknown, self.model.encode_batch(unknown, add_special_tokens=False) if unknown else (), strict=True):
-            words[p] = array("I", e.ids).tobytes()
-        for w in new:
-            words[w] = words[split[w][0]] + words[split[w][1]] if w in split else known[w]
+    def _of_letters(path: str):
+        """The tokenizer without the steps that leave a word of lower-case Latin letters as it is, if it has just these."""
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [(spec[k] or {}).get(n, []) for k, n in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if [[x["type"] for x in s] for s in steps] != [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] \
+                or steps[0][1]["pattern"] != {"Regex": r"\s+"} or steps[1][0]["pattern"] != {"Regex": _WORD_SPLIT} \
+                or steps[1][1]["add_prefix_space"]:
+            return None
+        return Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": steps[1][1]}))
+
+    def ids_of(self, parts: list[str]) -> list[bytes]:
+        """The ids of different parts; those not met before are encoded and added to the young generation."""
+        if len(self.parts) + len(parts) > CACHED_PARTS:
+            self.parts, self.old_parts = {"": b""}, self.parts
+        known, old = self.parts, self.old_parts
+        new: dict[bool, list[str]] = {True: [], False: []}
+        for p in parts:
+            if p not in known:
+                if (ids := old.get(p)) is None:
+                    new[_PLAIN.fullmatch(p) is not None].append(p)
+                else:
+                    known[p] = ids
+        for model, unknown in ((self.letters, new[True]), (self.model, new[False])):
+            for i in range(0, len(unknown), ENCODED_PARTS):
+                some = unknown[i:i + ENCODED_PARTS]
+                for p, e in zip(some, model.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                    known[p] = array("I", e.ids).tobytes()
+        return [known[p] for p in parts]
+
+    def words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words in a row, and where each word's begin (and the last one's end)."""
+        odd = pc.invert(pc.match_substring_regex(words, f"^[{_LETTERS}]+$"))
+        others = words.filter(odd)
+        core, tail = pc.extract_regex(others, f"^(?P<core>[{_LETTERS}]+)(?P<tail>[{re.escape(_CLOSERS)}]+)$").flatten()
+        coded = pa.concat_arrays([
+            pc.utf8_lower(words.filter(pc.invert(odd))), pc.coalesce(pc.utf8_lower(core), others), pc.fill_null(tail, ""),
+            pa.array([""])]).dictionary_encode()
+        ids = self.ids_of(coded.dictionary.to_pylist())
+        begin = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum([len(x) // 4 for x in ids], out=begin[1:])
+        at, odd = coded.indices.to_numpy(), odd.to_numpy(zero_copy_only=False)
+        n, m = len(words), len(others)
+        two = np.full((n, 2), at[-1])  # letters and the punctuation behind them, most often none
+        two[~odd, 0], two[odd, 0], two[odd, 1] = at[:n - m], at[n - m:n], at[n:n + m]
+        values, ends = _gathered(np.frombuffer(b"".join(ids), "<u4"), begin, two.ravel())
+        return values, ends[::2]
+
+    def encode_all(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin (and the last one's end)."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        ids, begin = self.words(coded.dictionary)
+        values, at = _gathered(ids, begin, coded.indices.to_numpy())
+        offsets = words.offsets.to_numpy()
+        return values, at[offsets - offsets[0]]
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        for blank in "\n\t\r\x0b\x0c":
-            if blank in text:
-                text = text.replace(blank, " ")
-        words = text.split(" ")
-        if new := set(words).difference(self.words):
-            self.learn(list(new))
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:  # the young generation was started anew while this text's words were learned
-            self.learn([w for w in set(words) if w not in self.words])
-            return b"".join(map(self.words.__getitem__, words))
+        """A text's ids as little-endian unsigned 32-bit numbers."""
+        return self.encode_all(pa.array([text]))[0].tobytes()
 
 
 def _tokenizer(path: str) -> WordTokenizer:
@@ -115,11 +155,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = SE
         model = _tokenizer(tokenizer_path)
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                ids = model.encode(text.as_py() or "") + end
-                for k, at in enumerate(range(0, len(ids), step)):
-                    cut = ids[at:at + step]
-                    for c, x in zip(cols, (doc_id, k, at // 4, len(cut) // 4, zlib.crc32(cut),
+            values, at = model.encode_all(b.column("text"))
+            for doc_id, lo, hi in zip(b.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                ids = values[lo:hi].tobytes() + end
+                for k, cut_at in enumerate(range(0, len(ids), step)):
+                    cut = ids[cut_at:cut_at + step]
+                    for c, x in zip(cols, (doc_id, k, cut_at // 4, len(cut) // 4, zlib.crc32(cut),
                                            np.frombuffer(cut, "<u4") if with_ids else None), strict=True):
                         c.append(x)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))

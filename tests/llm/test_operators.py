@@ -578,6 +578,41 @@ def test_a_reused_worker_drops_what_packing_kept(later):
     assert [packing._tokenizer(path).encode(t) for t in texts] == before
 
 
+def test_packing_encodes_batches_as_the_tokenizer_does(monkeypatch):
+    """Words of all alphabets and cases, null texts, a slice of a batch, and memories far smaller than the batch."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    model, rng = Tokenizer.from_file(path), random.Random(7)
+    monkeypatch.setattr(packing, "CACHED_PARTS", 40)
+    monkeypatch.setattr(packing, "ENCODED_PARTS", 7)
+    odd = ["", "İstanbul.", "ΣΑΣ!", "ÀÉÎÕÜ,", "Straße", "ÿ×÷ø", "ªº", "naïve's", "don't", "'Tis", "e\u0301a", "ŉ", "ǅ.", "дом,", "日本語。", "x1", "½",
+           "<|endoftext|>", "a<|endoftext|>b", "foo<|", "\x1ca", "a\x85b", "a\u00a0b", "ﬁn", "K", "--", "a-b", "WORD%%%", "wörd***", "\x00"]
+    texts = [None, "", " ", "\t\n"] + ["".join(w + rng.choice([" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x0c"]) for w in rng.choices(
+        odd + [rng.choice("aàZÜß") * rng.randrange(1, 9) for _ in range(20)], k=rng.randrange(1, 60))) for _ in range(60)]
+    words = packing.WordTokenizer(path)
+    assert words.letters is not words.model
+    for batch in (pa.array(texts), pa.array(texts)[5:31], pa.array([], pa.string()), pa.array([None], pa.string())):
+        ids, at = words.encode_all(batch)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [
+            model.encode(t or "", add_special_tokens=False).ids for t in batch.to_pylist()]
+
+
+def test_packing_remembers_parts_not_every_form_of_a_word():
+    """A word in capitals or before other punctuation takes no place of its own in a worker's memory."""
+    words = packing.WordTokenizer(tokenizer_path("word_bpe_49k.json"))
+    rng = random.Random(8)
+    stems = ["".join(rng.choices("bcdfglmnprst", k=9)) for _ in range(1500)]
+    forms = [f + end for s in stems for f in (s, s.title(), s.upper()) for end in ("", ".", ",", "!", "%%%", "***")]
+    words.encode(" ".join(stems))
+    tracemalloc.start()
+    words.encode(" ".join(forms))
+    gc.collect()
+    grown = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert grown < 500_000  # 25,500 more forms
+
+
 def test_packing_is_whole_and_tight(spark):
     from tokenizers import Tokenizer
 
