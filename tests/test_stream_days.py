@@ -125,6 +125,29 @@ def test_ledger_rows_start_no_python_on_executors(spark, monkeypatch):
                     (0, 0, day(9), day(8).date(), 1, 0), (1, 0, day(9).replace(microsecond=5), day(8).date(), 1, 0)]
 
 
+def test_a_batch_is_read_again_only_for_late_rows(spark, monkeypatch):
+    """Its rows are joined once where none are late; rows that are late are not counted, whatever they hold."""
+    from callsheet.plans.catalog import QUERIES
+    joined, real = [], ledger.write_batch
+
+    def write(df, path, batch_id, *more):
+        if "Join " in df._jdf.queryExecution().optimizedPlan().toString():
+            joined.append((path.rsplit("/", 1)[1], batch_id))
+        return real(df, path, batch_id, *more)
+
+    monkeypatch.setattr(ledger, "write_batch", write)
+    assert QUERIES["stream_kpi_daily"](spark, SF_SMALL).count() and joined == [("_days", n) for n in range(4)]
+    joined.clear()
+    path, other = scratch_path(spark, "test_ledger_joined"), spark.range(100).withColumnRenamed("id", "key")
+    for n, rows in enumerate(BATCHES):
+        batch = events(spark, rows).join(other.hint("merge"), F.col("id") == F.col("key")).drop("key")
+        ledger.take_batch(batch, n, path, "ts", F.when(F.col("id").isin([i for i, _ in LATE]), F.raise_error(F.lit("late")).cast("boolean"))
+                          .otherwise(F.col("ok")), F.col("value"))
+    assert [j for j in joined if j[0] != "_days"] == [("late", 2), ("late", 4)]
+    ledger.close_open_days(spark, path)
+    check(spark, path)
+
+
 def test_stream_goes_on_from_its_checkpoint(spark):
     path = scratch_path(spark, "test_ledger_stream")
     table = read_table(spark, SF_SMALL, "events")
